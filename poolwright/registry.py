@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from poolwright import twins
 from poolwright.config import FIXTURE_CONFIG, RunConfig
 from poolwright.functions.columns import clock_label, days_until, is_dfv
+from poolwright.operators import fair_share as FS
 from poolwright.operators import features as C
 from poolwright.operators import tagging as T
 from poolwright.sources.fixtures import Fixtures
@@ -202,3 +203,19 @@ def _batch(fx, cfg):
 
 register("t06_batch_parked", PARKED, "SELECT * FROM batch")(_batch)
 register("t06_batch_live", LIVE, "SELECT * FROM batch")(_batch)
+
+
+# --- fair share ------------------------------------------------------------------
+
+def _shared(fx, cfg):
+    return FS.fair_share(_routed(fx, cfg), fx.pool_links, cfg)
+
+
+@register("fs_fair_share", PARKED, "SELECT company_id, lead_tag, is_protected, parent_pool_id, proposed_pool_id FROM fair")
+def fs(fx, cfg):
+    return _shared(fx, cfg).select("company_id", "lead_tag", "is_protected", "parent_pool_id", "proposed_pool_id")
+
+
+@register("fs_fair_share_strict", PARKED_STRICT, "SELECT company_id, lead_tag, is_protected, parent_pool_id, proposed_pool_id FROM fair")
+def fs_strict(fx, cfg):
+    return _shared(fx, cfg).select("company_id", "lead_tag", "is_protected", "parent_pool_id", "proposed_pool_id")

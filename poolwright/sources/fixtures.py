@@ -247,7 +247,7 @@ class Fixtures:
             "childPoolId",
         ).select(
             "parentPoolId", "childPoolId", F.lit("STANDARD").alias("parentType"), F.lit("PRIVATE").alias("childType"),
-            ~((F.col("parentPoolId") == "pool_RETENTION") & (F.col("childPoolId") == "priv_4")).alias("isActive"),
+            (~((F.col("parentPoolId") == "pool_RETENTION") & (F.col("childPoolId") == "priv_4"))).alias("isActive"),
         )
         duplicate = links.where((F.col("parentPoolId") == "pool_PAST_RETENTION") & (F.col("childPoolId") == "priv_2"))
         return conform(links.unionByName(duplicate), SC.POOL_LINKS)
