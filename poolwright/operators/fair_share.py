@@ -121,7 +121,8 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
         seg, (cands.fs_parent == seg.fs_parent) & (F.col("cand_rn") > F.col("lo"))
         & (F.col("hi").isNull() | (F.col("cand_rn") <= F.col("hi"))), "inner"
     ).withColumn(
-        "assigned_child", F.element_at("open_ids", ((t - 1) % F.col("n_open") + 1).cast("int"))
+        # get() is bounds-safe: the optimizer may evaluate this inside the join condition
+        "assigned_child", F.get("open_ids", ((t - 1) % F.col("n_open")).cast("int"))
     ).drop("fs_parent", "have_n", "lo", "hi", "n_open", "open_ids", "cand_rn")
 
     others = flagged.where(~F.col("_cand")).withColumn("assigned_child", F.lit(None).cast("string"))

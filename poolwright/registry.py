@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from poolwright import twins
 from poolwright.config import FIXTURE_CONFIG, RunConfig
 from poolwright.functions.columns import clock_label, days_until, is_dfv
+from poolwright.operators import apply as AP
 from poolwright.operators import fair_share as FS
 from poolwright.operators import features as C
 from poolwright.operators import tagging as T
@@ -219,3 +220,87 @@ def fs(fx, cfg):
 @register("fs_fair_share_strict", PARKED_STRICT, "SELECT company_id, lead_tag, is_protected, parent_pool_id, proposed_pool_id FROM fair")
 def fs_strict(fx, cfg):
     return _shared(fx, cfg).select("company_id", "lead_tag", "is_protected", "parent_pool_id", "proposed_pool_id")
+
+
+# --- apply --------------------------------------------------------------------------
+
+APPLY = PARKED.with_(fair_share=True)
+
+
+def _batch_for_apply(fx, cfg):
+    routed = _routed(fx, cfg)
+    if cfg.fair_share:
+        routed = FS.fair_share(routed, fx.pool_links, cfg)
+    return routed, T.move_batch(routed, cfg)
+
+
+def _apply(fx, cfg):
+    _, batch = _batch_for_apply(fx, cfg)
+    return AP.apply_batch(batch, fx.companies, fx.company_pool_placements, fx.company_pool_audits,
+                          fx.pools, fx.pool_links, cfg)
+
+
+PLACEMENT_COLS = [("id", "id"), ("companyId", "company_id"), ("poolId", "pool_id"), ("sourcePoolId", "source_pool_id"),
+                  ("actorId", "actor_id"), ("distributedAt", "distributed_at"), ("endedAt", "ended_at")]
+AUDIT_COLS = [("id", "id"), ("companyId", "company_id"), ("poolId", "pool_id"), ("action", "action"),
+              ("actorId", "actor_id"), ("reason", "reason"), ("createdAt", "created_at")]
+
+
+def _renamed(df, cols):
+    return df.select(*[F.col(a).alias(b) for a, b in cols])
+
+
+@register("ap1_valid_batch", APPLY, "SELECT * FROM ap_valid")
+def ap1(fx, cfg):
+    _, batch = _batch_for_apply(fx, cfg)
+    return AP.validate_batch(batch, fx.companies, fx.pools, fx.pool_links, cfg)[0]
+
+
+@register("ap1_rejected_moves", APPLY, "SELECT * FROM ap_rejected")
+def ap1_rejected(fx, cfg):
+    _, batch = _batch_for_apply(fx, cfg)
+    return AP.validate_batch(batch, fx.companies, fx.pools, fx.pool_links, cfg)[1]
+
+
+@register("ap2_effective_moves", APPLY, "SELECT * FROM ap_moves")
+def ap2(fx, cfg):
+    return _apply(fx, cfg).moves
+
+
+@register("ap3_companies", APPLY, "SELECT company_id, name, pool_id, profile_id FROM ap_companies")
+def ap3(fx, cfg):
+    return _renamed(_apply(fx, cfg).companies, [("id", "company_id"), ("name", "name"), ("poolId", "pool_id"),
+                                                ("profileId", "profile_id")])
+
+
+@register("ap4_placements", APPLY, "SELECT * FROM ap_rolled")
+def ap4(fx, cfg):
+    _, batch = _batch_for_apply(fx, cfg)
+    valid, _ = AP.validate_batch(batch, fx.companies, fx.pools, fx.pool_links, cfg)
+    return _renamed(AP.roll_placements(fx.company_pool_placements, AP.effective_moves(valid), cfg), PLACEMENT_COLS)
+
+
+@register("ap5_audits", APPLY, "SELECT * FROM ap_audits")
+def ap5(fx, cfg):
+    return _renamed(_apply(fx, cfg).audits, AUDIT_COLS)
+
+
+@register("ap6_placements_refreshed", APPLY, "SELECT * FROM ap_placements")
+def ap6(fx, cfg):
+    return _renamed(_apply(fx, cfg).placements, PLACEMENT_COLS)
+
+
+@register("ap6_placements_refreshed_validated", APPLY.with_(refresh_validated_only=True), "SELECT * FROM ap_placements")
+def ap6v(fx, cfg):
+    return _renamed(_apply(fx, cfg).placements, PLACEMENT_COLS)
+
+
+@register("ap8_profile_apply", APPLY, "SELECT * FROM ap_profiles")
+def ap8(fx, cfg):
+    routed, _ = _batch_for_apply(fx, cfg)
+    owners = fx.profiles.where(F.col("primaryPoolId").isNotNull()).select(
+        F.col("id").alias("owner_id"), F.col("primaryPoolId").alias("owner_pool"))
+    pb = routed.join(F.broadcast(owners), F.col("proposed_pool_id") == F.col("owner_pool")).groupBy("company_id").agg(
+        F.min("owner_id").alias("proposed_profile_id"))
+    new, _ = AP.apply_profiles(fx.companies, pb)
+    return new.select(F.col("id").alias("company_id"), F.col("profileId").alias("profile_id"))
