@@ -29,7 +29,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         c = F.col(k) == F.col(f"_s_{k}")
         cond = c if cond is None else cond & c
     j = t.join(s, cond, "full_outer")
-    matched_t = F.col("_t_hit").isNotNull()
+    in_target = F.col("_t_hit").isNotNull()
+    in_source = F.col("_s_hit").isNotNull()
     out = []
     for c in target.columns:
         src = F.col(f"_s_{c}") if c in source.columns else None
@@ -44,7 +45,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 matched_val = src
             else:
                 matched_val = F.coalesce(src, F.col(c))
-            val = F.when(matched_t, matched_val).otherwise(insert_val)
+            val = (F.when(in_target & in_source, matched_val).when(in_target, F.col(c))
+                   .otherwise(insert_val))
         out.append(val.cast(target.schema[c].dataType).alias(c))
     return j.select(*out)
 

@@ -304,3 +304,133 @@ def ap8(fx, cfg):
         F.min("owner_id").alias("proposed_profile_id"))
     new, _ = AP.apply_profiles(fx.companies, pb)
     return new.select(F.col("id").alias("company_id"), F.col("profileId").alias("profile_id"))
+
+
+# --- maintenance ----------------------------------------------------------------------
+
+from poolwright.operators import maintenance as M  # noqa: E402
+
+COMPANY_COLS = [("id", "company_id"), ("name", "name"), ("poolId", "pool_id"), ("profileId", "profile_id")]
+POOL_COLS = [("id", "id"), ("code", "code"), ("name", "name"), ("type", "type"), ("isLocked", "is_locked")]
+RULE_COLS = [("tag", "tag"), ("poolId", "pool_id"), ("priority", "priority"), ("isActive", "is_active"),
+             ("description", "description")]
+FAMILY_COLS = [("id", "id"), ("providerId", "provider_id"), ("family", "family"), ("tagCode", "tag_code"),
+               ("poolId", "pool_id"), ("windowDays", "window_days"), ("displayName", "display_name"),
+               ("isActive", "is_active"), ("isManual", "is_manual"), ("matchedPattern", "matched_pattern")]
+PP_COLS = [("poolId", "pool_id"), ("profileId", "profile_id")]
+LINK_COLS = [("parentPoolId", "parent_pool_id"), ("childPoolId", "child_pool_id"), ("parentType", "parent_type"),
+             ("childType", "child_type"), ("isActive", "is_active")]
+_SQL_COMPANIES = "SELECT company_id, name, pool_id, profile_id FROM {}"
+_SQL_POOLS = "SELECT id, code, name, type, locked AS is_locked FROM {}"
+_SQL_RULES = "SELECT tag, pool_id, priority, active AS is_active, description FROM {}"
+_SQL_PP = "SELECT pool_id, profile_id FROM {}"
+
+
+def _best_end(fx, cfg):
+    return C.best_end_date(_resolved(fx), cfg)
+
+
+@register("m01_janitor", PARKED, _SQL_COMPANIES.format("m1_companies"))
+def m01(fx, cfg):
+    return _renamed(M.clear_leavers(fx.companies, fx.profiles, cfg)[0], COMPANY_COLS)
+
+
+@register("m02_clear_profiles", PARKED, "SELECT id AS company_id, name, pool_id, CAST(NULL AS VARCHAR) AS profile_id FROM companies")
+def m02(fx, cfg):
+    return _renamed(M.clear_profiles(fx.companies), COMPANY_COLS)
+
+
+@register("m03_provider_routes", LIVE, "SELECT * FROM m3_routes")
+def m03(fx, cfg):
+    return M.provider_routes(fx.providers, cfg)
+
+
+def _sync(fx, cfg):
+    return M.sync_provider_dims(M.provider_routes(fx.providers, cfg), fx.pools, fx.provider_families,
+                                fx.pool_rules(cfg.mode), cfg)
+
+
+@register("m04_pools", LIVE, _SQL_POOLS.format("m4_pools"))
+def m04p(fx, cfg):
+    return _renamed(_sync(fx, cfg)[0], POOL_COLS)
+
+
+@register("m04_families", LIVE, "SELECT id, provider_id, family, tag_code, pool_id, window_days, display_name, "
+          "active AS is_active, manual AS is_manual, matched_pattern FROM m4_families")
+def m04f(fx, cfg):
+    return _renamed(_sync(fx, cfg)[1], FAMILY_COLS)
+
+
+@register("m04_rules", LIVE, _SQL_RULES.format("m4_rules"))
+def m04r(fx, cfg):
+    return _renamed(_sync(fx, cfg)[2], RULE_COLS)
+
+
+def _reclaim(fx, cfg):
+    past = M.past_sale_companies(fx.deals, fx.external_site_mappings, fx.companies, cfg)
+    return M.reclaim(fx.companies, fx.pools, _best_end(fx, cfg), past, cfg)[1]
+
+
+register("m05_reclaim", PARKED, "SELECT * FROM m5_targets")(_reclaim)
+register("m05_reclaim_strict", PARKED_STRICT, "SELECT * FROM m5_targets")(_reclaim)
+
+
+@register("m06_far_future", PARKED, "SELECT * FROM m6_misfiled")
+def m06(fx, cfg):
+    return M.repair_far_future(fx.companies, fx.pools, _best_end(fx, cfg), cfg)[1]
+
+
+def _retire(fx, cfg):
+    return M.retire_pools(fx.companies, fx.company_pool_placements, fx.pools, fx.pool_rules(cfg.mode),
+                          fx.provider_families, fx.pool_links, fx.pool_profiles, _best_end(fx, cfg), cfg)
+
+
+@register("m07_companies", LIVE, _SQL_COMPANIES.format("m7_companies"))
+def m07c(fx, cfg):
+    return _renamed(_retire(fx, cfg)["companies"], COMPANY_COLS)
+
+
+@register("m07_placements", LIVE, "SELECT * FROM m7_placements")
+def m07p(fx, cfg):
+    return _renamed(_retire(fx, cfg)["placements"], PLACEMENT_COLS)
+
+
+@register("m07_rules", LIVE, _SQL_RULES.format("m7_rules"))
+def m07r(fx, cfg):
+    return _renamed(_retire(fx, cfg)["rules"], RULE_COLS)
+
+
+@register("m07_pool_profiles", LIVE, _SQL_PP.format("m7_pool_profiles"))
+def m07pp(fx, cfg):
+    return _renamed(_retire(fx, cfg)["pool_profiles"], PP_COLS)
+
+
+@register("m08_links_off", PARKED, "SELECT parent_id AS parent_pool_id, child_id AS child_pool_id, parent_type, child_type, "
+          "CASE WHEN child_type = 'PRIVATE' THEN FALSE ELSE active END AS is_active FROM links")
+def m08(fx, cfg):
+    return _renamed(M.deactivate_links(fx.pool_links), LINK_COLS)
+
+
+@register("m09_hide_pools", PARKED, _SQL_PP.format("m9_pool_profiles"))
+def m09(fx, cfg):
+    return _renamed(M.hide_pools(fx.pool_profiles, fx.pools, fx.profiles, cfg), PP_COLS)
+
+
+@register("m10_relink_pools", PARKED, _SQL_PP.format("m10_pool_profiles"))
+def m10(fx, cfg):
+    return _renamed(M.relink_pools(fx.pool_profiles, fx.pools, fx.profiles, cfg), PP_COLS)
+
+
+@register("m11_fix_private_owner", PARKED, _SQL_PP.format("m11_pool_profiles"))
+def m11(fx, cfg):
+    return _renamed(M.fix_private_owner(fx.pool_profiles, fx.pools, fx.profiles, cfg), PP_COLS)
+
+
+@register("m12_link_agents", PARKED, _SQL_PP.format("m12_pool_profiles"))
+def m12(fx, cfg):
+    return _renamed(M.link_agents(fx.pool_profiles, fx.profiles, fx.pools, cfg), PP_COLS)
+
+
+@register("m14_promote_campaign", LIVE, _SQL_POOLS.format("m14_pools"))
+def m14(fx, cfg):
+    return _renamed(M.promote_campaign(fx.pools, fx.pool_rules(cfg.mode), fx.pool_links, cfg)[0], POOL_COLS)
