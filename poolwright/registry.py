@@ -434,3 +434,194 @@ def m12(fx, cfg):
 @register("m14_promote_campaign", LIVE, _SQL_POOLS.format("m14_pools"))
 def m14(fx, cfg):
     return _renamed(M.promote_campaign(fx.pools, fx.pool_rules(cfg.mode), fx.pool_links, cfg)[0], POOL_COLS)
+
+
+# --- reports --------------------------------------------------------------------------
+
+from poolwright.plans import reports as R  # noqa: E402
+
+_RD = f"DATE '{PARKED.run_date}'"
+_W = PARKED.window_days
+_CED_ROWS = """(SELECT company_id, end_date, path FROM resolved WHERE end_date IS NOT NULL
+  UNION ALL SELECT company_id, last_deal_end_date, 'fallback' FROM sale WHERE last_deal_end_date IS NOT NULL)"""
+_ACTIVE_RULE_POOLS = "(SELECT DISTINCT pool_id FROM rules WHERE coalesce(active, TRUE))"
+
+
+def _ced_rows(fx, cfg):
+    resolved = _resolved(fx)
+    sale = C.past_sale(fx.external_site_mappings, C.best_end_date(resolved, cfg), fx.companies, cfg)
+    return R.ced_rows(resolved, sale)
+
+
+@register("r01_load_origin_counts", PARKED, "SELECT source_kind, count(*) AS companies FROM features GROUP BY source_kind")
+def r01(fx, cfg):
+    return R.load_origin_counts(C.build_features(fx, cfg))
+
+
+@register("r02_ced_rows_by_path", PARKED, f"SELECT path, count(*) AS rows FROM {_CED_ROWS} x GROUP BY path")
+def r02a(fx, cfg):
+    return R.ced_rows_by_path(_ced_rows(fx, cfg))
+
+
+@register("r02_both_bags", PARKED, f"""
+SELECT 'companies_with_window_and_past' AS metric, count_if(has_ret = 1 AND has_past = 1) AS value FROM (
+  SELECT company_id, max(CASE WHEN end_date - {_RD} BETWEEN 1 AND {_W} THEN 1 ELSE 0 END) AS has_ret,
+    max(CASE WHEN end_date - {_RD} < 1 THEN 1 ELSE 0 END) AS has_past
+  FROM {_CED_ROWS} x GROUP BY company_id) y""")
+def r02b(fx, cfg):
+    return R.both_bags(_ced_rows(fx, cfg), cfg)
+
+
+@register("r02_clock_bags", PARKED, f"""
+SELECT CASE WHEN end_date - {_RD} BETWEEN 1 AND {_W} THEN 'RETENTION' WHEN end_date - {_RD} < 1 THEN 'PAST_RETENTION'
+            ELSE 'UPSELLING' END AS bag, count(*) AS companies
+FROM (SELECT company_id, coalesce(max(CASE WHEN end_date - {_RD} BETWEEN 1 AND {_W} THEN end_date END),
+                                  max(CASE WHEN end_date - {_RD} < 1 THEN end_date END), max(end_date)) AS end_date
+      FROM {_CED_ROWS} x GROUP BY company_id) c
+GROUP BY 1""")
+def r02c(fx, cfg):
+    return R.clock_bags(_ced_rows(fx, cfg), cfg)
+
+
+@register("r03_feature_totals", PARKED, """
+SELECT count(*) AS companies, count_if(coalesce(has_open_callback, FALSE)) AS open_callbacks,
+  count_if(coalesce(has_complaint_note, FALSE)) AS complaint_notes,
+  count_if(coalesce(has_complaint_transfer, FALSE)) AS complaint_transfers,
+  count_if(coalesce(has_any_past_deal, FALSE)) AS with_past_deal, count_if(coalesce(is_win_dfv, FALSE)) AS win_dfv,
+  count_if(coalesce(has_rejected_deal, FALSE)) AS rejected_deals,
+  count_if(coalesce(is_exclusively_deenergised, FALSE)) AS all_meters_dead,
+  count_if(coalesce(is_current_pool_locked, FALSE) OR coalesce(is_gdpr_pool, FALSE)) AS locked_or_gdpr
+FROM features""")
+def r03(fx, cfg):
+    return R.feature_totals(C.build_features(fx, cfg))
+
+
+@register("r04_by_tag", PARKED, "SELECT lead_tag, is_win_dfv, is_protected, count(*) AS companies FROM tagged GROUP BY ALL")
+def r04a(fx, cfg):
+    return R.by_tag(T.tag(C.build_features(fx, cfg), fx.pools, cfg))
+
+
+@register("r04_by_tag_pool", LIVE, "SELECT lead_tag, proposed_pool_id, win_family, is_win_dfv, count(*) AS companies FROM routed GROUP BY ALL")
+def r04b(fx, cfg):
+    return R.by_tag_pool(_routed(fx, cfg))
+
+
+@register("r04_by_parent", APPLY, "SELECT parent_pool_id, proposed_pool_id, is_protected, count(*) AS companies FROM fair GROUP BY ALL")
+def r04c(fx, cfg):
+    return R.by_parent(_batch_for_apply(fx, cfg)[0])
+
+
+@register("r05_companies_per_pool", APPLY, """
+SELECT p.code, p.name, count(*) AS companies FROM ap_companies c JOIN pools p ON p.id = c.pool_id GROUP BY p.code, p.name""")
+def r05a(fx, cfg):
+    return R.companies_per_pool(_apply(fx, cfg).companies, fx.pools)
+
+
+@register("r05_stuck_in_parked", APPLY, f"""
+SELECT 'companies_in_parked_pools' AS metric, count(*) AS value FROM ap_companies c JOIN pools p ON p.id = c.pool_id
+WHERE p.type IN ('STANDARD', 'CAMPAIGN') AND coalesce(p.code, '') NOT IN ({twins.in_list(C.K.PARK_KEEP_TAGS)})""")
+def r05b(fx, cfg):
+    return R.stuck_in_parked(_apply(fx, cfg).companies, fx.pools)
+
+
+@register("r06_profiles_per_pool", PARKED, """
+SELECT p.code, count(pp.profile_id) AS profiles_linked FROM pools p LEFT JOIN pool_profiles pp ON pp.pool_id = p.id
+WHERE p.code IN ('RETENTION', 'PAST_RETENTION') GROUP BY p.code""")
+def r06a(fx, cfg):
+    return R.profiles_per_pool(fx.pools, fx.pool_profiles)
+
+
+@register("r06_private_owner_anomalies", PARKED, """
+SELECT p.id AS pool_id, p.code, p.name, count(pp.profile_id) AS agents_linked
+FROM pools p LEFT JOIN pool_profiles pp ON pp.pool_id = p.id WHERE p.type = 'PRIVATE'
+GROUP BY p.id, p.code, p.name HAVING count(pp.profile_id) <> 1""")
+def r06b(fx, cfg):
+    return R.private_owner_anomalies(fx.pools, fx.pool_profiles)
+
+
+_AGENT = "agent7@example.com"
+
+
+@register("r06_agent_links", PARKED, f"""
+SELECT pr.email, p.code FROM pool_profiles pp JOIN profiles pr ON pr.id = pp.profile_id JOIN pools p ON p.id = pp.pool_id
+WHERE lower(pr.email) = '{_AGENT}'""")
+def r06c(fx, cfg):
+    return R.agent_links(fx.pool_profiles, fx.profiles, fx.pools, _AGENT)
+
+
+_NAME_LIKE = "%#00000001%"
+
+
+@register("r07_company_deep_dive", PARKED, f"""
+SELECT co.id AS company_id, co.name, p.code AS pool, max(k.end_ts::DATE) AS max_end,
+  CAST(max(k.end_ts::DATE) - {_RD} AS INTEGER) AS days_left
+FROM companies co JOIN pools p ON p.id = co.pool_id LEFT JOIN contracts k ON k.company_ref = co.id
+WHERE lower(co.name) LIKE '{_NAME_LIKE.lower()}' GROUP BY co.id, co.name, p.code""")
+def r07(fx, cfg):
+    return R.company_deep_dive(fx.companies, fx.pools, fx.contracts, _NAME_LIKE, cfg)
+
+
+@register("r08_latest_moves", APPLY, """
+SELECT a.created_at, a.company_id, co.name AS company_name, p.name AS new_pool, a.action
+FROM ap_audits a JOIN companies co ON co.id = a.company_id JOIN pools p ON p.id = a.pool_id
+WHERE a.action = 'AUTO_ASSIGN' ORDER BY a.created_at DESC, a.company_id LIMIT 50""")
+def r08a(fx, cfg):
+    return R.latest_moves(_apply(fx, cfg).audits, fx.companies, fx.pools)
+
+
+@register("r08_private_campaigns", APPLY, """
+SELECT pl.company_id, co.name AS company_name, child.name AS pool, parent.name AS campaign
+FROM ap_placements pl JOIN companies co ON co.id = pl.company_id JOIN pools child ON child.id = pl.pool_id
+LEFT JOIN pools parent ON parent.id = pl.source_pool_id
+WHERE pl.ended_at IS NULL AND child.type = 'PRIVATE' ORDER BY pl.company_id LIMIT 30""")
+def r08b(fx, cfg):
+    return R.private_campaigns(_apply(fx, cfg).placements, fx.companies, fx.pools)
+
+
+@register("r09_mapping_callback_counts", PARKED, """
+SELECT 'mappings' AS metric, count(*) AS value FROM mappings
+UNION ALL SELECT 'retention_mappings', count_if(lower(coalesce(campaign, source, '')) LIKE '%retention%') FROM mappings
+UNION ALL SELECT 'open_callbacks', count_if(status = 'SCHEDULED') FROM callbacks""")
+def r09(fx, cfg):
+    return R.mapping_and_callback_counts(fx.external_site_mappings, fx.callbacks)
+
+
+@register("r10_active_rules", LIVE, "SELECT tag, pool_id, priority FROM m4_rules WHERE coalesce(active, TRUE)")
+def r10a(fx, cfg):
+    return R.active_rules(_sync(fx, cfg)[2])
+
+
+@register("r10_families_by_bucket", LIVE, "SELECT family AS bucket, count(*) AS providers FROM m4_families WHERE active = TRUE GROUP BY family")
+def r10b(fx, cfg):
+    return R.active_families_by_bucket(_sync(fx, cfg)[1])
+
+
+@register("r10_supplier_now_rules", LIVE, f"""
+SELECT 'supplier_now_rules' AS metric, count_if(suffix(tag, '_NOW') AND tag NOT IN ({twins.in_list(R.SHARED_SUPPLIER_TAGS)})
+  AND active = TRUE) AS value FROM m4_rules""")
+def r10c(fx, cfg):
+    return R.supplier_now_rules(_sync(fx, cfg)[2])
+
+
+@register("r11_maintenance_counts", PARKED, f"""
+SELECT 'janitor_cleared' AS metric, count(*) AS value FROM companies c
+  WHERE EXISTS (SELECT 1 FROM profiles p WHERE p.id = c.profile_id AND coalesce(p.disabled, FALSE))
+UNION ALL SELECT 'companies_reclaimed', count(*) FROM m5_targets
+UNION ALL SELECT 'moved_to_unassigned', count(*) FROM m6_misfiled
+UNION ALL SELECT 'fallback_rows', count(*) FROM sale
+UNION ALL SELECT 'fallback_with_end_date', count(last_deal_end_date) FROM sale
+UNION ALL SELECT 'fallback_missing_end_date', count(*) - count(last_deal_end_date) FROM sale
+UNION ALL SELECT 'active_private_links', count_if(FALSE) FROM links WHERE child_type = 'PRIVATE'
+UNION ALL SELECT 'total_private_links', count(*) FROM links WHERE child_type = 'PRIVATE'
+UNION ALL SELECT 'still_have_agent', 0 FROM (SELECT 1) x
+UNION ALL SELECT 'on_rule_pool', count(*) FROM companies WHERE pool_id IN {_ACTIVE_RULE_POOLS}""")
+def r11(fx, cfg):
+    resolved = _resolved(fx)
+    best = C.best_end_date(resolved, cfg)
+    cleared = M.clear_leavers(fx.companies, fx.profiles, cfg)[1]
+    past = M.past_sale_companies(fx.deals, fx.external_site_mappings, fx.companies, cfg)
+    reclaimed = M.reclaim(fx.companies, fx.pools, best, past, cfg)[1]
+    far = M.repair_far_future(fx.companies, fx.pools, best, cfg)[1]
+    sale = C.past_sale(fx.external_site_mappings, best, fx.companies, cfg)
+    return R.maintenance_counts(cleared, reclaimed, far, sale, M.deactivate_links(fx.pool_links),
+                                M.clear_profiles(fx.companies), fx.pool_rules(cfg.mode))

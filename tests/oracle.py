@@ -77,11 +77,11 @@ def main(argv):
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
     for name in names:
-        df = qs[name](spark, sf_dir)
-        if name not in sqls:
-            print(f"{name:34s} rows-only {df.count()}")
-            continue
         try:
+            df = qs[name](spark, sf_dir)
+            if name not in sqls:
+                print(f"{name:34s} rows-only {df.count()}")
+                continue
             ok, msg = compare(df, sqls[name], con)
         except Exception as exc:  # report and keep going
             ok, msg = False, f"ERROR {type(exc).__name__}: {str(exc)[:300]}"
