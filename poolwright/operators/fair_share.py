@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from poolwright.config import RunConfig
 from poolwright.functions import constants as K
 from poolwright.functions.columns import broadcast_if_small
-from poolwright.session import ensure_checkpoint_dir
+from poolwright.session import ensure_checkpoint_dir, materialize
 
 
 def private_links(links: DataFrame) -> DataFrame:
@@ -91,6 +91,8 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
     ``parent_pool_id`` keeps the T5 value (the callback parent is not lost).
     """
     spark = routed.sparkSession
+    # the routed table feeds the loads, the candidates and the pass-through rows: cut it once
+    routed = materialize(routed)
     lk = broadcast_if_small(private_links(links), cfg.broadcast_limit_rows)
     parents = lk.select(F.col("fs_parent").alias("_has_kids")).distinct()
     unprotected = ~F.coalesce(F.col("is_protected"), F.lit(False))

@@ -40,3 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir`` (survives executor loss).
+
+    Used where a frame feeds several consumers (C1, the routed table) or where its values must
+    not be recomputed (range-partition sample, generated row numbers).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
