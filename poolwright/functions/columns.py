@@ -146,3 +146,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join where many left keys may be NULL.
+
+    NULL keys never match, but a sort-merge join still hashes them all to one task. Rows with a
+    NULL key skip the join and come back with NULL right-hand columns, so no partition collects
+    them (the join itself stays a hash/broadcast join chosen by Spark).
+    """
+    has_key = left.where(F.col(left_key).isNotNull()).join(right, F.col(left_key) == F.col(right_key), "left")
+    no_key = left.where(F.col(left_key).isNull()).select(
+        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return has_key.unionByName(no_key)

@@ -104,11 +104,21 @@ def c08(fx, cfg):
     return C.last_deal(fx.deals, fx.company_sites, fx.site_meters, fx.contracts, cfg)
 
 
+@register("c08_last_deal_row_path", PARKED.with_(deal_path="row"), "SELECT * FROM last_deal")
+def c08_row(fx, cfg):
+    return C.last_deal(fx.deals, fx.company_sites, fx.site_meters, fx.contracts, cfg)
+
+
 @register("c09_deal_companies", PARKED, "SELECT company_id FROM deal_cos")
 def c09(fx, cfg):
     return C.deal_companies(fx.deals, fx.company_sites, fx.site_meters, cfg)
 
 
+@register("c09_deal_companies_row_path", PARKED.with_(deal_path="row"), "SELECT company_id FROM deal_cos")
+def c09_row(fx, cfg):
+    return C.deal_companies(fx.deals, fx.company_sites, fx.site_meters, cfg)
+
+
 @register("c10_rejected_companies", PARKED, "SELECT company_id FROM rejected")
 def c10(fx, cfg):
     return C.rejected_companies(fx.deals, fx.compliance_review_entries)

@@ -59,7 +59,7 @@ def read_or_empty(spark: SparkSession, reader, schema: T.StructType) -> DataFram
     try:
         return reader()
     except AnalysisException as exc:
-        cls = getattr(exc, "getErrorClass", lambda: None)() or ""
+        cls = getattr(exc, "getCondition", lambda: None)() or ""
         msg = str(exc)
         if (
             cls in ("TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND")
