@@ -11,12 +11,15 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from poolwright.registry import QUERIES  # noqa: E402
+from poolwright.plans.nightly import from_fixtures, run_nightly  # noqa: E402
+from poolwright.registry import APPLY, QUERIES  # noqa: E402
 from poolwright.session import local_session  # noqa: E402
+from poolwright.sources.fixtures import Fixtures  # noqa: E402
 
 HEADLINE = {
     "resolve_clock": "c03_company_clock",        # C1 three-path resolution + clock (C3)
@@ -29,13 +32,19 @@ HEADLINE = {
     "provider_sync": "m04_rules",                # M3 + M4
     "reclaim": "m05_reclaim",                    # M5
     "reports_by_parent": "r04_by_parent",        # R4 after fair share
+    "nightly_pipeline": "nightly",               # janitor -> ... -> apply, all stages written
 }
 
 
 def run_once(spark, sf_dir: str, name: str) -> float:
     t0 = time.perf_counter()
-    df = QUERIES[name][0](spark, sf_dir)
-    df.write.format("noop").mode("overwrite").save()
+    if name == "nightly":
+        # the whole job, every stage written to a fresh scratch directory
+        out = tempfile.mkdtemp(prefix="poolwright-bench-")
+        run_nightly(spark, from_fixtures(Fixtures(spark, sf_dir, APPLY)), APPLY, out).collect()
+    else:
+        df = QUERIES[name][0](spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 

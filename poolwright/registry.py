@@ -635,3 +635,24 @@ def r11(fx, cfg):
     sale = C.past_sale(fx.external_site_mappings, best, fx.companies, cfg)
     return R.maintenance_counts(cleared, reclaimed, far, sale, M.deactivate_links(fx.pool_links),
                                 M.clear_profiles(fx.companies), fx.pool_rules(cfg.mode))
+
+
+# --- routing mode (T7) over the synced supplier dimensions ---------------------------------
+
+@register("t07_activate_rules_parked", LIVE, f"""
+SELECT tag, pool_id, priority,
+  CASE WHEN tag NOT IN ({twins.in_list(C.K.PARK_KEEP_TAGS)}) THEN FALSE
+       WHEN tag IN ({twins.in_list(C.K.PARK_ON_TAGS)}) THEN TRUE ELSE active END AS is_active, description
+FROM m4_rules""")
+def t07r(fx, cfg):
+    _, _, rules = _sync(fx, cfg)
+    return _renamed(T.activate(rules, fx.provider_families, "parked")[0], RULE_COLS)
+
+
+@register("t07_activate_families_parked", LIVE, """
+SELECT id, provider_id, family, tag_code, pool_id, window_days, display_name,
+  CASE WHEN coalesce(manual, FALSE) THEN active ELSE FALSE END AS is_active, manual AS is_manual, matched_pattern
+FROM m4_families""")
+def t07f(fx, cfg):
+    _, families, rules = _sync(fx, cfg)
+    return _renamed(T.activate(rules, families, "parked")[1], FAMILY_COLS)

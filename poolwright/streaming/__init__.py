@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The routing job is a nightly batch over table snapshots: there are no event streams,
+watermarks, windows over time or per-key state in what it computes. Incremental runs are
+handled by the batch job itself (a rerun with the same run id rewrites the same outputs), so
+this package is intentionally empty.
+"""
