@@ -117,16 +117,49 @@ def audit(audits: DataFrame, moves: DataFrame, cfg: RunConfig) -> DataFrame:
     return audits.unionByName(new.select(*audits.columns))
 
 
+def batch_campaigns(batch: DataFrame, pools: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(companyId, campaign): the batch's campaign per company (lowest when a company repeats)."""
+    p = broadcast_if_small(pools.select(F.col("id").alias("p_id"), F.col("type").alias("p_type")), cfg.broadcast_limit_rows)
+    return batch.join(p, F.col("proposed_pool_id") == F.col("p_id"), "inner").select(
+        F.col("company_id").alias("companyId"), _campaign(F.col("p_type")).alias("campaign")
+    ).where(F.col("campaign").isNotNull()).groupBy("companyId").agg(F.min("campaign").alias("campaign"))
+
+
+def roll_and_refresh(placements: DataFrame, moves: DataFrame, refresh_src: DataFrame, pools: DataFrame,
+                     cfg: RunConfig) -> DataFrame:
+    """AP4 + AP6 in one pass over the placement history (one shuffle of the largest table).
+
+    Same result as ``refresh_campaign(roll_placements(...))``: moved companies' open rows
+    close; other open rows take the batch campaign when it differs; the new open row carries
+    the batch campaign when there is one, else the move's campaign.
+    """
+    x = batch_campaigns(refresh_src, pools, cfg)
+    m = moves.select(F.col("company_id").alias("companyId"), F.col("proposed_pool_id").alias("_m_pool"),
+                     F.col("proposed_campaign_id").alias("_m_campaign"), F.lit(True).alias("_moved"))
+    info = m.join(x, "companyId", "full_outer")
+    j = placements.join(info, "companyId", "left")
+    is_open = F.col("endedAt").isNull()
+    moved = F.coalesce(F.col("_moved"), F.lit(False))
+    refresh = ~moved & is_open & F.col("campaign").isNotNull() & ne_null_safe(F.col("sourcePoolId"), F.col("campaign"))
+    updated = j.select(*[
+        (F.when(moved & is_open, run_ts(cfg)).otherwise(F.col("endedAt")) if c == "endedAt"
+         else F.when(refresh, F.col("campaign")).otherwise(F.col("sourcePoolId")) if c == "sourcePoolId"
+         else F.col(c)).alias(c) for c in placements.columns])
+    opened = info.where(F.col("_moved")).select(
+        gen_id(cfg, "placement", "companyId").alias("id"), "companyId", F.col("_m_pool").alias("poolId"),
+        F.coalesce(F.col("campaign"), F.col("_m_campaign")).alias("sourcePoolId"), F.lit(cfg.actor).alias("actorId"),
+        run_ts(cfg).alias("distributedAt"), F.lit(None).cast("timestamp_ntz").alias("endedAt"),
+    )
+    return updated.unionByName(opened.select(*placements.columns))
+
+
 def refresh_campaign(placements: DataFrame, batch: DataFrame, pools: DataFrame, cfg: RunConfig) -> DataFrame:
     """AP6: set the campaign on open placements where it differs from the batch's campaign.
 
     ``batch`` is the raw batch (reference behaviour) or the validated moves
     (``refresh_validated_only``); it is reduced to one campaign per company first.
     """
-    p = broadcast_if_small(pools.select(F.col("id").alias("p_id"), F.col("type").alias("p_type")), cfg.broadcast_limit_rows)
-    x = batch.join(p, F.col("proposed_pool_id") == F.col("p_id"), "inner").select(
-        F.col("company_id").alias("companyId"), _campaign(F.col("p_type")).alias("campaign")
-    ).where(F.col("campaign").isNotNull()).groupBy("companyId").agg(F.min("campaign").alias("campaign"))
+    x = batch_campaigns(batch, pools, cfg)
     new, _ = update_where_distinct(
         placements, x, "companyId", {"sourcePoolId": "campaign"}, where=F.col("endedAt").isNull())
     return new
@@ -148,9 +181,8 @@ def apply_batch(batch: DataFrame, companies: DataFrame, placements: DataFrame, a
     valid, rejected = validate_batch(batch, companies, pools, links, cfg)
     moves = effective_moves(valid)
     new_companies = apply_moves(companies, moves)
-    rolled = roll_placements(placements, moves, cfg)
     refresh_src = valid if cfg.refresh_validated_only else batch
-    refreshed = refresh_campaign(rolled, refresh_src, pools, cfg)
+    refreshed = roll_and_refresh(placements, moves, refresh_src, pools, cfg)
     return ApplyResult(new_companies, refreshed, audit(audits, moves, cfg), moves, rejected)
 
 
