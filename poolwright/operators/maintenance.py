@@ -18,17 +18,16 @@ from poolwright.functions.columns import (
 from poolwright.operators.apply import run_ts
 from poolwright.operators.features import pool_by_code
 from poolwright.operators.tables import delete_matching, insert_missing, upsert
+from poolwright.operators.tagging import pool_code
 
 
 def _dim(df: DataFrame, cfg: RunConfig) -> DataFrame:
     return broadcast_if_small(df, cfg.broadcast_limit_rows)
 
 
-def _codes(pools: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Pool ids of the three clock pools as a one-row frame (scalar look-ups)."""
-    by_code = pool_by_code(pools)
-    return {c: by_code.where(F.col("code") == c).select(F.min("pool_id")).scalar()
-            for c in ("RETENTION", "PAST_RETENTION", "UNASSIGNED")}
+def _codes(pools: DataFrame, cfg: RunConfig) -> dict:
+    """Pool ids of the three clock pools as scalar look-ups (one shared sub-query)."""
+    return {c: pool_code(pools, c) for c in ("RETENTION", "PAST_RETENTION", "UNASSIGNED")}
 
 
 # --- M1 / M2 --------------------------------------------------------------------------

@@ -22,9 +22,16 @@ def _false_if_null(c: str):
     return F.coalesce(F.col(c), F.lit(False))
 
 
+# every pool code the routing steps look up; one struct holds them all, so every look-up in a
+# query is the same scalar sub-query and Spark evaluates it once (sub-query reuse)
+LOOKUP_CODES = ("COMPLAINT", "RETENTION", "PAST_RETENTION", "UNASSIGNED")
+
+
 def pool_code(pools: DataFrame, code: str):
-    """Scalar sub-query: the pool id of ``code`` (NULL when absent), evaluated once per query."""
-    return pool_by_code(pools).where(F.col("code") == code).select(F.min("pool_id")).scalar()
+    """Scalar sub-query: the pool id of ``code`` (NULL when absent)."""
+    aggs = [F.min(F.when(F.col("code") == c, F.col("pool_id"))).alias(c) for c in LOOKUP_CODES]
+    codes = pool_by_code(pools).agg(F.struct(*aggs).alias("codes"))
+    return codes.scalar().getField(code)
 
 
 def with_pool_codes(df: DataFrame, pools: DataFrame, codes: tuple[str, ...]) -> DataFrame:

@@ -19,6 +19,7 @@ from poolwright.operators import apply as AP
 from poolwright.operators import fair_share as FS
 from poolwright.operators import features as C
 from poolwright.operators import tagging as T
+from poolwright.session import materialize
 from poolwright.sources.fixtures import Fixtures
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str | None]]] = {}
@@ -241,6 +242,8 @@ def _batch_for_apply(fx, cfg):
     routed = _routed(fx, cfg)
     if cfg.fair_share:
         routed = FS.fair_share(routed, fx.pool_links, cfg)
+    # the final routed table feeds validation, moves and the campaign refresh: materialise once
+    routed = materialize(routed)
     return routed, T.move_batch(routed, cfg)
 
 
