@@ -18,6 +18,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "poo
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # the routing plans are wide (many aliases and CASE ladders): constraint propagation
+        # costs seconds of driver planning per query; the operators filter NULL join keys
+        # explicitly, so the filters it would infer are already in the plan
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
