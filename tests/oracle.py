@@ -68,11 +68,19 @@ def main(argv):
     from poolwright.session import local_session
 
     sf_dir = "/root/testdata/sf0.01"
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     names = [a for a in argv if not a.startswith("/")] or list(E.queries())
     for a in argv:
         if a.startswith("/"):
             sf_dir = a
-    spark = local_session()
+    if plain:
+        # a session with Spark's defaults (as a caller would have), UI off
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

@@ -46,3 +46,12 @@ def test_plan_has_no_python_and_no_cartesian(spark, name):
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin"):
         assert node not in plan, node
+
+
+@pytest.mark.parametrize("name", ["c20_features_all", "t06_batch_parked", "c17_past_sale_all", "c05_winning_contract"])
+def test_no_window_over_facts(spark, name):
+    """Best-row picks are partial aggregates: no Window operator anywhere in these plans."""
+    df = E.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" not in plan
