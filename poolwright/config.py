@@ -38,8 +38,11 @@ class RunConfig:
     refresh_validated_only: bool = False
     # fair share over private child pools (off in the parked reference)
     fair_share: bool = False
-    # size above which a dimension is not broadcast (bytes, estimated from row count)
+    # rows above which a dimension is not broadcast
     broadcast_limit_rows: int = 2_000_000
+    # many-to-one fact joins: keys with at least hot_key_rows rows are spread over salt_buckets
+    hot_key_rows: int = 1_000_000
+    salt_buckets: int = 32
 
     @property
     def apply_tags(self) -> tuple[str, ...] | None:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from poolwright.config import RunConfig
 from poolwright.functions import constants as K
-from poolwright.functions.columns import broadcast_if_small, ne_null_safe
+from poolwright.functions.columns import broadcast_if_small, ne_null_safe, salted_join
 from poolwright.operators.tables import update_where_distinct
 
 
@@ -136,8 +136,10 @@ def roll_and_refresh(placements: DataFrame, moves: DataFrame, refresh_src: DataF
     x = batch_campaigns(refresh_src, pools, cfg)
     m = moves.select(F.col("company_id").alias("companyId"), F.col("proposed_pool_id").alias("_m_pool"),
                      F.col("proposed_campaign_id").alias("_m_campaign"), F.lit(True).alias("_moved"))
-    info = m.join(x, "companyId", "full_outer")
-    j = placements.join(info, "companyId", "left")
+    info = m.join(x, "companyId", "full_outer").withColumnRenamed("companyId", "_i_company")
+    # history rows per company are unbounded: a hot company is spread over salt buckets
+    j = salted_join(placements, info, "companyId", "_i_company", "left", ["id"], cfg.salt_buckets,
+                    cfg.hot_key_rows, cfg.broadcast_limit_rows)
     is_open = F.col("endedAt").isNull()
     moved = F.coalesce(F.col("_moved"), F.lit(False))
     refresh = ~moved & is_open & F.col("campaign").isNotNull() & ne_null_safe(F.col("sourcePoolId"), F.col("campaign"))
@@ -146,7 +148,8 @@ def roll_and_refresh(placements: DataFrame, moves: DataFrame, refresh_src: DataF
          else F.when(refresh, F.col("campaign")).otherwise(F.col("sourcePoolId")) if c == "sourcePoolId"
          else F.col(c)).alias(c) for c in placements.columns])
     opened = info.where(F.col("_moved")).select(
-        gen_id(cfg, "placement", "companyId").alias("id"), "companyId", F.col("_m_pool").alias("poolId"),
+        gen_id(cfg, "placement", "_i_company").alias("id"), F.col("_i_company").alias("companyId"),
+        F.col("_m_pool").alias("poolId"),
         F.coalesce(F.col("campaign"), F.col("_m_campaign")).alias("sourcePoolId"), F.lit(cfg.actor).alias("actorId"),
         run_ts(cfg).alias("distributedAt"), F.lit(None).cast("timestamp_ntz").alias("endedAt"),
     )
