@@ -43,6 +43,7 @@ class RunConfig:
     # many-to-one fact joins: keys with at least hot_key_rows rows are spread over salt_buckets
     hot_key_rows: int = 1_000_000
     salt_buckets: int = 32
+    max_hot_keys: int = 10_000
 
     @property
     def apply_tags(self) -> tuple[str, ...] | None:

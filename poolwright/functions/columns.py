@@ -162,22 +162,23 @@ def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_k
 
 
 def salted_join(many: DataFrame, one: DataFrame, many_key: str, one_key: str, how: str,
-                salt_from: Sequence[str], buckets: int, hot_rows: int, broadcast_rows: int) -> DataFrame:
+                salt_from: Sequence[str], buckets: int, hot_rows: int, max_hot_keys: int) -> DataFrame:
     """Many-to-one equi-join that spreads hot keys of ``many`` over ``buckets`` tasks.
 
     ``one`` is unique per key (a site, a meter, a company). Keys of ``many`` with at least
-    ``hot_rows`` rows are found with a partial-aggregate count; that hot-key table has at most
-    rows / hot_rows entries, so it is broadcast after the usual check. A hot key's rows get a
-    salt from a hash of ``salt_from`` (deterministic, so a retried task re-sends every row to
-    the same bucket) and the matching ``one`` row is copied once per bucket; every other key
-    joins with salt 0. Without hot keys the plan is the plain join plus one key count.
+    ``hot_rows`` rows are found with a partial-aggregate count; the ``max_hot_keys`` hottest of
+    them form the hot-key table, which is therefore bounded by construction and broadcast
+    (keys past that bound take the plain path: the result is the same, only not spread). A hot
+    key's rows get a salt from a hash of ``salt_from`` (deterministic, so a retried task re-sends
+    every row to the same bucket) and the matching ``one`` row is copied once per bucket; every
+    other key joins with salt 0. Without hot keys the plan is the plain join plus one key count.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = broadcast_if_small(
+    hot = F.broadcast(
         many.where(F.col(many_key).isNotNull()).groupBy(F.col(many_key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows).select("_hot_key"),
-        broadcast_rows)
+        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
+        .orderBy(F.col("_n").desc(), F.col("_hot_key")).limit(max_hot_keys).select("_hot_key"))
     m = many.join(hot, F.col(many_key) == F.col("_hot_key"), "left").withColumn(
         "_m_salt", F.when(F.col("_hot_key").isNotNull(),
                           F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets))).otherwise(F.lit(0))
