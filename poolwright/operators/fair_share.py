@@ -94,6 +94,7 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
     # the routed table feeds the loads, the candidates and the pass-through rows: cut it once
     routed = materialize(routed)
     lk = broadcast_if_small(private_links(links), cfg.broadcast_limit_rows)
+    # distinct parents of the size-checked link table: never more rows than lk
     parents = lk.select(F.col("fs_parent").alias("_has_kids")).distinct()
     unprotected = ~F.coalesce(F.col("is_protected"), F.lit(False))
 

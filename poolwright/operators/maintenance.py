@@ -252,7 +252,7 @@ def hide_pools(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame,
     pp = delete_matching(pp, hidden, {"poolId": "id"})
     complaint = pools.where(F.col("code") == "COMPLAINT").select("id")
     non_managers = profiles.where(~_is_manager()).select("id")
-    doomed = pp.join(F.broadcast(complaint), F.col("poolId") == F.col("id"), "left_semi").join(
+    doomed = pp.join(_dim(complaint, cfg), F.col("poolId") == F.col("id"), "left_semi").join(
         non_managers, F.col("profileId") == F.col("id"), "left_semi")
     return delete_matching(pp, doomed, {"poolId": "poolId", "profileId": "profileId"})
 
@@ -261,7 +261,7 @@ def relink_pools(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame
     """Every agent (private link or private primary pool) sees every shared pool except
     COMPLAINT; managers / admins see COMPLAINT."""
     priv = pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("_priv"))
-    agents = pool_profiles.join(F.broadcast(priv), F.col("poolId") == F.col("_priv"), "left_semi").select(
+    agents = pool_profiles.join(_dim(priv, cfg), F.col("poolId") == F.col("_priv"), "left_semi").select(
         F.col("profileId").alias("agent")).unionByName(
         _owner_rows(profiles, pools, cfg).select(F.col("profileId").alias("agent"))).distinct()
     shared = _dim(pools.where(F.col("type").cast("string").isin(*K.SHARED_TYPES)

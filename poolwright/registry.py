@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from poolwright import twins
 from poolwright.config import FIXTURE_CONFIG, RunConfig
-from poolwright.functions.columns import clock_label, days_until, is_dfv
+from poolwright.functions.columns import broadcast_if_small, clock_label, days_until, is_dfv
 from poolwright.operators import apply as AP
 from poolwright.operators import fair_share as FS
 from poolwright.operators import features as C
@@ -313,7 +313,7 @@ def ap8(fx, cfg):
     routed, _ = _batch_for_apply(fx, cfg)
     owners = fx.profiles.where(F.col("primaryPoolId").isNotNull()).select(
         F.col("id").alias("owner_id"), F.col("primaryPoolId").alias("owner_pool"))
-    pb = routed.join(F.broadcast(owners), F.col("proposed_pool_id") == F.col("owner_pool")).groupBy("company_id").agg(
+    pb = routed.join(broadcast_if_small(owners, cfg.broadcast_limit_rows), F.col("proposed_pool_id") == F.col("owner_pool")).groupBy("company_id").agg(
         F.min("owner_id").alias("proposed_profile_id"))
     new, _ = AP.apply_profiles(fx.companies, pb)
     return new.select(F.col("id").alias("company_id"), F.col("profileId").alias("profile_id"))
