@@ -333,3 +333,9 @@ def promote_campaign(pools: DataFrame, rules: DataFrame, links: DataFrame, cfg:
     links2 = links.withColumn("parentType", F.when(F.col("parentType").cast("string") == "STANDARD", F.lit("CAMPAIGN"))
                               .otherwise(F.col("parentType")))
     return pools2, links2
+
+
+def route_code_collisions(routes: DataFrame) -> DataFrame:
+    """Q25 check: supplier tag codes that still collide after the id suffix (expected empty)."""
+    own = routes.where(~F.col("bucket").isin(*K.SYNC_SHARED_BUCKETS))
+    return own.groupBy("tag_code").agg(F.count(F.lit(1)).alias("providers")).where(F.col("providers") > 1)

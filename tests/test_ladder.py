@@ -92,3 +92,33 @@ def test_protected_null_pool_is_false(spark):
 
 def test_exactly_one_tag_per_company(tagged):
     assert all(r["lead_tag"] for r in tagged.values())
+
+
+RUNGS = ["COMPLAINT", "CALLBACK", "LOCKED"]
+RAISE = {"COMPLAINT": dict(has_complaint_note=True), "CALLBACK": dict(has_open_callback=True),
+         "LOCKED": dict(is_current_pool_locked=True)}
+
+
+def test_raising_a_higher_rung_never_lowers_the_tag(spark):
+    """Property: switching on a sticky condition yields that rung or a higher one."""
+    import random
+    rng = random.Random(11)
+    rows = []
+    for i in range(300):
+        days = rng.choice([None, -5, 0, 1, 30, 365, 366, 540, 541, 900])
+        r = dict(BASE, company_id=f"r{i}", has_any_past_deal=rng.random() < 0.5, has_rejected_deal=rng.random() < 0.2,
+                 last_deal_days_since=rng.choice([None, 3, 7, 30, 60, 61]), site_count=rng.choice([1, 15, 21, 150, 201]),
+                 last_deal_raw_days_left=days, last_deal_days_left=days, is_win_dfv=rng.random() < 0.3,
+                 win_tag_code=rng.choice(["EON", "BG", "UB", "OTHER", None]), is_gdpr_pool=rng.random() < 0.1)
+        rows.append(("base", r))
+        for rung, over in RAISE.items():
+            rows.append((rung, dict(r, **over, company_id=f"{r['company_id']}_{rung}")))
+    feats = spark.createDataFrame([tuple(r[c] for c in COLS) for _, r in rows], TYPES)
+    pools = spark.createDataFrame([("pool_COMPLAINT", "COMPLAINT", "Complaint", "STANDARD", True)], SC.POOLS)
+    got = {r["company_id"]: r["lead_tag"] for r in T.tag(feats, pools, CFG).collect()}
+    for rung, r in rows:
+        tag = got[r["company_id"]]
+        assert tag, r
+        if rung != "base":
+            allowed = RUNGS[: RUNGS.index(rung) + 1]
+            assert tag in allowed, (rung, tag)

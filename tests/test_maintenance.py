@@ -65,3 +65,23 @@ def test_features_one_row_per_company(fx):
     feats = C.build_features(fx, PARKED)
     n = fx.companies.count()
     assert feats.count() == n and feats.select("company_id").distinct().count() == n
+
+
+def test_route_codes_unique_after_suffix(spark):
+    fx = Fixtures(spark, SF, LIVE)
+    assert M.route_code_collisions(M.provider_routes(fx.providers, LIVE)).count() == 0
+
+
+def test_routing_with_no_contracts_and_no_deals(spark):
+    """Empty fact tables: every company still gets exactly one tag."""
+    from dataclasses import replace
+
+    from poolwright.plans.nightly import from_fixtures, route
+    from poolwright.sources import schemas as SC
+
+    fx = Fixtures(spark, SF, PARKED)
+    t = replace(from_fixtures(fx), contracts=spark.createDataFrame([], SC.CONTRACTS),
+                deals=spark.createDataFrame([], SC.DEALS))
+    routed = route(t, PARKED)
+    n = fx.companies.count()
+    assert routed.count() == n and routed.where(F.col("lead_tag").isNull()).count() == 0
