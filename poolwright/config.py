@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # The tag lists that apply while routing is parked, and the tags that
 # stay protected moves even when the company is sticky.

@@ -14,10 +14,6 @@ from poolwright.functions import constants as K
 from poolwright.functions.columns import broadcast_if_small
 from poolwright.operators.features import pool_by_code
 
-def str_null():
-    return F.lit(None).cast("string")
-
-
 def _false_if_null(c: str):
     return F.coalesce(F.col(c), F.lit(False))
 

@@ -19,6 +19,7 @@ from poolwright.functions import constants as K
 from poolwright.sources import conform, empty
 from poolwright.sources import schemas as SC
 
+
 def str_null():
     return F.lit(None).cast("string")
 
