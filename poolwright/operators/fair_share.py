@@ -116,7 +116,8 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
         "fs_parent", "fs_child", F.coalesce(F.col("have_n"), F.lit(0)).alias("have_n"))
     seg = broadcast_if_small(_segments(loads), cfg.broadcast_limit_rows)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    setting = spark.conf.get("spark.sql.shuffle.partitions", None) or ""
+    parts = int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
     cands = _rank_within_parent(
         flagged.where(F.col("_cand")).withColumn("fs_parent", F.col("proposed_pool_id")), parts)
     t = F.col("cand_rn") - F.col("lo")
