@@ -162,7 +162,8 @@ def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_k
 
 
 def salted_join(many: DataFrame, one: DataFrame, many_key: str, one_key: str, how: str,
-                salt_from: Sequence[str], buckets: int, hot_rows: int, max_hot_keys: int) -> DataFrame:
+                salt_from: Sequence[str], buckets: int, hot_rows: int, max_hot_keys: int,
+                enabled: bool = True) -> DataFrame:
     """Many-to-one equi-join that spreads hot keys of ``many`` over ``buckets`` tasks.
 
     ``one`` is unique per key (a site, a meter, a company). Keys of ``many`` with at least
@@ -175,6 +176,8 @@ def salted_join(many: DataFrame, one: DataFrame, many_key: str, one_key: str, ho
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
+    if not enabled:
+        return many.join(one, F.col(many_key) == F.col(one_key), how)
     hot = F.broadcast(
         many.where(F.col(many_key).isNotNull()).groupBy(F.col(many_key).alias("_hot_key"))
         .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)

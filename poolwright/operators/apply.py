@@ -139,7 +139,7 @@ def roll_and_refresh(placements: DataFrame, moves: DataFrame, refresh_src: DataF
     info = m.join(x, "companyId", "full_outer").withColumnRenamed("companyId", "_i_company")
     # history rows per company are unbounded: a hot company is spread over salt buckets
     j = salted_join(placements, info, "companyId", "_i_company", "left", ["id"], cfg.salt_buckets,
-                    cfg.hot_key_rows, cfg.max_hot_keys)
+                    cfg.hot_key_rows, cfg.max_hot_keys, cfg.salt_hot_keys)
     is_open = F.col("endedAt").isNull()
     moved = F.coalesce(F.col("_moved"), F.lit(False))
     refresh = ~moved & is_open & F.col("campaign").isNotNull() & ne_null_safe(F.col("sourcePoolId"), F.col("campaign"))

@@ -38,3 +38,15 @@ def test_hot_path_on_fixtures(spark):
                                        fx.pools, APPLY), APPLY)
     args = (batch, fx.companies, fx.company_pool_placements, fx.company_pool_audits, fx.pools, fx.pool_links)
     assert rows(AP.apply_batch(*args, APPLY).placements) == rows(AP.apply_batch(*args, hot).placements)
+
+
+def test_salting_switch_off_gives_same_rows(spark):
+    from poolwright.operators import features as C
+    from poolwright.registry import APPLY
+    from poolwright.sources.fixtures import Fixtures
+
+    fx = Fixtures(spark, "/root/testdata/sf0.001", APPLY)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    on = C.resolve_contract_companies(fx.contracts, fx.company_sites, fx.site_meters, APPLY)
+    off = C.resolve_contract_companies(fx.contracts, fx.company_sites, fx.site_meters, APPLY.with_(salt_hot_keys=False))
+    assert rows(on) == rows(off)
