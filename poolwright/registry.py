@@ -659,3 +659,21 @@ FROM m4_families""")
 def t07f(fx, cfg):
     _, families, rules = _sync(fx, cfg)
     return _renamed(T.activate(rules, families, "parked")[1], FAMILY_COLS)
+
+
+
+# --- supplier classification through synced provider families (C4/C5/C7 family path) ------
+
+def _synced_facts(fx, cfg):
+    _, families, _ = _sync(fx, cfg)
+    return C.contract_facts(_resolved(fx), fx.providers, families, cfg)
+
+
+@register("c04_contract_facts_synced", LIVE, "SELECT * FROM facts_synced")
+def c04s(fx, cfg):
+    return _synced_facts(fx, cfg)
+
+
+@register("c05_winning_contract_synced", LIVE, "SELECT * FROM winner_synced")
+def c05s(fx, cfg):
+    return C.winning_contract(_synced_facts(fx, cfg))
