@@ -114,6 +114,9 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
     ).agg(F.count(F.lit(1)).alias("have_n"))
     loads = lk.join(kept, ["fs_parent", "fs_child"], "left").select(
         "fs_parent", "fs_child", F.coalesce(F.col("have_n"), F.lit(0)).alias("have_n"))
+    # one row per distinct child load of a parent: never more rows than active private links.
+    # Beyond the broadcast bound the join falls back to a shuffle join on the parent (correct, but
+    # a hot parent's candidates would then meet in one task; AQE's skew split applies).
     seg = broadcast_if_small(_segments(loads), cfg.broadcast_limit_rows)
 
     setting = spark.conf.get("spark.sql.shuffle.partitions", None) or ""
