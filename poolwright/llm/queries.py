@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import source_mixing, url_filters
+from pyspark.sql import functions as F
+
+from . import bpe, source_mixing, url_filters
 from .common import table
 
 
+def op2_bpe_roundtrip(spark, sf_dir):
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op6_url_filters(spark, sf_dir):
     return url_filters.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -15,6 +23,7 @@ def op8_source_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
     "op6_url_filters": (op6_url_filters, None),
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
 }
