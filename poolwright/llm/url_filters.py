@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import checkpointed, lower_ascii
 
 #: The contract's rules: (rule, verdict).
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -57,6 +57,7 @@ def train(labelled: DataFrame) -> DataFrame:
     """(gram, delta): log ratio of a gram's last character, accepted over rejected, after the rest of it."""
     ok = F.col("_verdict") == "allow"
     seen = _grams(labelled, "_verdict").groupBy("g").agg(F.sum(ok.cast("double")).alias("a"), F.sum((~ok).cast("double")).alias("r"))
+    seen = checkpointed(seen)  # all orders are summed up from these counts
     total = seen.agg((F.sum("a") + F.sum("r")).alias("all"))
     model, shorter = None, None
     for k in range(1, ORDER + 1):
@@ -109,9 +110,9 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = pages.select("page_id", F.coalesce(F.col("url"), F.lit("")).alias("_url"), host.alias("host"), path.alias("path"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("_verdict", verdict)
-    model = train(rows.where(F.col("_verdict").isNotNull()).select("_url", "_verdict"))
+    model = checkpointed(train(rows.where(F.col("_verdict").isNotNull()).select("_url", "_verdict")))
     urls = rows.groupBy("_url", "_verdict").agg(F.count("*").alias("_n"))
-    scores = urls.join(score_urls(urls.select("_url"), model), "_url")
+    scores = checkpointed(urls.join(score_urls(urls.select("_url"), model), "_url"))
     cut = threshold(scores.where(F.col("_verdict").isNotNull()))
     # the threshold is one row; a left join keeps the pages where there is none
     out = rows.join(scores.select("_url", "score"), "_url", "left").join(F.broadcast(cut), F.lit(True), "left")
