@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, source_mixing, url_filters
+from . import bpe, quality_rules, source_mixing, url_filters
 from .common import table
 
 
@@ -14,6 +14,11 @@ def op2_bpe_roundtrip(spark, sf_dir):
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op3_quality_rules(spark, sf_dir):
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op6_url_filters(spark, sf_dir):
     return url_filters.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -24,6 +29,7 @@ def op8_source_mixing(spark, sf_dir):
 
 QUERIES = {
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
+    "op3_quality_rules": (op3_quality_rules, None),
     "op6_url_filters": (op6_url_filters, None),
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
 }
