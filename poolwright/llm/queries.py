@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, source_mixing, url_filters
+from . import bpe, language_id, quality_rules, source_mixing, url_filters
 from .common import table
 
 
@@ -27,9 +27,14 @@ def op8_source_mixing(spark, sf_dir):
     return source_mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
     "op3_quality_rules": (op3_quality_rules, None),
     "op6_url_filters": (op6_url_filters, None),
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
+    "op9_language_id": (op9_language_id, None),
 }
