@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, quality_rules, source_mixing, url_filters
+from . import bpe, language_id, quality_classifier, quality_rules, source_mixing, topk_search, url_filters
 from .common import table
 
 
@@ -19,10 +19,19 @@ def op3_quality_rules(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op5_topk_search(spark, sf_dir):
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_url_filters(spark, sf_dir):
     return url_filters.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_quality_classifier(spark, sf_dir):
+    scored = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.col("_score").alias("score"), F.col("_kept").alias("kept"), F.col("_text_score").alias("text_score"), F.col("_meta_score").alias("meta_score"))
+
+
 def op8_source_mixing(spark, sf_dir):
     return source_mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -34,7 +43,9 @@ def op9_language_id(spark, sf_dir):
 QUERIES = {
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
     "op3_quality_rules": (op3_quality_rules, None),
+    "op5_topk_search": (op5_topk_search, topk_search.SQL),
     "op6_url_filters": (op6_url_filters, None),
+    "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
     "op9_language_id": (op9_language_id, None),
 }
