@@ -51,7 +51,7 @@ def newer_characters() -> list[str]:
 
 
 #: Pre-tokens that a worker remembers before it starts afresh (memory only; results don't depend on it).
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -253,9 +253,10 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: t
         coder = None
         for whole in batches:
             coder = coder or Encoder(path)
-            for batch in slices(whole, "_text", 24 << 20):
+            for batch in slices(whole, "_text", 6 << 20):
                 ids = coder.encode([t or "" for t in batch.column("_text").to_pylist()])
                 cols = [batch.column(c) for c in keep] + [pa.array([x.tobytes() for x in ids], pa.binary())]
+                del ids
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, "ids"])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
@@ -271,7 +272,7 @@ def decode(encoded: DataFrame, path: str | None = None, keep: tuple[str, ...] =
         coder = None
         for whole in batches:
             coder = coder or Encoder(path)
-            for batch in slices(whole, "_ids", 24 << 20):
+            for batch in slices(whole, "_ids", 6 << 20):
                 texts = [coder.decode(np.frombuffer(x or b"", "<u4")) for x in batch.column("_ids").to_pylist()]
                 cols = [batch.column(c) for c in keep] + [pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, "decoded"])
