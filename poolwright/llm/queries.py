@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, quality_classifier, quality_rules, source_mixing, topk_search, url_filters
+from . import bpe, language_id, ngram_join, quality_classifier, quality_rules, source_mixing, topk_search, url_filters
 from .common import table
 
 
+def op1_ngram_jaccard_join(spark, sf_dir):
+    rule = ngram_join.Rule(words=4, num=85, den=100)
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), rule).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_bpe_roundtrip(spark, sf_dir):
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
     return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
@@ -41,6 +46,7 @@ def op9_language_id(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
     "op3_quality_rules": (op3_quality_rules, None),
     "op5_topk_search": (op5_topk_search, topk_search.SQL),
