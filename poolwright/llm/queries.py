@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, ngram_join, quality_classifier, quality_rules, source_mixing, topk_search, url_filters
+from . import bpe, language_id, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, url_filters
 from .common import table
 
 
@@ -45,6 +45,12 @@ def op9_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    got = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return got.select(F.col("_k0").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
@@ -54,4 +60,5 @@ QUERIES = {
     "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
     "op9_language_id": (op9_language_id, None),
+    "op10_suffix_dedup": (op10_suffix_dedup, None),
 }
