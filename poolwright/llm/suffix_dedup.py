@@ -65,17 +65,19 @@ def entries(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     none = np.zeros(0, np.int64)
     if len(buf) < MATCH:
         return none, none, none, none
-    # ties go to one place or the other; the name is alike, and an entry has a single least gram
-    least = _slide_min(_grams(buf) & ~U(255) | (np.arange(len(buf)) & 255).astype(U), SPAN)
+    g = _grams(buf)
+    least = _slide_min(g, SPAN)
     lens = np.diff(bounds)
     rows = np.flatnonzero(lens >= MATCH)
     count = lens[rows] - MATCH + 1
     at = np.arange(count.sum()) + np.repeat(bounds[rows] - np.append(0, np.cumsum(count)[:-1]), count)
     row = np.repeat(rows, count)
     m = least[at]
-    head = np.append(True, (m[1:] != m[:-1]) | (row[1:] != row[:-1]))
+    # an entry ends where its leftmost least gram leaves the window, so its windows all differ
+    leaves = m == g[at]
+    head = np.append(True, (m[1:] != m[:-1]) | (row[1:] != row[:-1]) | leaves[:-1])
     first = np.flatnonzero(head)
-    return (m[first] >> U(8)).astype(np.int64), row[first], at[first] - bounds[row[first]], np.diff(np.append(first, len(m)))
+    return m[first].view(np.int64), row[first], at[first] - bounds[row[first]], np.diff(np.append(first, len(m)))
 
 
 def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
