@@ -152,3 +152,16 @@ def spans_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     np.cumsum(lens, out=offs[1:])
     take = np.arange(offs[-1]) + np.repeat(starts - offs[:-1], lens)
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lens), [None, pa.py_buffer(offs), pa.py_buffer(buf[take])])
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write the rows as Parquet under ``spark.checkpoint.dir`` and read them back: a checkpoint that is
+    compressed, for large intermediate tables. Like checkpoints, the files stay until that folder is cleared."""
+    from uuid import uuid4
+
+    from poolwright.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, url_filters
+from . import bpe, language_id, lm_scoring, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, url_filters
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_quality_rules(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op4_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op5_topk_search(spark, sf_dir):
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
     "op3_quality_rules": (op3_quality_rules, None),
+    "op4_lm_scoring": (op4_lm_scoring, None),
     "op5_topk_search": (op5_topk_search, topk_search.SQL),
     "op6_url_filters": (op6_url_filters, None),
     "op7_quality_classifier": (op7_quality_classifier, None),
