@@ -352,3 +352,17 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def jaccard_links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return Join(docs, rule).links()
+
+
+def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs`` less near-duplicates: of each component the document of smallest id stays.
+
+    Rows without doc_id or shingles link with nothing and stay; repeated rows of one doc_id are one document.
+    """
+    known = F.col("doc_id").isNotNull()
+    least = jaccard_components(docs, rule).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    stay = docs.where(known).join(least, "doc_id").select(*docs.columns)
+    if docs.columns:
+        order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+        stay = stay.withColumn("_row", F.row_number().over(order)).where(F.col("_row") == 1).drop("_row")
+    return stay.unionByName(docs.where(~known))
