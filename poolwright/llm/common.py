@@ -47,7 +47,7 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, UPPER.lower())
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``limit`` text bytes (one long row may exceed it)."""
     n = batch.num_rows
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -258,20 +258,24 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _identified(docs: DataFrame, *keep: Column) -> DataFrame:
-    """id (null ids after all others, by the text's hash), th (bits of that hash), h1 and h2 (of the text)."""
+    """id (null ids after all others, by the text's hash), th (bits of that hash), the kept columns, _text."""
     rows = docs.select(*keep, F.col("doc_id").alias("_d"), F.coalesce("text", F.lit("")).alias("_text"))
-    rows = rows.withColumns({"h1": F.xxhash64("_text"), "h2": F.xxhash64("_text", F.lit(1))})
+    h = F.xxhash64("_text")
     return rows.withColumns({
-        "id": F.coalesce(F.col("_d").cast("long"), F.lit(1 << 62) + F.col("h1").bitwiseAND(F.lit((1 << 61) - 1))),
-        "th": F.col("h1").bitwiseAND(F.lit((1 << _TEXT_BITS) - 1))}).drop("_d")
+        "id": F.coalesce(F.col("_d").cast("long"), F.lit(1 << 62) + h.bitwiseAND(F.lit((1 << 61) - 1))),
+        "th": h.bitwiseAND(F.lit((1 << _TEXT_BITS) - 1))}).drop("_d")
 
 
 def repeated_spans(rows: DataFrame, shards: int, hot: int = HOT) -> DataFrame:
-    """(id, th, spans): the merged removed byte ranges of each text; ``rows``: id, th, _text of distinct texts."""
+    """(id, th, spans): the removed byte ranges of each text. ``rows``: id, th, sole, _text and others.
+
+    Both reads take all columns, so that they share one exchange of the texts with the caller's own.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "_text", 4 << 20):
+            for batch in slices(whole, "_text", 2 << 20):
+                batch = batch.filter(batch.column("sole"))
                 name, row, lo, count = entries(*text_bytes(batch.column("_text")))
                 ids, th = batch.column("id").to_numpy()[row], batch.column("th").to_numpy()[row]
                 yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(ids), pa.array(th << 40 | lo << 8 | count)], names=["name", "id", "at"])
@@ -291,13 +295,13 @@ def repeated_spans(rows: DataFrame, shards: int, hot: int = HOT) -> DataFrame:
                     [pa.array(key), pa.array(batch.column("id").to_numpy()[row]), pa.array(batch.column("th").to_numpy()[row]), pa.array(lo),
                      pa.array(count.astype(np.int32)), pa.array(split), pa.array(ctx, pa.binary())], names=["key", "id", "th", "lo", "count", "hot", "ctx"])
 
-    found = rows.select("id", "th", "_text").mapInArrow(find, "name long, id long, at long")
+    found = rows.mapInArrow(find, "name long, id long, at long")
     found = found.withColumn("n", F.count("*").over(Window.partitionBy("name"))).where(F.col("n") > 1)
     part = F.pmod(F.xxhash64("id", "at"), F.ceil(F.col("n") / hot).cast("long"))
     found = found.select("id", F.shiftright("at", 40).alias("th"), F.struct(
         "at", F.when(F.col("n") > hot, F.xxhash64("name", part)).otherwise(F.col("name")).alias("key"), (F.col("n") > hot).alias("hot")).alias("f"))
     found = found.groupBy("id", "th").agg(F.collect_list("f").alias("found"))  # of one text
-    sent = rows.join(found, ["id", "th"]).select("id", "th", "_text", "found").mapInArrow(
+    sent = rows.join(found, ["id", "th"]).mapInArrow(
         cut, "key long, id long, th long, lo long, count int, hot boolean, ctx binary")
     kind = "id long, th long, s long, e long, w1 long, w2 long"
     gone = sent.repartition(shards, "key").mapInArrow(_shard, kind)
@@ -305,7 +309,7 @@ def repeated_spans(rows: DataFrame, shards: int, hot: int = HOT) -> DataFrame:
     return gone.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("spans"))
 
 
-def _apply(keep: list[str], kinds: dict[str, str], rows: DataFrame) -> DataFrame:
+def _apply(keep: list[str], kinds: dict[str, str], rows: DataFrame, as_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
@@ -324,37 +328,43 @@ def _apply(keep: list[str], kinds: dict[str, str], rows: DataFrame) -> DataFrame
                     else:  # an equal text of smaller id is kept
                         gone = [[0, len(raw)]] if len(raw) >= MATCH else []
                     ends = [0, *(e for _, e in gone)]
-                    kept.append(b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)])))
+                    left = b"".join(raw[a:b] for a, b in zip(ends, [*(s for s, _ in gone), len(raw)]))
+                    kept.append(left.decode(errors="ignore") if as_text else left)
                     total.append(len(raw))
                     spans_out.append([{"start": s, "end": e} for s, e in gone])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in keep] + [pa.array(total, pa.int64()), pa.array(spans_out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                                                      pa.array(kept, pa.binary())], names=[*keep, "n_bytes", "spans", "kept"])
+                                                      pa.array(kept, pa.string() if as_text else pa.binary())], names=[*keep, "n_bytes", "spans", "kept"])
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", n_bytes long, spans array<struct<start: long, end: long>>, kept " + ("string" if as_text else "binary")
     return rows.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), hot: int = HOT) -> DataFrame:
-    """``keep`` (as _k0, _k1, ...), n_bytes, spans (removed byte ranges), kept (the bytes that are left) of every row."""
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), hot: int = HOT, as_text: bool = False) -> DataFrame:
+    """``keep`` (as _k0, _k1, ...), n_bytes, spans (removed byte ranges), kept (the bytes that are left, or with
+    ``as_text`` the text that they make, less cut characters) of every row."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // SHARD_BYTES))
     names = [f"_k{i}" for i in range(len(keep))]
     rows = _identified(docs, *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)])
-    firsts = _identified(docs).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("th").alias("th")).select("id", "th").distinct()
+    # the first id of each text, which is told by two hashes
+    ids = _identified(docs).withColumns({"h1": F.xxhash64("_text"), "h2": F.xxhash64("_text", F.lit(1))})
+    firsts = ids.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("th").alias("th")).select("id", "th").distinct()
     rows = rows.join(firsts.withColumn("sole", F.lit(True)), ["id", "th"], "left").withColumn("sole", F.coalesce("sole", F.lit(False)))
-    spans = repeated_spans(rows.where("sole").select("id", "th", "_text"), shards, hot)
-    out = rows.join(spans, ["id", "th"], "left").select(*names, "_text", "sole", "spans")
-    return _apply(names, dict(out.dtypes), out)
+    rows = rows.select("id", "th", *names, "_text", "sole")
+    out = rows.join(repeated_spans(rows, shards, hot), ["id", "th"], "left")
+    return _apply(names, dict(out.dtypes), out, as_text)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts (cut characters dropped) and n_chars; rows of
     which nothing is left go."""
-    got = remove_repeats(docs, tuple(docs.columns)).where((F.col("n_bytes") == 0) | (F.length("kept") > 0))
-    text = F.when(F.col(f"_k{docs.columns.index('text')}").isNotNull(), F.regexp_replace(F.decode(F.col("kept"), "UTF-8"), "�", ""))
-    own = {c: F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)}
-    own["text"] = F.when(F.size("spans") > 0, text).otherwise(F.col(f"_k{docs.columns.index('text')}")).alias("text")
+    others = [c for c in docs.columns if c != "text"]
+    got = docs.select(*[F.col(f"`{c}`") for c in others], "text", F.col("text").isNull().alias("_null"))
+    got = remove_repeats(got, (*others, "_null"), as_text=True).where((F.col("n_bytes") == 0) | (F.length("kept") > 0))
+    cut = F.size("spans") > 0
+    own = {c: F.col(f"_k{i}") for i, c in enumerate(others)}
     if "n_chars" in own:
-        own["n_chars"] = F.when(F.size("spans") > 0, F.length(text)).otherwise(F.col(f"_k{docs.columns.index('n_chars')}")).cast(dict(docs.dtypes)["n_chars"]).alias("n_chars")
-    return got.select(*own.values())
+        own["n_chars"] = F.when(cut, F.length("kept")).otherwise(own["n_chars"]).cast(dict(docs.dtypes)["n_chars"])
+    own["text"] = F.when(~F.col(f"_k{len(others)}"), F.col("kept"))
+    return got.select(*[own[c].alias(c) for c in docs.columns])
