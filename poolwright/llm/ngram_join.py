@@ -359,10 +359,10 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     Rows without doc_id or shingles link with nothing and stay; repeated rows of one doc_id are one document.
     """
-    known = F.col("doc_id").isNotNull()
-    least = jaccard_components(docs, rule).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    stay = docs.where(known).join(least, "doc_id").select(*docs.columns)
-    if docs.columns:
-        order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-        stay = stay.withColumn("_row", F.row_number().over(order)).where(F.col("_row") == 1).drop("_row")
-    return stay.unionByName(docs.where(~known))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col("doc_id").alias("_id"), row.alias("_row"))
+    known = F.col("_id").isNotNull()
+    least = jaccard_components(docs, rule).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    order = Window.partitionBy("_id").orderBy(F.xxhash64("_row"))
+    stay = rows.where(known).join(least, "_id").withColumn("_k", F.row_number().over(order)).where(F.col("_k") == 1)
+    return stay.select("_id", "_row").unionByName(rows.where(~known)).select("_row.*")

@@ -225,13 +225,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return co_train((sparse("tc", "tv"), sparse("mc", "mv")), y, aside)
 
 
-def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, then ``_text_score``, ``_meta_score``, ``_score`` (probabilities of good quality) and ``_kept``."""
+def _classified(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` as _k0, _k1, ..., then _text_score, _meta_score, _score and _kept."""
     model = train(docs, labels)
     kinds = dict(docs.dtypes)
     names = ["_text_score", "_meta_score", "_score", "_kept"]
     if model is None:
-        return docs.select(*keep, *[F.lit(None).cast("double").alias(c) for c in names[:3]], F.lit(True).alias("_kept"))
+        return docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], *[F.lit(None).cast("double").alias(c) for c in names[:3]], F.lit(True).alias("_kept"))
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # 3 * 2**DIM numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +250,16 @@ def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], F.col("text").alias("_t"), F.col("lang").alias("_l"),
                        F.col("source").alias("_s"), F.col("n_chars").alias("_n"))
     schema = ", ".join(f"_k{i} {kinds[c]}" for i, c in enumerate(keep)) + ", _text_score double, _meta_score double, _score double, _kept boolean"
-    return rows.mapInArrow(run, schema).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], *names)
+    return rows.mapInArrow(run, schema)
+
+
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per document: doc_id, text_score, meta_score, score (probabilities of good quality) and kept."""
+    got = _classified(docs, labels, ("doc_id",))
+    return got.select(F.col("_k0").alias("doc_id"), *[F.col(f"_{c}").alias(c) for c in ("text_score", "meta_score", "score", "kept")])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    return classify(docs, labels, tuple(docs.columns)).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    got = _classified(docs, labels, tuple(docs.columns)).where("_kept")
+    return got.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -37,8 +37,7 @@ def op6_url_filters(spark, sf_dir):
 
 
 def op7_quality_classifier(spark, sf_dir):
-    scored = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", F.col("_score").alias("score"), F.col("_kept").alias("kept"), F.col("_text_score").alias("text_score"), F.col("_meta_score").alias("meta_score"))
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_source_mixing(spark, sf_dir):

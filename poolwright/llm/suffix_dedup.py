@@ -359,12 +359,11 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), hot: in
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts (cut characters dropped) and n_chars; rows of
     which nothing is left go."""
-    others = [c for c in docs.columns if c != "text"]
-    got = docs.select(*[F.col(f"`{c}`") for c in others], "text", F.col("text").isNull().alias("_null"))
-    got = remove_repeats(got, (*others, "_null"), as_text=True).where((F.col("n_bytes") == 0) | (F.length("kept") > 0))
-    cut = F.size("spans") > 0
-    own = {c: F.col(f"_k{i}") for i, c in enumerate(others)}
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own = {c: F.col(f"_k{i}") for i, c in enumerate(docs.columns)}  # all but the text, which comes back as kept
+    got = docs.select(*[F.col(f"`{c}`").isNull().alias(n) if c == "text" else F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], "doc_id", "text")
+    got = remove_repeats(got, tuple(names), as_text=True).where((F.col("n_bytes") == 0) | (F.length("kept") > 0))
+    own["text"] = F.when(~own["text"], F.col("kept"))
     if "n_chars" in own:
-        own["n_chars"] = F.when(cut, F.length("kept")).otherwise(own["n_chars"]).cast(dict(docs.dtypes)["n_chars"])
-    own["text"] = F.when(~F.col(f"_k{len(others)}"), F.col("kept"))
+        own["n_chars"] = F.when(F.size("spans") > 0, F.length("kept")).otherwise(own["n_chars"]).cast(dict(docs.dtypes)["n_chars"])
     return got.select(*[own[c].alias(c) for c in docs.columns])
