@@ -9,9 +9,12 @@ doubling what is still tied, to 128 bytes), and finds common prefixes of neighbo
 prefix loses one byte from a position to the next. Windows in a run of common prefixes of ``MATCH`` bytes
 are equal; all but the earliest go.
 
-A name with over ``HOT`` entries is spread over several shards. These name the earliest window of each of their
-runs by its hash, and the merge finds each name's run in the sorted order by binary search and lets all but
-the earliest go. Equal whole texts are taken once, by their smallest id; the others go as a whole.
+A name with over ``HOT`` entries, or over ``HEAVY`` in one batch, is spread over several shards. These name the
+earliest window of each of their runs by its hash, and the merge finds each name's run in the sorted order by
+binary search and lets all but the earliest go. Names are counted where they meet, but a batch sends one row for
+a name that it holds often, and its entries go by another way, so a name in a third of all texts is a row a
+batch. Equal stretches in a batch, as in periodic texts, stand once, by the earliest; the others go. Equal whole
+texts are taken once, by their smallest id; the others go as a whole.
 
 Everything is judged on the input, and matches don't cross documents. Null text is empty. A null doc_id is an
 id after all others, ordered by a hash of the text. Repeated rows of one id and text are one document and get
@@ -33,6 +36,7 @@ MATCH = 100
 GRAM = 24
 SPAN = MATCH - GRAM + 1  # grams in a window
 HOT = 16_000
+HEAVY = 256
 #: bytes of input for which a shard is made; about 40 bytes make an entry, and most entries occur once
 SHARD_BYTES = 1 << 21
 U = np.uint64
@@ -80,6 +84,41 @@ def entries(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return m[first].view(np.int64), row[first], at[first] - bounds[row[first]], np.diff(np.append(first, len(m)))
 
 
+ENTRY, KNOWN, COUNT, GONE = range(4)  # kinds of rows; KNOWN: an entry of a name that its batch holds often
+
+
+def batch_rows(name: np.ndarray, ids: np.ndarray, th: np.ndarray, lo: np.ndarray, count: np.ndarray, start: np.ndarray, raw: bytes) -> list[np.ndarray]:
+    """Rows (name, id, th << 40 | lo, count, kind) of a batch's entries; ``start``: where their stretches begin in ``raw``."""
+    order = np.argsort(name, kind="stable")
+    head = np.append(True, name[order][1:] != name[order][:-1]) if len(name) else np.zeros(0, bool)
+    size = np.diff(np.append(np.flatnonzero(head), len(name)))
+    often = np.repeat(size, size)
+    again = order[often > 1]
+    again = again[np.lexsort((lo[again], ids[again]))]
+    kind = np.full(len(name), ENTRY)
+    held: dict[bytes, int] = {}
+    for k, a, b in zip(again.tolist(), start[again].tolist(), (start[again] + count[again] + (MATCH - 1)).tolist()):
+        first = held.setdefault(raw[a:b], k)
+        if first != k:  # a repeated row of one document leaves its entries to the other; they aren't earlier
+            kind[k] = GONE if (ids[first], lo[first]) != (ids[k], lo[k]) else -1
+    stay = order[kind[order] == ENTRY]
+    names, at, size = np.unique(name[stay], return_index=True, return_counts=True)
+    many = names[size > HEAVY]
+    kind[stay[np.isin(name[stay], many)]] = KNOWN
+    keep = (kind == ENTRY) | (kind == KNOWN)
+    # neighbouring stretches that go are put together
+    gone = np.flatnonzero(kind == GONE)
+    gone = gone[np.lexsort((lo[gone], th[gone], ids[gone]))]
+    joins = np.append(False, (ids[gone][1:] == ids[gone][:-1]) & (th[gone][1:] == th[gone][:-1]) & (lo[gone][1:] == (lo[gone] + count[gone])[:-1])) if len(gone) else np.zeros(0, bool)
+    first = np.flatnonzero(~joins)
+    total = np.add.reduceat(count[gone], first) if len(gone) else np.zeros(0, np.int64)
+    gone = gone[first]
+    zero = np.zeros(len(many), np.int64)
+    return [np.concatenate(x) for x in (
+        (name[keep], many, np.zeros(len(gone), np.int64)), (ids[keep], zero, ids[gone]), ((th << 40 | lo)[keep], zero, (th << 40 | lo)[gone]),
+        (count[keep], size[size > HEAVY], total), (kind[keep], zero + COUNT, np.full(len(gone), GONE)))]
+
+
 def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes in order of their first 128 bytes, and for each place, whether it is tied with the place before
     on the first 64 bytes; and the words at each position. Larsson-Sadakane: only tied groups are refined."""
@@ -211,6 +250,14 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, th, start, count, hot = (t.column(c).to_numpy() for c in ("id", "th", "lo", "count", "hot"))
     hot = hot.astype(bool)
     texts = t.column("ctx").to_pylist()
+    known = np.array([x is None for x in texts])
+    if known.any():  # what a batch has found to go already
+        k = np.flatnonzero(known)
+        yield _rows(ids[k], th[k], start[k], start[k] + count[k] + (MATCH - 1))
+        k = np.flatnonzero(~known)
+        ids, th, start, count, hot, texts = ids[k], th[k], start[k], count[k], hot[k], [texts[i] for i in k.tolist()]
+    if not texts:
+        return
     del t
     e, o, goes, head = judge_shard(ids, start, count.astype(np.int64), texts, hot)
     if goes.any():
@@ -274,11 +321,19 @@ def repeated_spans(rows: DataFrame, shards: int, hot: int = HOT) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            whole = whole.filter(whole.column("sole"))
+            parts, at = [], 0
             for batch in slices(whole, "_text", 2 << 20):
-                batch = batch.filter(batch.column("sole"))
                 name, row, lo, count = entries(*text_bytes(batch.column("_text")))
-                ids, th = batch.column("id").to_numpy()[row], batch.column("th").to_numpy()[row]
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(ids), pa.array(th << 40 | lo << 8 | count)], names=["name", "id", "at"])
+                parts.append((name, row + at, lo, count))
+                at += batch.num_rows
+            if not parts:
+                continue
+            name, row, lo, count = (np.concatenate(x) for x in zip(*parts))
+            buf, bounds = text_bytes(whole.column("_text"))
+            ids, th = whole.column("id").to_numpy()[row], whole.column("th").to_numpy()[row]
+            got = batch_rows(name, ids, th, lo, count, bounds[row] + lo, memoryview(buf).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if k > 2 else x) for k, x in enumerate(got)], names=["name", "id", "at", "count", "kind"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -286,20 +341,28 @@ def repeated_spans(rows: DataFrame, shards: int, hot: int = HOT) -> DataFrame:
                 buf, bounds = text_bytes(batch.column("_text"))
                 found = batch.column("found")
                 row = np.repeat(np.arange(len(found)), np.diff(found.offsets.to_numpy()))
-                flat = found.flatten()
-                at, key, split = (x.to_numpy(zero_copy_only=False) for x in flat.flatten())  # field() would not heed the slice
-                lo, count = at >> 8 & 0xFFFFFFFF, at & 0xFF
+                # field() would not heed the slice
+                lo, count, key, split, gone = (x.to_numpy(zero_copy_only=False) for x in found.flatten().flatten())
                 raw, a = buf.tobytes(), bounds[row] + lo
-                ctx = [raw[i:j] for i, j in zip(a.tolist(), (a + count + (MATCH - 1)).tolist())]
+                ctx = [None if g else raw[i:j] for i, j, g in zip(a.tolist(), (a + count + (MATCH - 1)).tolist(), gone.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(batch.column("id").to_numpy()[row]), pa.array(batch.column("th").to_numpy()[row]), pa.array(lo),
-                     pa.array(count.astype(np.int32)), pa.array(split), pa.array(ctx, pa.binary())], names=["key", "id", "th", "lo", "count", "hot", "ctx"])
-
-    found = rows.mapInArrow(find, "name long, id long, at long")
-    found = found.withColumn("n", F.count("*").over(Window.partitionBy("name"))).where(F.col("n") > 1)
-    part = F.pmod(F.xxhash64("id", "at"), F.ceil(F.col("n") / hot).cast("long"))
+                     pa.array(count), pa.array(split.astype(bool)), pa.array(ctx, pa.binary())], names=["key", "id", "th", "lo", "count", "hot", "ctx"])
+
+    found = rows.mapInArrow(find, "name long, id long, at long, count int, kind int")
+    kind = F.col("kind")
+    counted = kind.isin(ENTRY, COUNT)
+    found = found.withColumn("meet", F.when(counted, F.col("name")).otherwise(F.xxhash64("id", "at")))
+    here = Window.partitionBy("meet")
+    n = F.sum(F.when(counted, F.when(kind == COUNT, F.col("count")).otherwise(1)).otherwise(0)).over(here)
+    found = found.withColumns({"n": n, "often": F.max(kind == COUNT).over(here) & counted})
+    found = found.where((kind == GONE) | (kind == KNOWN) | ((kind == ENTRY) & (F.col("n") > 1)))
+    spread = (kind == KNOWN) | ((kind == ENTRY) & F.col("often"))
+    parts = F.when(spread, F.lit(shards)).otherwise(F.ceil(F.col("n") / hot)).cast("long")
+    split = spread | ((kind == ENTRY) & (F.col("n") > hot))
+    key = F.when(split, F.xxhash64("name", F.pmod(F.xxhash64("id", "at"), parts))).when(kind == ENTRY, F.col("name")).otherwise(F.xxhash64("id", "at"))
     found = found.select("id", F.shiftright("at", 40).alias("th"), F.struct(
-        "at", F.when(F.col("n") > hot, F.xxhash64("name", part)).otherwise(F.col("name")).alias("key"), (F.col("n") > hot).alias("hot")).alias("f"))
+        F.col("at").bitwiseAND(F.lit((1 << 40) - 1)).alias("lo"), "count", key.alias("key"), split.alias("hot"), (kind == GONE).alias("gone")).alias("f"))
     found = found.groupBy("id", "th").agg(F.collect_list("f").alias("found"))  # of one text
     sent = rows.join(found, ["id", "th"]).mapInArrow(
         cut, "key long, id long, th long, lo long, count int, hot boolean, ctx binary")
