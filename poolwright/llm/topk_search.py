@@ -161,8 +161,8 @@ def top_k(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY) -> DataFr
     by_dim: dict[int, list] = {}
     for r in sample:
         by_dim.setdefault(r.dim, []).append(r)
-    centres = {d: np.array([r.v for r in rs[:wanted]], float).reshape(-1, d) for d, rs in by_dim.items()}
-    probes = {d: (np.array([r.vec_id for r in rs]), np.array([r.v for r in rs], float).reshape(-1, d)) for d, rs in by_dim.items()}
+    centres = {d: np.array([r.v for r in rs[:wanted]], float).reshape(len(rs[:wanted]), d) for d, rs in by_dim.items()}
+    probes = {d: (np.array([r.vec_id for r in rs]), np.array([r.v for r in rs], float).reshape(len(rs), d)) for d, rs in by_dim.items()}
     shared = spark.sparkContext.broadcast((centres, probes))  # at most SAMPLE rows
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +217,7 @@ def top_k(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY) -> DataFr
     links = spark.createDataFrame(pairs, "dim int, node int, dnode int, blocks int")
     spread = F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int")
 
-    def pack(key, group: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values(["vec_id"], kind="stable")
         return pd.DataFrame([[key[0], key[1], key[2], g["vec_id"].to_numpy("<i8").tobytes(), b"".join(g["v"]), g["bound"].to_numpy("<f8").tobytes()]],
                             columns=["dim", "node", "qb", "ids", "qv", "qbound"])
@@ -239,7 +239,7 @@ def top_k(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY) -> DataFr
             ids, v = left["vec_id"].to_numpy(np.int64), _matrix(left["v"])
             for r in right.sort_values("qb").itertuples():
                 qid = np.frombuffer(r.ids, "<i8")
-                s = DualSearch(qid, np.frombuffer(r.qv, "<f8").reshape(len(qid), -1), np.frombuffer(r.qbound, "<f8"), k)
+                s = DualSearch(qid, np.frombuffer(r.qv, "<f8").reshape(len(qid), len(r.qv) // 8 // len(qid)), np.frombuffer(r.qbound, "<f8"), k)
                 s.search(ids, v)
                 q, j = np.nonzero(np.isfinite(s.scores))
                 found.append(pd.DataFrame({"query_id": qid[q], "vec_id": s.found[q, j], "score": s.scores[q, j]}))

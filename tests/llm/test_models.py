@@ -121,10 +121,14 @@ def test_lm_counts_equal_brute_force(spark, lm_rows):
     check_base(lm_rows, [tuple(r) for r in table(spark, "documents").select("doc_id", "text").collect()])
 
 
-def test_lm_learns(lm_rows):
-    """On held-out texts the trained model does better than its start, the counts of the ids alone."""
-    held = [r for r in lm_rows if r.held_out]
-    assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -5.5
+def test_lm_learns(spark, monkeypatch):
+    """On held-out texts, training cuts a fifth of what the id counts alone leave open."""
+    per = []
+    for rounds in (0, lm_scoring.ROUNDS):
+        monkeypatch.setattr(lm_scoring, "ROUNDS", rounds)
+        held = [r for r in lm_scoring.score(table(spark, "documents")).collect() if r.held_out]
+        per.append(sum(r.score for r in held) / sum(r.n_tokens for r in held))
+    assert per[1] > 0.8 * per[0]
 
 
 def test_lm_of_odd_rows(spark):
@@ -140,7 +144,8 @@ def brute_top(rows, k, every):
     out = []
     for q in v:
         if q % every == 0:
-            best = sorted((-sum(a * b for a, b in zip(v[q], v[i])), i) for i in v if i != q and len(v[i]) == len(v[q]))[:k]
+            cut = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+            best = sorted((-cut(sum(a * b for a, b in zip(v[q], v[i]))), i) for i in v if i != q and len(v[i]) == len(v[q]))[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     return sorted(out)
 
@@ -169,8 +174,7 @@ def test_search_of_odd_rows(spark):
     df = spark.createDataFrame(good + bad, "vec_id long, embedding array<float>").withColumns({c: F.lit("own") for c in ("v", "node", "dim", "score", "rank", "block")})
     got = sorted(map(tuple, topk_search.top_k(df).collect()))
     rows = [(i, [float(np.float32(x)) for x in e]) for i, e in dict(good).items()]
-    cut = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
-    want = [(q, r, i, cut(s)) for q, r, i, s in brute_top(rows, 5, 50)]
+    want = brute_top(rows, 5, 50)
     assert [t[:3] for t in got] == [t[:3] for t in want]
     assert all(a == b or abs(a - b) <= abs(b) * 1e-9 for a, b in zip([t[3] for t in got], [t[3] for t in want]))
     assert topk_search.top_k(df.limit(0)).collect() == []
