@@ -10,11 +10,12 @@ signature, so similar sets share one. A few ranges more than needed are made (``
 that many ranges with an empty subset has a shared signature that isn't empty, so only the rare sets beyond
 that put out signatures of empty subsets, which unlike sets share by chance.
 
-Links: each class is first held against the least class that it shares most signatures with. What links joins
-components; then, where a signature is shared by several components, the pairs across them that a histogram
-of the shingles leaves possible are tested: the nearest ones of each class first, then all that still lie in
-different components. So no pair is tested, or put out, only to confirm a known component, and no link between
-components is lost. ``links`` instead tests all possible pairs and returns every link between classes.
+Links: each class is first held against one hub, a class in many large signature groups, that it shares most
+signatures with. What links joins components; then, where a signature is shared by several components, the pairs
+across them that a histogram of the shingles leaves possible are tested: the nearest ones of each class first,
+then all that still lie in different components. So no pair is tested, or put out, only to confirm a known
+component, and no link between components is lost. ``links`` instead tests all possible pairs and returns every
+link between classes.
 
 Signature groups are read as sorted runs or, where pairs are tested, in blocks of ``BLOCK`` rows by ``BLOCK``,
 so no group has to fit into a task. A class is named by a 64-bit hash of its set.
@@ -41,9 +42,10 @@ from .common import checkpointed, lower_bytes, mix, slices, span_hashes, text_by
 from .components import components
 
 BAND = 1.3
-HIST = 64
+HIST = 256
+COARSE = 64
 BLOCK = 1024
-NEAREST = 4
+NEAREST = 3
 U = np.uint64
 
 
@@ -176,7 +178,7 @@ def _node(s: np.ndarray) -> int:
 
 def _sketch(s: np.ndarray) -> bytes:
     """A histogram of the set; two sets' histograms differ by no more than the sets (counts stop at 255)."""
-    return np.minimum(np.bincount((s >> U(58)).astype(np.int64), minlength=HIST), 255).astype(np.uint8).tobytes()
+    return np.minimum(np.bincount((s >> U(56)).astype(np.int64), minlength=HIST), 255).astype(np.uint8).tobytes()
 
 
 def classes(rule: Rule, docs: DataFrame) -> DataFrame:
@@ -194,7 +196,7 @@ def classes(rule: Rule, docs: DataFrame) -> DataFrame:
 
 
 def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
-    """(sig, node, lo): signatures of more than one class, their classes, and the least of these."""
+    """(sig, node, g): signatures of more than one class, their classes, and the number of rows of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within a task put their signatures out once
@@ -212,8 +214,8 @@ def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
 
     rows = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(run, "sig long, node long")
     group = Window.partitionBy("sig")
-    rows = rows.withColumns({"lo": F.min("node").over(group), "hi": F.max("node").over(group)})
-    return rows.where(F.col("lo") < F.col("hi")).select("sig", "node", "lo")
+    rows = rows.withColumns({"lo": F.min("node").over(group), "hi": F.max("node").over(group), "g": F.count("*").over(group)})
+    return rows.where(F.col("lo") < F.col("hi")).select("sig", "node", "g")
 
 
 def verify(rule: Rule, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -234,11 +236,51 @@ def verify(rule: Rule, pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def possible_pairs(rule: Rule, members: DataFrame) -> DataFrame:
-    """(a, b, apart): classes of different comps that share a signature and may link by size and histogram.
+def _tested(rule: Rule, a: np.ndarray, b: np.ndarray, comp: np.ndarray, n: np.ndarray, hist: np.ndarray, coarse: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs of rows, those of different comps that size and histogram leave possible, and how far apart."""
+    ok = comp[a] != comp[b]
+    ok &= np.minimum(n[a], n[b]) * rule.den >= np.maximum(n[a], n[b]) * rule.num
+    a, b = a[ok], b[ok]
+    total = n[a] + n[b]
+    most = total - 2 * -(-rule.num * total // (rule.num + rule.den))
+    for h in (coarse, hist):
+        apart = np.concatenate([np.abs(h[a[k:k + 4096]] - h[b[k:k + 4096]]).sum(1) for k in range(0, len(a), 4096)]) if len(a) else np.zeros(0, np.int64)
+        ok = apart <= most
+        a, b, most = a[ok], b[ok], most[ok]
+    return a, b, apart[ok]
+
+
+def _block_pairs(rule: Rule, block: pd.DataFrame, nearest: int | None) -> pd.DataFrame:
+    block = block.sort_values(["sig", "node"], kind="stable")
+    sig, node, comp, n, own = (block[c].to_numpy() for c in ("sig", "node", "comp", "n", "own"))
+    i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
+    hist = np.frombuffer(b"".join(block["sketch"]), np.uint8).reshape(-1, HIST).astype(np.int16)
+    coarse = hist.reshape(-1, COARSE, HIST // COARSE).sum(2, dtype=np.int16)
+    found = []
+    if i == j:  # rows d places apart, for as long as a group has such
+        at, d = np.arange(len(sig)), 0
+        while len(at):
+            d += 1
+            at = at[at + d < len(sig)]
+            at = at[sig[at + d] == sig[at]]
+            found.append(_tested(rule, at, at + d, comp, n, hist, coarse))
+    else:  # one large group's rows of two blocks
+        right = np.flatnonzero(own == j)
+        found = [_tested(rule, np.full(len(right), x), right, comp, n, hist, coarse) for x in np.flatnonzero(own == i)]
+    a, b, apart = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    out = pd.DataFrame({"a": np.minimum(node[a], node[b]), "b": np.maximum(node[a], node[b]), "apart": apart.astype(np.int32)}).drop_duplicates()
+    if nearest is not None:
+        out = out.sort_values(["apart", "a", "b"], kind="stable")
+        out = out[(out.groupby("a").cumcount() < nearest) | (out.groupby("b").cumcount() < nearest)]
+    return out
+
+
+def possible_pairs(rule: Rule, members: DataFrame, nodes: DataFrame, nearest: int | None = None) -> DataFrame:
+    """(a, b): classes of different comps that share a signature and may link by size and histogram.
 
-    ``members``: sig, node, comp, n, sketch. Small signature groups are taken together, about ``BLOCK``
-    rows a call; large ones are cut into blocks, and each pair of blocks is a group of its own.
+    ``members``: sig, node, comp; ``nodes``: node, n, sketch. Small signature groups are taken together, about
+    ``BLOCK`` rows a call; large ones are cut into blocks, and each pair of blocks is a call of its own. With
+    ``nearest``, only so many of a class's pairs in a call.
     """
     group = Window.partitionBy("sig")
     rows = members.withColumns({"g": F.count("*").over(group), "c0": F.min("comp").over(group), "c1": F.max("comp").over(group)})
@@ -246,34 +288,14 @@ def possible_pairs(rule: Rule, members: DataFrame) -> DataFrame:
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.withColumns({"i": F.least("own", "o"), "j": F.greatest("own", "o")})
-    rows = rows.withColumn("call", F.when(F.col("nb") > 1, F.col("sig")).otherwise(F.pmod(F.col("sig"), F.lit(4096))))
+    rows = rows.withColumn("call", F.when(F.col("nb") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(4096))))
+    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
 
     def test(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("sig", kind="stable")
-        sig = block["sig"].to_numpy()
-        node, comp, n, own = (block[c].to_numpy() for c in ("node", "comp", "n", "own"))
-        i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
-        hist = np.frombuffer(b"".join(block["sketch"]), np.uint8).reshape(-1, HIST).astype(np.int16)
-        cut = np.append(np.append(0, np.flatnonzero(np.diff(sig)) + 1), len(sig))
-        found = []
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            left, right = (np.arange(a, b),) * 2 if i == j else (a + np.flatnonzero(own[a:b] == i), a + np.flatnonzero(own[a:b] == j))
-            for x in left.tolist():
-                y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
-                small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-                y = y[small * rule.den >= large * rule.num]
-                if len(y) == 0:
-                    continue
-                total = n[x] + n[y]
-                most = total - 2 * -(-rule.num * total // (rule.num + rule.den))
-                apart = np.abs(hist[y] - hist[x]).sum(1)
-                ok = apart <= most
-                if ok.any():
-                    other = node[y[ok]]
-                    found.append(pd.DataFrame({"a": np.minimum(node[x], other), "b": np.maximum(node[x], other), "apart": apart[ok].astype(np.int32)}))
-        return pd.concat(found).drop_duplicates() if found else pd.DataFrame({"a": [], "b": [], "apart": []}, dtype="int64")
-
-    return rows.select("call", "i", "j", "sig", "node", "comp", "n", "sketch", "own").groupBy("call", "i", "j").applyInPandas(test, "a long, b long, apart int").distinct()
+        return _block_pairs(rule, block, nearest)
+
+    rows = rows.select("call", "i", "j", "sig", "node", "comp", "n", "sketch", "own")
+    return rows.groupBy("call", "i", "j").applyInPandas(test, "a long, b long, apart int").select("a", "b").distinct()
 
 
 class Join:
@@ -303,33 +325,34 @@ class Join:
 
         return rows.select("_node", "text").mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
-    def _members(self, comps: DataFrame | None) -> DataFrame:
-        rows = self.shared.select("sig", "node").distinct().join(self.nodes.select("node", "n", "sketch"), "node")
-        if comps is None:
-            return rows.withColumn("comp", F.col("node"))
-        return rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    def _possible(self, comps: DataFrame | None, nearest: int | None = None) -> DataFrame:
+        rows = self.shared.select("sig", "node").distinct()
+        if comps is not None:
+            rows = rows.join(comps, "node", "left")
+        rows = rows.withColumn("comp", F.col("node") if comps is None else F.coalesce("comp", "node"))
+        return possible_pairs(self.rule, rows, self.nodes, nearest)
 
     def links(self) -> DataFrame:
         """(a, b): every linked pair of different classes, as the smallest doc_id of each."""
-        pairs = verify(self.rule, possible_pairs(self.rule, self._members(None)).select("a", "b"), self.texts)
+        pairs = verify(self.rule, self._possible(None), self.texts)
         rep = lambda c: self.nodes.select(F.col("node").alias(c), F.col("rep").alias(f"r{c}"))
         return pairs.join(rep("a"), "a").join(rep("b"), "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
 
+    def _star(self) -> DataFrame:
+        """(a, b): each class with the hub that it shares most signatures with; a group's hub is its class that is
+        in the most and largest groups."""
+        weight = self.shared.groupBy("node").agg(F.sum("g").alias("w"))
+        rows = self.shared.select("sig", "node").join(weight, "node")
+        hub = F.max(F.struct("w", "node")).over(Window.partitionBy("sig"))["node"]
+        counts = rows.withColumn("hub", hub).where(F.col("node") != F.col("hub")).groupBy("node", "hub").agg(F.count("*").alias("c"))
+        return counts.groupBy("node").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("b")).select(F.col("node").alias("a"), "b")
+
     def labels(self) -> DataFrame:
         """(node, comp) of the classes that link with another class."""
-        counts = self.shared.where(F.col("node") != F.col("lo")).groupBy("node", "lo").agg(F.count("*").alias("c"))
-        star = counts.groupBy("node").agg(F.max_by("lo", F.struct("c", -F.col("lo"))).alias("b")).select(F.col("node").alias("a"), "b")
-        linked = checkpointed(verify(self.rule, star, self.texts))
+        linked = checkpointed(verify(self.rule, self._star(), self.texts))
         comps = components(linked)
-        left = checkpointed(possible_pairs(self.rule, self._members(comps)))
-        for last in (False, True):
-            of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}"))  # noqa: B023, E731
-            left = left.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "apart")
-            ask = left
-            if not last:  # the nearest pairs of either class join most of what there is to join
-                near = lambda c: F.row_number().over(Window.partitionBy(c).orderBy("apart", "a", "b")) <= NEAREST
-                ask = left.withColumns({"na": near("a"), "nb": near("b")}).where(F.col("na") | F.col("nb"))
-            more = checkpointed(verify(self.rule, ask.select("a", "b"), self.texts))
+        for nearest in (NEAREST, None):
+            more = checkpointed(verify(self.rule, self._possible(comps, nearest), self.texts))
             if more.limit(1).count():
                 linked = checkpointed(linked.union(more))
                 comps = components(linked)
