@@ -38,14 +38,8 @@ class RunConfig:
     refresh_validated_only: bool = False
     # fair share over private child pools (off in the parked reference)
     fair_share: bool = False
-    # rows above which a dimension is not broadcast
-    broadcast_limit_rows: int = 2_000_000
-    # many-to-one fact joins: keys with at least hot_key_rows rows are spread over salt_buckets
-    hot_key_rows: int = 1_000_000
-    # False: plain joins (AQE skew split only) and no hot-key count pass over the join keys
-    salt_hot_keys: bool = True
-    salt_buckets: int = 32
-    max_hot_keys: int = 10_000
+    # fixtures only: the apply queries take a batch with repeats, unknown ids and unlinked pools
+    faulty_batch: bool = False
 
     @property
     def apply_tags(self) -> tuple[str, ...] | None:

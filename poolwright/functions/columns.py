@@ -89,7 +89,7 @@ def first_match(name: Column, rules: Sequence, default) -> Column:
 
 def slug(c: str | Column) -> Column:
     """F8: non-alphanumeric runs -> '_', trim '_' at both ends, upper case."""
-    s = F.regexp_replace(F.regexp_replace(col(c), "[^a-zA-Z0-9]+", "_"), "_+", "_")
+    s = F.regexp_replace(col(c), "[^a-zA-Z0-9]+", "_")
     return F.upper(F.btrim(s, F.lit("_")))
 
 
@@ -138,57 +138,12 @@ def pick_best(df: DataFrame, keys: Sequence[str], order: Iterable[Column], paylo
     return best.select(*keys, *[F.col(f"_best.{p}").alias(p) for p in payload])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The proof is a bounded job (``limit(max_rows + 1).count()``). Above the bound the frame
-    is returned as is and the join stays a shuffle join (AQE may still demote it at runtime).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left join where many left keys may be NULL.
 
-    NULL keys never match, but a sort-merge join still hashes them all to one task. Rows with a
-    NULL key skip the join and come back with NULL right-hand columns, so no partition collects
-    them (the join itself stays a hash/broadcast join chosen by Spark).
-    """
-    has_key = left.where(F.col(left_key).isNotNull()).join(right, F.col(left_key) == F.col(right_key), "left")
-    no_key = left.where(F.col(left_key).isNull()).select(
-        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return has_key.unionByName(no_key)
-
-
-def salted_join(many: DataFrame, one: DataFrame, many_key: str, one_key: str, how: str,
-                salt_from: Sequence[str], buckets: int, hot_rows: int, max_hot_keys: int,
-                enabled: bool = True) -> DataFrame:
-    """Many-to-one equi-join that spreads hot keys of ``many`` over ``buckets`` tasks.
-
-    ``one`` is unique per key (a site, a meter, a company). Keys of ``many`` with at least
-    ``hot_rows`` rows are found with a partial-aggregate count; the ``max_hot_keys`` hottest of
-    them form the hot-key table, which is therefore bounded by construction and broadcast
-    (keys past that bound take the plain path: the result is the same, only not spread). A hot
-    key's rows get a salt from a hash of ``salt_from`` (deterministic, so a retried task re-sends
-    every row to the same bucket) and the matching ``one`` row is copied once per bucket; every
-    other key joins with salt 0. Without hot keys the plan is the plain join plus one key count.
+    NULL keys never match, but a shuffle join would hash them all to one task. Each such row gets a
+    key of its own instead (a hash of the row behind a NUL, which no id starts with), so they spread
+    over all tasks; ``left`` is read once, whatever join Spark picks.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    if not enabled:
-        return many.join(one, F.col(many_key) == F.col(one_key), how)
-    hot = F.broadcast(
-        many.where(F.col(many_key).isNotNull()).groupBy(F.col(many_key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
-        .orderBy(F.col("_n").desc(), F.col("_hot_key")).limit(max_hot_keys).select("_hot_key"))
-    m = many.join(hot, F.col(many_key) == F.col("_hot_key"), "left").withColumn(
-        "_m_salt", F.when(F.col("_hot_key").isNotNull(),
-                          F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets))).otherwise(F.lit(0))
-    ).drop("_hot_key")
-    o = one.join(hot, F.col(one_key) == F.col("_hot_key"), "left").withColumn(
-        "_o_salt", F.explode(F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                             .otherwise(F.array(F.lit(0))))
-    ).drop("_hot_key")
-    cond = (F.col(many_key) == F.col(one_key)) & (F.col("_m_salt") == F.col("_o_salt"))
-    return m.join(o, cond, how).drop("_m_salt", "_o_salt")
+    own = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in left.columns]).cast("string"))
+    return left.join(right, F.coalesce(F.col(left_key), own) == F.col(right_key), "left")

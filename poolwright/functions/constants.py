@@ -20,7 +20,7 @@ NIGHTLY_SUPPLIER_RULES = (
     ("EON", (("contains", "e.on"), ("contains", "e-on"), ("prefix", "eon"))),
     ("UB", (("contains", "utility bidder"),)),
 )
-# the family column never carries BG_LITE in the nightly build (lite only changes the tag)
+# the family column of the nightly build
 NIGHTLY_FAMILY_RULES = (
     ("BG_LITE", (("contains", "british gas lite"),)),
     ("BG", (("contains", "british gas"),)),
@@ -45,17 +45,18 @@ SYNC_BUCKET_RULES = (
 SYNC_SHARED_BUCKETS = ("BG", "EON", "UB")
 SYNC_SHARED_POOL_NAMES = (("BG", "British Gas"), ("EON", "E.ON"), ("UB", "Utility Bidder"))
 SYNC_EXCLUDED_TAG_CODES = ("EON", "BG", "UB", "OTHER")
+# FIXED VALUES -- window, code lengths and rule priorities of the provider sync
 SYNC_BG_WINDOW = 548
 SYNC_SLUG_LEN = 48
 SYNC_COLLISION_LEN = 40
 SYNC_NOW_BASE = 200
 SYNC_IN_WINDOW_BASE = 201
 
-# winning-contract supplier preference: EON, then BG, then UB, then everything else
+# FIXED VALUES -- winning-contract supplier preference: EON, then BG, then UB, then everything else
 WIN_TAG_RANK = (("EON", 1), ("BG", 2), ("UB", 3))
 WIN_TAG_RANK_OTHER = 4
 
-# rejected deal / review status pattern
+# FIXED VALUES -- texts and statuses that the features look for
 REJECT_PATTERN = "reject|declin|cancel"
 COMPLAINT_TEXT = "ongoing complaint"
 RETENTION_TEXT = "retention"

@@ -3,8 +3,12 @@
 All outputs are computed from the same input versions, which is the snapshot rule the
 database gets from one statement with several data-modifying parts. Generated ids are
 ``sha2(run_id : kind : company)`` so a retried run writes the same rows.
-Scale: the batch and the company/placement tables are joined on the company id (one
-shuffle per side); pools and links are dimensions, broadcast after a size check.
+Scale: the batch and the company/placement tables are joined on the company id (one shuffle per
+side); whether pools and links are broadcast is left to Spark's size threshold, and a company
+with many history rows to adaptive skew splitting.
+A batch may name a company more than once. Each named pool is validated; of a company's valid
+moves the one with the smallest pool id, then campaign, counts (``one_move``), so the outputs
+of AP2-AP5 never repeat a company.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 
 from poolwright.config import RunConfig
 from poolwright.functions import constants as K
-from poolwright.functions.columns import broadcast_if_small, ne_null_safe, salted_join
+from poolwright.functions.columns import ne_null_safe
 from poolwright.operators.tables import update_where_distinct
 
 
@@ -47,10 +51,9 @@ def validate_batch(batch: DataFrame, companies: DataFrame, pools: DataFrame, lin
 
     Returns (valid moves with old pool and campaign, rejected batch rows with a reason).
     """
-    p = broadcast_if_small(pools.select(F.col("id").alias("p_id"), F.col("type").alias("p_type")), cfg.broadcast_limit_rows)
-    linked = broadcast_if_small(
-        links.where((F.col("isActive") == True) & (F.col("childType").cast("string") == "PRIVATE"))  # noqa: E712
-        .select(F.col("childPoolId").alias("l_child")).distinct(), cfg.broadcast_limit_rows)
+    p = pools.select(F.col("id").alias("p_id"), F.col("type").alias("p_type"))
+    live = (F.col("isActive") == True) & (F.col("childType").cast("string") == "PRIVATE")  # noqa: E712
+    linked = links.where(live).select(F.col("childPoolId").alias("l_child")).distinct()
     c = companies.select(F.col("id").alias("c_id"), F.col("poolId").alias("old_pool_id"))
     j = (
         batch.where(F.col("proposed_pool_id").isNotNull())
@@ -73,9 +76,16 @@ def validate_batch(batch: DataFrame, companies: DataFrame, pools: DataFrame, lin
     return valid, rejected
 
 
+def one_move(valid: DataFrame) -> DataFrame:
+    """The move that counts of each company: smallest pool id, then campaign (null first)."""
+    rest = [c for c in valid.columns if c not in ("company_id", "proposed_pool_id", "proposed_campaign_id")]
+    pick = F.min(F.struct("proposed_pool_id", "proposed_campaign_id", *rest)).alias("m")
+    return valid.groupBy("company_id").agg(pick).select(*[F.col("company_id") if c == "company_id" else F.col(f"m.{c}") for c in valid.columns])
+
+
 def effective_moves(valid: DataFrame) -> DataFrame:
-    """AP2: only companies whose pool actually changes."""
-    return valid.where(ne_null_safe(F.col("old_pool_id"), F.col("proposed_pool_id")))
+    """AP2: one move a company, and only where its pool actually changes."""
+    return one_move(valid).where(ne_null_safe(F.col("old_pool_id"), F.col("proposed_pool_id")))
 
 
 def apply_moves(companies: DataFrame, moves: DataFrame) -> DataFrame:
@@ -119,7 +129,7 @@ def audit(audits: DataFrame, moves: DataFrame, cfg: RunConfig) -> DataFrame:
 
 def batch_campaigns(batch: DataFrame, pools: DataFrame, cfg: RunConfig) -> DataFrame:
     """(companyId, campaign): the batch's campaign per company (lowest when a company repeats)."""
-    p = broadcast_if_small(pools.select(F.col("id").alias("p_id"), F.col("type").alias("p_type")), cfg.broadcast_limit_rows)
+    p = pools.select(F.col("id").alias("p_id"), F.col("type").alias("p_type"))
     return batch.join(p, F.col("proposed_pool_id") == F.col("p_id"), "inner").select(
         F.col("company_id").alias("companyId"), _campaign(F.col("p_type")).alias("campaign")
     ).where(F.col("campaign").isNotNull()).groupBy("companyId").agg(F.min("campaign").alias("campaign"))
@@ -137,9 +147,7 @@ def roll_and_refresh(placements: DataFrame, moves: DataFrame, refresh_src: DataF
     m = moves.select(F.col("company_id").alias("companyId"), F.col("proposed_pool_id").alias("_m_pool"),
                      F.col("proposed_campaign_id").alias("_m_campaign"), F.lit(True).alias("_moved"))
     info = m.join(x, "companyId", "full_outer").withColumnRenamed("companyId", "_i_company")
-    # history rows per company are unbounded: a hot company is spread over salt buckets
-    j = salted_join(placements, info, "companyId", "_i_company", "left", ["id"], cfg.salt_buckets,
-                    cfg.hot_key_rows, cfg.max_hot_keys, cfg.salt_hot_keys)
+    j = placements.join(info, F.col("companyId") == F.col("_i_company"), "left")
     is_open = F.col("endedAt").isNull()
     moved = F.coalesce(F.col("_moved"), F.lit(False))
     refresh = ~moved & is_open & F.col("campaign").isNotNull() & ne_null_safe(F.col("sourcePoolId"), F.col("campaign"))

@@ -6,17 +6,14 @@ company-id order and each joins the least-loaded child at that moment (load = ke
 plus companies already handed out; ties by child id). Protected companies, and parents
 without children, keep the proposal. Duplicate links are collapsed first.
 
-Scale plan (no task ever holds a whole parent, no slot list is materialised):
-  1. kept / candidate flags come from a broadcast join with the (size-checked) link table;
-  2. candidate rank inside the parent: range-partition candidates on (parent, company),
-     number rows inside each sorted partition, checkpoint (the range sample and the ids must
-     not be recomputed), then add the count of the same parent's rows in earlier partitions
-     (a tiny (partition, parent) table);
-  3. the r-th candidate's child in closed form. With children loads h, the number of slots at
-     level <= L is cum(L) = sum(max(0, L - h)); between two consecutive distinct loads the
-     set of open children is fixed, so a per-parent segment table (lo, hi, open children
-     sorted by id) maps r to (L, j) by integer arithmetic and the child is the j-th open one.
-     The segment table has one row per distinct load of a parent's children (a dimension).
+Scale plan (linear in companies; no arrays, no level products, no task that holds a parent's companies):
+  1. how far each child fills up is known in closed form: the children of a parent are taken in order
+     of load; k of them, with loads summing to s, hold all n candidates when n + s companies are dealt
+     evenly over them, and the right k is the largest whose fullest child needs no filling;
+  2. each child puts out one slot per company it will take (its load + 1 up to its final level), so a
+     parent has exactly as many slots as candidates;
+  3. candidates are ranked by company id and slots by (level, child), both with the distributed rank,
+     and rank meets rank in an equi-join on (parent, rank), which no parent can skew.
 """
 
 from __future__ import annotations
@@ -26,8 +23,8 @@ from pyspark.sql import functions as F
 
 from poolwright.config import RunConfig
 from poolwright.functions import constants as K
-from poolwright.functions.columns import broadcast_if_small
-from poolwright.session import ensure_checkpoint_dir, materialize
+from poolwright.operators.ranking import distributed_rank
+from poolwright.session import materialize
 
 
 def private_links(links: DataFrame) -> DataFrame:
@@ -39,50 +36,24 @@ def private_links(links: DataFrame) -> DataFrame:
     ).select(F.col("parentPoolId").alias("fs_parent"), F.col("childPoolId").alias("fs_child")).distinct()
 
 
-def _segments(loads: DataFrame) -> DataFrame:
-    """Per parent: (fs_parent, lo, hi, n_open, open_ids) for each distinct child load v.
+def slots(loads: DataFrame, need: DataFrame) -> DataFrame:
+    """(fs_parent, level, fs_child): the places that the candidates of each parent will take.
 
-    Candidates with rank r in (lo, hi] are served at levels v+1.. with the n_open children
-    whose load is <= v, in child-id order; the last segment has hi = NULL (unbounded).
+    ``loads``: fs_parent, fs_child, have_n; ``need``: fs_parent, need_n (candidates, at least one).
     """
-    by_level = loads.groupBy("fs_parent", "have_n").agg(F.count(F.lit(1)).alias("k"))
-    w = Window.partitionBy("fs_parent").orderBy("have_n")
-    seg = (
-        by_level.withColumn("n_open", F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("next_level", F.lead("have_n").over(w))
-        .withColumn("width", (F.col("next_level") - F.col("have_n")) * F.col("n_open"))
-        .withColumn("lo", F.coalesce(F.sum("width").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("hi", F.col("lo") + F.col("width"))
-    )
-    # children of each parent as a sorted array of (child, load); bounded by that parent's links
-    kids = loads.groupBy("fs_parent").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("fs_child").alias("id"), F.col("have_n").alias("h")))).alias("kids"))
-    return seg.join(kids, "fs_parent").select(
-        "fs_parent", "have_n", "lo", "hi", "n_open",
-        F.transform(F.filter("kids", lambda x: x["h"] <= F.col("have_n")), lambda x: x["id"]).alias("open_ids"),
-    )
-
-
-def _rank_within_parent(cands: DataFrame, parts: int) -> DataFrame:
-    """Dense 1-based rank of company_id inside fs_parent, without a per-parent task."""
-    spark = cands.sparkSession
-    ensure_checkpoint_dir(spark)
-    ordered = (
-        cands.repartitionByRange(parts, "fs_parent", "company_id")
-        .sortWithinPartitions("fs_parent", "company_id")
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    stats = ordered.groupBy("_pid", "fs_parent").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("fs_parent").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # (partition, parent) pairs: at most partitions + parents rows
-    offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    offsets = broadcast_if_small(offsets, 1_000_000)
-    return ordered.join(offsets, ["_pid", "fs_parent"]).withColumn(
-        "cand_rn", F.col("_before") + (F.col("_mid") - F.col("_first")) + 1
-    ).drop("_pid", "_mid", "_first", "_before")
+    by_load = Window.partitionBy("fs_parent").orderBy("have_n", "fs_child")
+    upto = by_load.rowsBetween(Window.unboundedPreceding, 0)
+    kids = loads.join(need, "fs_parent").withColumn("k", F.row_number().over(by_load)).withColumn("s", F.sum("have_n").over(upto))
+    # raising the first k children to the load of the k-th takes k * have_n - s companies
+    open_ = (F.col("k") * F.col("have_n") - F.col("s")) <= F.col("need_n")
+    fill = kids.where(open_).groupBy("fs_parent").agg(F.max(F.struct("k", "s", "need_n")).alias("f")).select("fs_parent", "f.*")
+    total = F.col("s") + F.col("need_n")
+    fill = fill.select("fs_parent", "k", F.floor(total / F.col("k")).alias("even"), (total % F.col("k")).alias("over"))
+    open_kids = kids.where(open_).select("fs_parent", "fs_child", "have_n").join(fill, "fs_parent")
+    first = F.row_number().over(Window.partitionBy("fs_parent").orderBy("fs_child")) <= F.col("over")
+    top = F.col("even") + F.when(first, 1).otherwise(0)
+    filled = open_kids.withColumn("top", top).where(F.col("top") > F.col("have_n"))
+    return filled.select("fs_parent", "fs_child", F.explode(F.sequence(F.col("have_n") + 1, F.col("top"))).alias("level"))
 
 
 def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -90,11 +61,9 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
 
     ``parent_pool_id`` keeps the T5 value (the callback parent is not lost).
     """
-    spark = routed.sparkSession
     # the routed table feeds the loads, the candidates and the pass-through rows: cut it once
     routed = materialize(routed)
-    lk = broadcast_if_small(private_links(links), cfg.broadcast_limit_rows)
-    # distinct parents of the size-checked link table: never more rows than lk
+    lk = private_links(links)
     parents = lk.select(F.col("fs_parent").alias("_has_kids")).distinct()
     unprotected = ~F.coalesce(F.col("is_protected"), F.lit(False))
 
@@ -103,37 +72,23 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
                     (F.col("proposed_pool_id") == F.col("_kp")) & (F.col("current_pool_id") == F.col("kept_child")) & unprotected,
                     "left")
         .drop("_kp")
-        .join(F.broadcast(parents), F.col("proposed_pool_id") == F.col("_has_kids"), "left")
+        .join(parents, F.col("proposed_pool_id") == F.col("_has_kids"), "left")
     )
     is_cand = unprotected & F.col("_has_kids").isNotNull() & F.col("kept_child").isNull()
-    flagged = flagged.withColumn("_cand", is_cand)
+    flagged = materialize(flagged.withColumn("_cand", is_cand))
 
-    # loads: kept companies per (parent, child), zero for children with none kept
     kept = flagged.where(F.col("kept_child").isNotNull()).groupBy(
         F.col("proposed_pool_id").alias("fs_parent"), F.col("kept_child").alias("fs_child")
     ).agg(F.count(F.lit(1)).alias("have_n"))
     loads = lk.join(kept, ["fs_parent", "fs_child"], "left").select(
         "fs_parent", "fs_child", F.coalesce(F.col("have_n"), F.lit(0)).alias("have_n"))
-    # one row per distinct child load of a parent: never more rows than active private links.
-    # Beyond the broadcast bound the join falls back to a shuffle join on the parent (correct, but
-    # a hot parent's candidates would then meet in one task; AQE's skew split applies).
-    seg = broadcast_if_small(_segments(loads), cfg.broadcast_limit_rows)
-
-    setting = spark.conf.get("spark.sql.shuffle.partitions", None) or ""
-    parts = int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
-    cands = _rank_within_parent(
-        flagged.where(F.col("_cand")).withColumn("fs_parent", F.col("proposed_pool_id")), parts)
-    t = F.col("cand_rn") - F.col("lo")
-    assigned = cands.join(
-        seg, (cands.fs_parent == seg.fs_parent) & (F.col("cand_rn") > F.col("lo"))
-        & (F.col("hi").isNull() | (F.col("cand_rn") <= F.col("hi"))), "inner"
-    ).withColumn(
-        # get() is bounds-safe: the optimizer may evaluate this inside the join condition
-        "assigned_child", F.get("open_ids", ((t - 1) % F.col("n_open")).cast("int"))
-    ).drop("fs_parent", "have_n", "lo", "hi", "n_open", "open_ids", "cand_rn")
-
-    others = flagged.where(~F.col("_cand")).withColumn("assigned_child", F.lit(None).cast("string"))
-    out = others.unionByName(assigned)
+    cands = flagged.where(F.col("_cand")).select(F.col("proposed_pool_id").alias("fs_parent"), "company_id")
+    need = cands.groupBy("fs_parent").agg(F.count(F.lit(1)).alias("need_n"))
+
+    asked = distributed_rank(cands, ["fs_parent"], ["company_id"], "_rank")
+    given = distributed_rank(slots(loads, need), ["fs_parent"], ["level", "fs_child"], "_rank")
+    dealt = asked.join(given, ["fs_parent", "_rank"]).select("company_id", F.col("fs_child").alias("assigned_child"))
+    out = flagged.join(dealt, "company_id", "left")
     final = F.when(~unprotected, F.col("proposed_pool_id")).otherwise(
         F.coalesce(F.col("kept_child"), F.col("assigned_child"), F.col("proposed_pool_id")))
-    return out.withColumn("proposed_pool_id", final).drop("kept_child", "assigned_child", "_has_kids", "_cand")
+    return out.withColumn("proposed_pool_id", final).select(*routed.columns)

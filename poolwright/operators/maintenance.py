@@ -2,29 +2,26 @@
 
 Each job is a pure function from table versions to new table versions (plus change sets),
 built on the keyed primitives in ``tables``. Company-grain work joins on the company id;
-pools, rules, links and profiles are dimensions and are broadcast after a size check.
+whether a dimension is broadcast is left to Spark's size threshold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolwright.config import RunConfig
 from poolwright.functions import constants as K
 from poolwright.functions.columns import (
-    blank_to_null, broadcast_if_small, days_until, first_match, ne_null_safe, slug,
+    blank_to_null, days_until, first_match, left_join_nullable, ne_null_safe, slug,
 )
 from poolwright.operators.apply import run_ts
 from poolwright.operators.features import pool_by_code
+from poolwright.operators.ranking import distributed_rank
 from poolwright.operators.tables import delete_matching, insert_missing, upsert
 from poolwright.operators.tagging import pool_code
 
 
-def _dim(df: DataFrame, cfg: RunConfig) -> DataFrame:
-    return broadcast_if_small(df, cfg.broadcast_limit_rows)
-
-
 def _codes(pools: DataFrame, cfg: RunConfig) -> dict:
     """Pool ids of the three clock pools as scalar look-ups (one shared sub-query)."""
     return {c: pool_code(pools, c) for c in ("RETENTION", "PAST_RETENTION", "UNASSIGNED")}
@@ -34,7 +31,7 @@ def _codes(pools: DataFrame, cfg: RunConfig) -> dict:
 
 def clear_leavers(companies: DataFrame, profiles: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """M1: drop the agent from companies whose profile is disabled. Returns (companies, cleared ids)."""
-    gone = _dim(profiles.where(F.coalesce(F.col("disabled"), F.lit(False))).select(F.col("id").alias("_gone")), cfg)
+    gone = profiles.where(F.coalesce(F.col("disabled"), F.lit(False))).select(F.col("id").alias("_gone"))
     j = companies.join(gone, F.col("profileId") == F.col("_gone"), "left")
     hit = F.col("_gone").isNotNull()
     out = j.select(*[(F.when(hit, F.lit(None).cast("string")).otherwise(F.col(c)) if c == "profileId" else F.col(c)).alias(c)
@@ -52,8 +49,9 @@ def clear_profiles(companies: DataFrame) -> DataFrame:
 def provider_routes(providers: DataFrame, cfg: RunConfig) -> DataFrame:
     """M3: classify every named provider into a bucket, tag/pool code, window and pool name.
 
-    Blank names are dropped. Collisions of a derived code get a provider-id suffix. The
-    collision count is a grouped count joined back (no window over a possibly hot code).
+    Blank names are dropped. Collisions of a derived code get the first characters of the provider
+    id as a suffix, and the whole id where those collide too. Counts are grouped and joined back
+    (no window over a possibly hot code).
     """
     base = providers.select(
         F.col("id").alias("provider_id"), blank_to_null("displayName").alias("display_name"),
@@ -77,10 +75,15 @@ def provider_routes(providers: DataFrame, cfg: RunConfig) -> DataFrame:
         F.when(F.col("bucket") == "BG", F.lit(K.SYNC_BG_WINDOW)).otherwise(F.lit(365)).alias("window_days"),
         pool_name.alias("pool_name"),
     )
-    counts = _dim(coded.groupBy(F.col("tag_code").alias("_tc")).agg(F.count(F.lit(1)).alias("slug_n")), cfg)
+    counts = coded.groupBy(F.col("tag_code").alias("_tc")).agg(F.count(F.lit(1)).alias("slug_n"))
     j = coded.join(counts, F.col("tag_code") == F.col("_tc"), "left")
-    suffixed = F.concat(F.substring("tag_code", 1, K.SYNC_COLLISION_LEN), F.lit("_"), id_prefix(6))
-    final_tag = F.when(shared, F.col("tag_code")).when(F.col("slug_n") > 1, suffixed).otherwise(F.col("tag_code"))
+    suffixed = lambda own: F.concat(F.substring("tag_code", 1, K.SYNC_COLLISION_LEN), F.lit("_"), own)
+    j = j.withColumn("_short", F.when(~shared & (F.col("slug_n") > 1), suffixed(id_prefix(6))).otherwise(F.col("tag_code")))
+    # ids that begin alike still collide: those codes carry the whole id
+    again = j.where(~shared).groupBy(F.col("_short").alias("_again")).agg(F.count(F.lit(1)).alias("short_n"))
+    j = j.join(again, F.col("_short") == F.col("_again"), "left")
+    whole = F.upper(F.replace(F.col("provider_id"), F.lit("-"), F.lit("")))
+    final_tag = F.when(~shared & (F.col("short_n") > 1), suffixed(whole)).otherwise(F.col("_short"))
     return j.select(
         "provider_id", "display_name", "bucket", final_tag.alias("tag_code"),
         F.when(shared, F.col("bucket")).otherwise(final_tag).alias("pool_code"),
@@ -99,7 +102,7 @@ def sync_provider_dims(routes: DataFrame, pools: DataFrame, families: DataFrame,
         defaults={"id": F.concat(F.lit("pool_"), F.col("_s_code")), "type": F.lit("STANDARD"),
                   "isLocked": F.lit(False)},
     )
-    p_by_code = _dim(pools2.where(F.col("code").isNotNull()).groupBy("code").agg(F.min("id").alias("_pool")), cfg)
+    p_by_code = pools2.where(F.col("code").isNotNull()).groupBy("code").agg(F.min("id").alias("_pool"))
 
     # families: delete non-manual rows of routed providers, insert for providers left without one
     routed_ids = routes.select(F.col("provider_id").alias("providerId"))
@@ -119,9 +122,7 @@ def sync_provider_dims(routes: DataFrame, pools: DataFrame, families: DataFrame,
     # rules: {tag}_NOW at base+2n, {tag}_IN_WINDOW at base+1+2n, n = rank of the tag code
     tags = routes.where(~F.col("tag_code").isin(*K.SYNC_EXCLUDED_TAG_CODES)).select(
         "tag_code", "pool_code", "window_days").distinct()
-    # numbering runs over the distinct tag codes (a dimension, one per supplier)
-    n = F.row_number().over(Window.orderBy("tag_code"))
-    numbered = tags.withColumn("_n", n).join(p_by_code, F.col("pool_code") == F.col("code"), "inner")
+    numbered = distributed_rank(tags.withColumn("_all", F.lit(1)), ["_all"], ["tag_code"], "_n").drop("_all").join(p_by_code, F.col("pool_code") == F.col("code"), "inner")
     now = numbered.select(
         F.concat(F.col("tag_code"), F.lit("_NOW")).alias("tag"), F.col("_pool").alias("poolId"),
         (F.lit(K.SYNC_NOW_BASE) + 2 * F.col("_n")).cast("int").alias("priority"), F.lit(True).alias("isActive"),
@@ -156,8 +157,8 @@ def reclaim(companies: DataFrame, pools: DataFrame, best_end: DataFrame, past: D
             cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """M5: companies in parked shared pools with a past sale go to RETENTION (1..window days)
     or PAST_RETENTION (no date / expired); far-future dates stay. Returns (companies, targets)."""
-    parked = _dim(pools.where(F.col("type").cast("string").isin(*K.SHARED_TYPES)
-                              & ~F.coalesce(F.col("code"), F.lit("")).isin(*K.RECLAIM_KEEP_CODES)).select(F.col("id").alias("_parked")), cfg)
+    parked = pools.where(F.col("type").cast("string").isin(*K.SHARED_TYPES)
+                              & ~F.coalesce(F.col("code"), F.lit("")).isin(*K.RECLAIM_KEEP_CODES)).select(F.col("id").alias("_parked"))
     codes = _codes(pools, cfg)
     j = (companies.join(parked, F.col("poolId") == F.col("_parked"), "inner")
          .join(past, F.col("id") == F.col("company_id"), "left_semi")
@@ -180,7 +181,7 @@ def repair_far_future(companies: DataFrame, pools: DataFrame, best_end: DataFram
                       cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """M6: PAST_RETENTION companies whose best end date is beyond the window go to UNASSIGNED."""
     codes = _codes(pools, cfg)
-    past_pool = _dim(pool_by_code(pools).where(F.col("code") == "PAST_RETENTION").select(F.col("pool_id").alias("_pp")), cfg)
+    past_pool = pool_by_code(pools).where(F.col("code") == "PAST_RETENTION").select(F.col("pool_id").alias("_pp"))
     j = companies.join(past_pool, F.col("poolId") == F.col("_pp"), "inner").join(
         _clock_days(best_end, cfg), F.col("id") == F.col("_ced_co"), "inner").where(F.col("days_left") > cfg.window_days)
     misfiled = j.select(F.col("id").alias("company_id"), "name", F.col("ced_end_date").alias("end_date"), "days_left",
@@ -194,14 +195,15 @@ def retire_pools(companies: DataFrame, placements: DataFrame, pools: DataFrame,
     """M7: drop every shared pool outside the keep list, moving its companies by clock first."""
     drop = pools.where(F.col("type").cast("string").isin(*K.SHARED_TYPES)
                        & ~F.coalesce(F.col("code"), F.lit("")).isin(*K.RESET_KEEP_CODES)).select(F.col("id").alias("_drop"))
-    drop = _dim(drop, cfg)
+    drop = drop
     codes = _codes(pools, cfg)
     j = companies.join(drop, F.col("poolId") == F.col("_drop"), "inner").join(
         _clock_days(best_end, cfg), F.col("id") == F.col("_ced_co"), "left")
     d = F.col("days_left")
     target = (F.when((d >= 1) & (d <= cfg.window_days), codes["RETENTION"])
               .when(d.isNull() | (d < 1), codes["PAST_RETENTION"]).otherwise(codes["UNASSIGNED"]))
-    targets = j.select(F.col("id").alias("company_id"), target.alias("target_pool_id"))
+    # without the target pool there is nowhere to move to
+    targets = j.select(F.col("id").alias("company_id"), target.alias("target_pool_id")).where(F.col("target_pool_id").isNotNull())
     ts = run_ts(cfg)
     pl = placements.join(drop.withColumnRenamed("_drop", "_d1"), F.col("poolId") == F.col("_d1"), "left").join(
         drop.withColumnRenamed("_drop", "_d2"), F.col("sourcePoolId") == F.col("_d2"), "left")
@@ -234,7 +236,7 @@ def deactivate_links(links: DataFrame) -> DataFrame:
 
 def _owner_rows(profiles: DataFrame, pools: DataFrame, cfg: RunConfig) -> DataFrame:
     """(poolId, profileId) for each profile and its own PRIVATE pool."""
-    priv = _dim(pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("_priv")), cfg)
+    priv = pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("_priv"))
     return profiles.join(priv, F.col("primaryPoolId") == F.col("_priv"), "inner").select(
         F.col("primaryPoolId").alias("poolId"), F.col("id").alias("profileId"))
 
@@ -243,6 +245,21 @@ def _is_manager(role_col: str = "role"):
     return F.upper(F.coalesce(F.col(role_col).cast("string"), F.lit(""))).isin(*K.MANAGER_ROLES)
 
 
+def with_role(profiles: DataFrame, roles: DataFrame | None = None) -> DataFrame:
+    """Profiles with ``role`` from what their source has: a role name, the name behind ``roleId`` in
+    ``roles`` (id, name), or ``isManager``; to be asked of the source's own columns, before conforming."""
+    have = {c.lower(): c for c in profiles.columns}
+    if "role" in have:
+        return profiles
+    if "roleid" in have and roles is not None:
+        named = roles.select(F.col("id").alias("_role_id"), F.upper("name").alias("role"))
+        return left_join_nullable(profiles, named, have["roleid"], "_role_id").drop("_role_id")
+    if "ismanager" in have:
+        manager = F.coalesce(F.col(have["ismanager"]).cast("boolean"), F.lit(False))
+        return profiles.withColumn("role", F.when(manager, F.lit(K.MANAGER_ROLES[0])).otherwise(F.lit("AGENT")))
+    return profiles.withColumn("role", F.lit(None).cast("string"))
+
+
 def hide_pools(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame, cfg: RunConfig) -> DataFrame:
     """M9: owners keep their private pool; non-visible shared pools are unlinked; COMPLAINT
     stays linked for managers / admins only."""
@@ -252,7 +269,7 @@ def hide_pools(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame,
     pp = delete_matching(pp, hidden, {"poolId": "id"})
     complaint = pools.where(F.col("code") == "COMPLAINT").select("id")
     non_managers = profiles.where(~_is_manager()).select("id")
-    doomed = pp.join(_dim(complaint, cfg), F.col("poolId") == F.col("id"), "left_semi").join(
+    doomed = pp.join(complaint, F.col("poolId") == F.col("id"), "left_semi").join(
         non_managers, F.col("profileId") == F.col("id"), "left_semi")
     return delete_matching(pp, doomed, {"poolId": "poolId", "profileId": "profileId"})
 
@@ -261,16 +278,15 @@ def relink_pools(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame
     """Every agent (private link or private primary pool) sees every shared pool except
     COMPLAINT; managers / admins see COMPLAINT."""
     priv = pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("_priv"))
-    agents = pool_profiles.join(_dim(priv, cfg), F.col("poolId") == F.col("_priv"), "left_semi").select(
+    agents = pool_profiles.join(priv, F.col("poolId") == F.col("_priv"), "left_semi").select(
         F.col("profileId").alias("agent")).unionByName(
         _owner_rows(profiles, pools, cfg).select(F.col("profileId").alias("agent"))).distinct()
-    shared = _dim(pools.where(F.col("type").cast("string").isin(*K.SHARED_TYPES)
-                              & (F.coalesce(F.col("code"), F.lit("")) != "COMPLAINT"))
-                  .select(F.col("id").alias("poolId"), F.col("type").cast("string").alias("_type")), cfg)
+    is_shared = F.col("type").cast("string").isin(*K.SHARED_TYPES) & (F.coalesce(F.col("code"), F.lit("")) != "COMPLAINT")
+    shared = pools.where(is_shared).select(F.col("id").alias("poolId"), F.col("type").cast("string").alias("_type"))
     # each agent wants the shared pool types; equi-join on type against the pool dimension
     wants = agents.select("agent", F.explode(F.array(*[F.lit(t) for t in K.SHARED_TYPES])).alias("_type"))
     agent_rows = wants.join(shared, "_type").select("poolId", F.col("agent").alias("profileId"))
-    complaint = _dim(pools.where(F.col("code") == "COMPLAINT").select(F.col("id").alias("poolId"), F.lit("COMPLAINT").alias("_c")), cfg)
+    complaint = pools.where(F.col("code") == "COMPLAINT").select(F.col("id").alias("poolId"), F.lit("COMPLAINT").alias("_c"))
     manager_rows = profiles.where(_is_manager()).select(F.col("id").alias("profileId"), F.lit("COMPLAINT").alias("_c")).join(
         complaint, "_c").select("poolId", "profileId")
     return insert_missing(pool_profiles, agent_rows.unionByName(manager_rows), ["poolId", "profileId"])
@@ -278,7 +294,7 @@ def relink_pools(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame
 
 def fix_private_owner(pool_profiles: DataFrame, pools: DataFrame, profiles: DataFrame, cfg: RunConfig) -> DataFrame:
     """A private pool is linked to its owner only."""
-    priv = _dim(pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("_priv")), cfg)
+    priv = pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("_priv"))
     owners = _owner_rows(profiles, pools, cfg)
     on_private = pool_profiles.join(priv, F.col("poolId") == F.col("_priv"), "left_semi")
     wrong = on_private.join(owners, ["poolId", "profileId"], "left_anti")
@@ -300,12 +316,32 @@ def link_agents(pool_profiles: DataFrame, profiles: DataFrame, pools: DataFrame,
         sel = sel.where(F.upper(F.coalesce(F.col("role"), F.lit(""))) == role.upper())
     else:
         sel = sel.where(~_is_manager())
-    targets = _dim(pools.where(F.col("code").isin(*codes)).select(F.col("id").alias("poolId"), F.col("code").alias("_code")), cfg)
+    targets = pools.where(F.col("code").isin(*codes)).select(F.col("id").alias("poolId"), F.col("code").alias("_code"))
     rows = sel.select(F.col("id").alias("profileId"), F.explode(F.array(*[F.lit(c) for c in codes])).alias("_code")).join(
         targets, "_code").select("poolId", "profileId")
     return insert_missing(pool_profiles, rows, ["poolId", "profileId"])
 
 
+def refresh_fallback(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """C17 over a stored table (company_id, site_id, source, has_past_sale, last_deal_end_date): new companies are
+    added; of a stored row the site and source stay, has_past_sale is never taken back, and the end date is
+    replaced by a known one."""
+    names = ["site_id", "source", "has_past_sale", "last_deal_end_date"]
+    new = fresh.select("company_id", *[F.col(c).alias(f"_{c}") for c in names])
+    j = stored.join(new, "company_id", "full_outer")
+    return j.select(
+        "company_id", F.coalesce("site_id", "_site_id").alias("site_id"), F.coalesce("source", "_source").alias("source"),
+        (F.coalesce("has_past_sale", F.lit(False)) | F.coalesce("_has_past_sale", F.lit(False))).alias("has_past_sale"),
+        F.coalesce("_last_deal_end_date", "last_deal_end_date").alias("last_deal_end_date"))
+
+
+def fill_end_dates(stored: DataFrame, best_end: DataFrame) -> DataFrame:
+    """Fill the end date of stored fallback rows that have none, from the companies' best end dates."""
+    best = best_end.select("company_id", F.col("end_date").alias("_end"))
+    filled = F.coalesce("last_deal_end_date", "_end").alias("last_deal_end_date")
+    return stored.join(best, "company_id", "left").select(*[filled if c == "last_deal_end_date" else F.col(c) for c in stored.columns])
+
+
 def backfill_members(members: DataFrame, profiles: DataFrame, policies: DataFrame, roster: DataFrame,
                      policy_ids: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """Members without a profile take the profile owning their child pool; active members
@@ -325,7 +361,7 @@ def backfill_members(members: DataFrame, profiles: DataFrame, policies: DataFram
 
 def promote_campaign(pools: DataFrame, rules: DataFrame, links: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """Shared pools that carry an active rule become CAMPAIGN; STANDARD link parents too."""
-    ruled = _dim(rules.where(F.coalesce(F.col("isActive"), F.lit(True))).select(F.col("poolId").alias("_ruled")).distinct(), cfg)
+    ruled = rules.where(F.coalesce(F.col("isActive"), F.lit(True))).select(F.col("poolId").alias("_ruled")).distinct()
     j = pools.join(ruled, F.col("id") == F.col("_ruled"), "left")
     promote = F.col("_ruled").isNotNull() & (F.col("type").cast("string") != "PRIVATE")
     pools2 = j.select(*[(F.when(promote, F.lit("CAMPAIGN")).otherwise(F.col(c)) if c == "type" else F.col(c)).alias(c)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from poolwright.config import STICKY_MOVE_TAGS, RunConfig
 from poolwright.functions import constants as K
-from poolwright.functions.columns import broadcast_if_small
 from poolwright.operators.features import pool_by_code
 
 def _false_if_null(c: str):
@@ -83,7 +82,7 @@ def active_rules(rules: DataFrame) -> DataFrame:
 
 def propose(tagged: DataFrame, rules: DataFrame, pools: DataFrame, cfg: RunConfig) -> DataFrame:
     """Proposed pool. Parked: retention tags only; live: rule pool, else UNASSIGNED."""
-    r = broadcast_if_small(active_rules(rules), cfg.broadcast_limit_rows)
+    r = active_rules(rules)
     j = with_pool_codes(tagged, pools, ("COMPLAINT", "UNASSIGNED")).join(
         r, F.col("lead_tag") == F.col("r_tag"), "left")
     t = F.col("lead_tag")

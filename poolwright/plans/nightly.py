@@ -39,7 +39,7 @@ ENTITIES = {
     "pool_profiles": SC.POOL_PROFILES, "external_site_mappings": SC.MAPPINGS, "crm_load_source": SC.LOAD_SOURCES,
     "company_pool_placements": SC.PLACEMENTS, "company_pool_audits": SC.AUDITS,
 }
-OPTIONAL = {"provider_families", "compliance_review_entries", "crm_load_source", "pool_links", "pool_profiles",
+OPTIONAL = {"deals", "provider_families", "compliance_review_entries", "crm_load_source", "pool_links", "pool_profiles",
             "external_site_mappings", "notes", "callbacks", "company_pool_audits", "company_pool_placements"}
 
 
@@ -64,6 +64,8 @@ class Tables:
     crm_load_source: DataFrame
     company_pool_placements: DataFrame
     company_pool_audits: DataFrame
+    #: the columns that the deals source itself has: they choose the path from deals to companies
+    deal_columns: tuple[str, ...] | None = None
 
 
 def load_snapshot(spark: SparkSession, root: str, fmt: str = "parquet") -> Tables:
@@ -72,12 +74,15 @@ def load_snapshot(spark: SparkSession, root: str, fmt: str = "parquet") -> Table
     Optional entities that are missing read as empty frames; a missing required entity fails.
     """
     frames = {}
+    deal_columns: tuple[str, ...] = ()
     for name, schema in ENTITIES.items():
         path = f"{root.rstrip('/')}/{name}"
         reader = (lambda p=path: read_table(spark, fmt, p))
         df = read_or_empty(spark, reader, schema) if name in OPTIONAL else reader()
+        if name == "deals":
+            deal_columns = tuple(df.columns)  # a conformed frame has them all
         frames[name] = conform(df, schema, ALIASES.get(name))
-    return Tables(**frames)
+    return Tables(**frames, deal_columns=deal_columns)
 
 
 def from_fixtures(fx) -> Tables:
@@ -109,10 +114,8 @@ def run_nightly(spark: SparkSession, t: Tables, cfg: RunConfig, out_dir: str) ->
     companies, cleared = M.clear_leavers(t.companies, t.profiles, cfg)
     companies = _stage(spark, companies, f"{root}/companies_janitor")
     t = replace(t, companies=companies)
-    # routing mode decides which rules / families are active
-    rules, families = T.activate(t.pool_rules, t.provider_families, cfg.mode)
-    t = replace(t, provider_families=families)
-    routed = _stage(spark, route(t, cfg, rules), f"{root}/routed")
+    # rules and families apply as stored: switching the routing mode is a job of its own
+    routed = _stage(spark, route(t, cfg), f"{root}/routed")
     batch = _stage(spark, T.move_batch(routed, cfg), f"{root}/apply_batch")
     res = AP.apply_batch(batch, companies, t.company_pool_placements, t.company_pool_audits, t.pools,
                          t.pool_links, cfg)
@@ -130,3 +133,15 @@ def run_nightly(spark: SparkSession, t: Tables, cfg: RunConfig, out_dir: str) ->
         R._metric(spark.read.parquet(f"{root}/companies_janitor").join(
             cleared, F.col("id") == F.col("company_id"), "left_semi"), "janitor_cleared", F.count(F.lit(1))),
     )
+
+
+def switch_mode(spark: SparkSession, t: Tables, mode: str, out_dir: str) -> DataFrame:
+    """T7 as a job: write the rules and families as the routing mode wants them; returns counts of active ones.
+
+    Only this job changes stored switches. A rule that an operator turns off stays off in the nightly runs.
+    """
+    rules, families = T.activate(t.pool_rules, t.provider_families, mode)
+    rules = _stage(spark, rules, f"{out_dir.rstrip('/')}/pool_rules")
+    families = _stage(spark, families, f"{out_dir.rstrip('/')}/provider_families")
+    return R.stack(R._metric(rules, "active_rules", F.count_if(F.col("isActive"))),
+                   R._metric(families, "active_families", F.count_if(F.col("isActive"))))

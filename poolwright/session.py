@@ -23,6 +23,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "poo
         # explicitly, so the filters it would infer are already in the plan
         .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # checkpoint files go when the frame that they back is collected as garbage
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -31,15 +33,18 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "poo
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's spark.checkpoint.dir; only when unset (tests) take a scratch one."""
+    """The cluster's spark.checkpoint.dir. Where it is unset, a scratch folder in local mode, as in tests;
+    on a cluster that is an error, as no folder of one machine is seen by the others."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    existing = spark.sparkContext.getCheckpointDir()
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
+        if existing is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
-    existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="poolwright-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

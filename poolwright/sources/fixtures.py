@@ -43,6 +43,17 @@ class Fixtures:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    #: the columns of the deals source (a conformed frame has them all): the path from deals to companies
+    deal_columns = ("id", "siteMeterId", "siteId", "companyId", "contractId", "signedAt", "createdAt", "status")
+
+    def _n(self, table: str) -> Column:
+        return self.raw(table).select(F.count(F.lit(1))).scalar()
+
+    def _nth_private(self, n: Column) -> Column:
+        """The id of the n-th private pool (modulo their number): those of suppliers 1, 5, 9, ..."""
+        owners = self.raw("supplier").where(F.col("s_suppkey") % 4 == 1).select(F.count(F.lit(1))).scalar()
+        return sid("priv_", 4 * (n % owners) + 1)
+
     # -- facts ---------------------------------------------------------------
     @cached_property
     def companies(self) -> DataFrame:
@@ -53,12 +64,12 @@ class Fixtures:
             .when(k % 89 == 1, F.lit("pool_GDPR_HOLD"))
             .when(k % 10 == 1, F.lit("pool_PAST_RETENTION"))
             .when(k % 10 == 2, F.lit("pool_UNASSIGNED"))
-            .when(k % 10 == 3, sid("priv_", F.expr("(c_custkey div 10) % 5")))
+            .when(k % 10 == 3, self._nth_private(F.expr("c_custkey div 10")))
             .otherwise(F.lit("pool_RETENTION"))
         )
         df = self.raw("customer").select(
             sid("C", k).alias("id"), F.col("c_name").alias("name"), pool.alias("poolId"),
-            sid("U", k % 10).alias("profileId"),
+            sid("U", k % self._n("supplier")).alias("profileId"),
         )
         return conform(df, SC.COMPANIES)
 
@@ -74,8 +85,7 @@ class Fixtures:
 
     @cached_property
     def site_meters(self) -> DataFrame:
-        li = self.raw("lineitem").where(F.col("l_orderkey") % 4 == 0)
-        df = li.groupBy("l_orderkey").agg(F.min("l_linestatus").alias("st")).select(
+        df = self.raw("lineitem").groupBy("l_orderkey").agg(F.min("l_linestatus").alias("st")).select(
             sid("M", F.col("l_orderkey")).alias("id"),
             sid("S", F.col("l_orderkey")).alias("companySiteId"),
             F.when(F.col("l_orderkey") % 11 == 0, F.lit(None).cast("boolean"))
@@ -85,7 +95,7 @@ class Fixtures:
 
     @cached_property
     def contracts(self) -> DataFrame:
-        li = self.raw("lineitem").where((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 == 0))
+        li = self.raw("lineitem")
         o = self.raw("orders").select("o_orderkey", "o_custkey")
         j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
         pk, sk, ok = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
@@ -120,49 +130,48 @@ class Fixtures:
 
     @cached_property
     def deals(self) -> DataFrame:
-        o = self.raw("orders").where(
-            (F.col("o_orderkey") % 8 == 0) & (F.col("o_orderdate").cast("date") <= F.lit(self.cfg.run_date))
-        )
+        """A deal for each order; two in three name the order's first contract."""
+        first = self.contracts.groupBy(F.regexp_extract("id", "^K([0-9]+)-", 1).alias("_order")).agg(F.min("id").alias("_contract"))
+        k = F.col("o_orderkey")
         pending = F.col("o_orderstatus") == "P"
         status = (
             F.when(pending & (F.col("o_orderpriority") == "1-URGENT"), F.lit("Rejected"))
             .when(pending & (F.col("o_orderpriority") == "2-HIGH"), F.lit("CANCELLED"))
             .otherwise(F.lit("LIVE"))
         )
-        k = F.col("o_orderkey")
-        df = o.select(
+        o = self.raw("orders")
+        df = o.join(first, k.cast("string") == F.col("_order"), "left").select(
             sid("D", k).alias("id"), sid("C", F.col("o_custkey")).alias("companyId"),
-            sid("S", k).alias("siteId"), sid("M", k).alias("siteMeterId"),
-            status.alias("status"), F.col("o_orderdate").alias("signedAt"),
-            F.col("o_orderdate").alias("createdAt"),
+            sid("S", k).alias("siteId"), F.when(k % 8 == 0, sid("M", k)).alias("siteMeterId"),
+            F.when(k % 3 != 0, F.col("_contract")).alias("contractId"), status.alias("status"),
+            F.when(k % 7 != 0, F.col("o_orderdate")).alias("signedAt"), F.col("o_orderdate").alias("createdAt"),
         )
         return conform(df, SC.DEALS)
 
     @cached_property
     def compliance_review_entries(self) -> DataFrame:
-        # absent source table: declared empty frame (S3)
-        return empty(self.spark, SC.REVIEWS)
-
-    def _n(self, table: str) -> Column:
-        return self.raw(table).select(F.count(F.lit(1))).scalar()
+        """A review of each order's deal; one in 31 says no."""
+        k = F.col("o_orderkey")
+        df = self.raw("orders").select(
+            sid("D", k).alias("dealId"), F.when(k % 62 == 0, F.lit("Declined by QA")).when(k % 31 == 0, F.lit("rejected")).otherwise(F.lit("Passed")).alias("status"))
+        return conform(df, SC.REVIEWS)
 
     @cached_property
     def callbacks(self) -> DataFrame:
-        e = self.raw("events").where((F.col("event_type") == "click") & (F.col("event_id") % 40 == 0))
+        e = self.raw("events").where(F.col("event_type") == "click")
         df = e.select(
             F.col("event_id").alias("id"),
             sid("S", F.col("event_id") % self._n("orders")).alias("companySiteId"),
-            sid("U", F.col("user_id") % 10).alias("createdById"),
-            F.when(F.col("event_id") % 3 == 0, F.lit("DONE")).otherwise(F.lit("SCHEDULED")).alias("status"),
+            sid("U", F.col("user_id") % self._n("supplier")).alias("createdById"),
+            F.when((F.col("event_id") % 40 == 0) & (F.col("event_id") % 3 != 0), F.lit("SCHEDULED")).otherwise(F.lit("DONE")).alias("status"),
         )
         return conform(df, SC.CALLBACKS)
 
     @cached_property
     def notes(self) -> DataFrame:
-        e = self.raw("events").where(
-            (F.col("event_type") == "error") & (F.col("event_id") % 8 == 0) & (F.col("user_id") % 10 == 7)
-        )
-        m = F.col("event_id") % 3
+        e = self.raw("events").where(F.col("event_type") == "error")
+        # 0 and 1: an ongoing complaint, in the title or across title and description; 2: neither
+        m = F.when((F.col("event_id") % 8 == 0) & (F.col("user_id") % 10 == 7), F.col("event_id") % 3).otherwise(2)
         df = e.select(
             F.col("event_id").alias("id"),
             sid("C", F.col("event_id") % self._n("customer")).alias("companyId"),
@@ -174,11 +183,11 @@ class Fixtures:
 
     @cached_property
     def company_pool_audits(self) -> DataFrame:
-        e = self.raw("events").where((F.col("event_type") == "purchase") & (F.col("event_id") % 45 == 0))
+        e = self.raw("events").where(F.col("event_type") == "purchase")
         df = e.select(
             sid("A", F.col("event_id")).alias("id"),
             sid("C", F.col("event_id") % self._n("customer")).alias("companyId"),
-            F.when(F.col("event_id") % 2 == 0, F.lit("pool_COMPLAINT")).otherwise(F.lit("pool_RETENTION")).alias("poolId"),
+            F.when(F.col("event_id") % 90 == 0, F.lit("pool_COMPLAINT")).otherwise(F.lit("pool_RETENTION")).alias("poolId"),
             F.lit("MANUAL").alias("action"), F.lit("seed").alias("actorId"),
             F.col("ts").alias("createdAt"),
         )
@@ -186,14 +195,16 @@ class Fixtures:
 
     @cached_property
     def external_site_mappings(self) -> DataFrame:
-        o = self.raw("orders").where(F.col("o_orderkey") % 40 == 0)
+        o = self.raw("orders")
         p = F.col("o_orderpriority")
+        # most mapped sites belong to customers of others, whom the company table doesn't know
+        known = F.when(F.col("o_orderkey") % 20 == 0, sid("C", F.col("o_custkey"))).otherwise(sid("X", F.col("o_custkey")))
         campaign = (
             F.when(p == "1-URGENT", F.lit("Retention")).when(p == "2-HIGH", F.lit("Supplier"))
             .when(p == "3-MEDIUM", F.lit("")).when(p == "5-LOW", F.lit("RETENTION load"))
         )
         df = o.select(
-            sid("C", F.col("o_custkey")).alias("companyId"), sid("S", F.col("o_orderkey")).alias("companySiteId"),
+            known.alias("companyId"), sid("S", F.col("o_orderkey")).alias("companySiteId"),
             campaign.alias("campaign"),
             F.when(F.col("o_orderstatus") == "O", F.lit("retention file")).otherwise(F.lit("supplier")).alias("source"),
             F.col("o_orderdate").alias("migratedAt"),
@@ -211,7 +222,7 @@ class Fixtures:
             sid("U", s).alias("id"), sid("U", s).alias("userId"),
             F.concat(F.lit("agent"), s.cast("string"), F.lit("@example.com")).alias("email"),
             F.when(s % 25 == 1, F.lit("ADMIN")).when(s % 10 == 5, F.lit("MANAGER")).otherwise(F.lit("AGENT")).alias("role"),
-            F.when(s < 5, sid("priv_", s)).alias("primaryPoolId"),
+            F.when(s % 4 == 1, sid("priv_", s)).alias("primaryPoolId"),
             (s % 9 == 0).alias("disabled"),
         )
         return conform(df, SC.PROFILES)
@@ -243,24 +254,25 @@ class Fixtures:
     @cached_property
     def pool_links(self) -> DataFrame:
         priv = self.pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("childPoolId"))
+        number = F.substring("childPoolId", 6, 20).cast("bigint")
         links = priv.select(
             F.explode(F.array(F.lit("pool_RETENTION"), F.lit("pool_PAST_RETENTION"))).alias("parentPoolId"),
             "childPoolId",
         ).select(
             "parentPoolId", "childPoolId", F.lit("STANDARD").alias("parentType"), F.lit("PRIVATE").alias("childType"),
-            (~((F.col("parentPoolId") == "pool_RETENTION") & (F.col("childPoolId") == "priv_4"))).alias("isActive"),
+            (~((F.col("parentPoolId") == "pool_RETENTION") & (number % 16 == 13))).alias("isActive"),
         )
-        duplicate = links.where((F.col("parentPoolId") == "pool_PAST_RETENTION") & (F.col("childPoolId") == "priv_2"))
+        duplicate = links.where((F.col("parentPoolId") == "pool_PAST_RETENTION") & (number % 16 == 5))
         return conform(links.unionByName(duplicate), SC.POOL_LINKS)
 
     @cached_property
     def pool_profiles(self) -> DataFrame:
         s = F.col("s_suppkey")
         pr = self.raw("supplier").select(
-            "s_suppkey", sid("U", s).alias("id"), F.when(s < 5, sid("priv_", s)).alias("primaryPoolId"))
+            "s_suppkey", sid("U", s).alias("id"), F.when(s % 4 == 1, sid("priv_", s)).alias("primaryPoolId"))
         own = pr.where(F.col("primaryPoolId").isNotNull()).select(F.col("primaryPoolId").alias("poolId"), F.col("id").alias("profileId"))
         wrong = pr.where(F.col("primaryPoolId").isNull() & (s % 7 == 0)).select(
-            sid("priv_", s % 5).alias("poolId"), F.col("id").alias("profileId"))
+            self._nth_private(s).alias("poolId"), F.col("id").alias("profileId"))
         retention = pr.select(F.lit("pool_RETENTION").alias("poolId"), F.col("id").alias("profileId"))
         unassigned = pr.where(s % 3 == 0).select(F.lit("pool_UNASSIGNED").alias("poolId"), F.col("id").alias("profileId"))
         complaint = pr.where(s % 4 == 0).select(F.lit("pool_COMPLAINT").alias("poolId"), F.col("id").alias("profileId"))
