@@ -145,6 +145,13 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return mix((acc[ends] - acc[starts]) * _powers(_INV, n + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
+def words_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """All words of ``buf`` (as by ``word_spans``) as an Arrow binary array: what isn't white space, in order."""
+    offs = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offs[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offs), pa.py_buffer(buf[~_SPACE[buf]])])
+
+
 def spans_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """The spans as an Arrow binary array (copied once)."""
     lens = ends - starts
