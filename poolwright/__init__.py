@@ -5,7 +5,6 @@ Sub-packages:
   functions  -- column expressions (classifiers, day math, best-row picks)
   operators  -- table-to-table jobs: features, tagging, fair share, apply, maintenance
   plans      -- the nightly pipeline and the reports built on it
-  streaming  -- nothing: the routing job is a nightly batch (see its docstring)
 """
 
 from poolwright.config import RunConfig

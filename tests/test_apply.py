@@ -95,3 +95,14 @@ def test_ids_are_stable(tables):
     a = sorted(r["id"] for r in run(tables).audits.collect())
     b = sorted(r["id"] for r in run(tables).audits.collect())
     assert a == b and all(len(x) == 64 for x in a)
+
+
+def test_company_named_twice_moves_once(spark, tables):
+    """Of several valid moves the smallest pool id counts; no output repeats a company."""
+    batch = spark.createDataFrame(BATCH + [("C1", "priv_1", "pool_R"), ("C1", "pool_missing", None), ("C2", "priv_1", None)], SC.APPLY_BATCH)
+    res = run(tables, batch=batch)
+    assert sorted(r["id"] for r in res.companies.collect()) == sorted(c[0] for c in COMPANIES)
+    assert {(r["company_id"], r["proposed_pool_id"]) for r in res.moves.collect()} == {("C1", "pool_R"), ("C3", "priv_1")}
+    ids = [r["id"] for r in res.placements.collect()]
+    assert len(ids) == len(set(ids)) and res.audits.count() == 2
+    assert ("C1", "unknown pool") in {(r["company_id"], r["reason"]) for r in res.rejected.collect()}

@@ -63,3 +63,24 @@ def test_one_hot_parent_spread_over_partitions(spark):
     out = fair_share(spark.createDataFrame(rows, ROUTED), spark.createDataFrame(links, SC.POOL_LINKS), RunConfig())
     got = {r["company_id"]: r["proposed_pool_id"] for r in out.collect()}
     assert got == brute_force({k: 0 for k in kids}, [r[0] for r in rows])
+
+
+def test_parent_with_thousands_of_children(spark):
+    """One parent holds most companies and thousands of children with uneven loads."""
+    kids = [f"k{j:04d}" for j in range(2000)]
+    have = {k: (j * 7919) % 5 for j, k in enumerate(kids)}
+    rows = [(f"kept_{k}_{i}", k, "HOT", "HOT", False, "RETENTION") for k, h in have.items() for i in range(h)]
+    cands = [f"c{i:05d}" for i in range(7000)]
+    rows += [(c, None, "HOT", "HOT", False, "RETENTION") for c in cands]
+    links = [("HOT", k, "CAMPAIGN", "PRIVATE", True) for k in kids]
+    out = fair_share(spark.createDataFrame(rows, ROUTED), spark.createDataFrame(links, SC.POOL_LINKS), RunConfig())
+    got = {r["company_id"]: r["proposed_pool_id"] for r in out.collect() if r["company_id"].startswith("c")}
+    import heapq
+    heap = [(h, k) for k, h in have.items()]
+    heapq.heapify(heap)
+    want = {}
+    for c in sorted(cands):  # each joins the least-loaded child at that moment
+        h, k = heapq.heappop(heap)
+        want[c] = k
+        heapq.heappush(heap, (h + 1, k))
+    assert got == want

@@ -85,3 +85,18 @@ def test_routing_with_no_contracts_and_no_deals(spark):
     routed = route(t, PARKED)
     n = fx.companies.count()
     assert routed.count() == n and routed.where(F.col("lead_tag").isNull()).count() == 0
+
+
+def test_supplier_codes_are_unique_past_a_hundred_thousand_providers(spark):
+    """Six-figure provider ids begin alike, so codes that still collide carry the whole id."""
+    from pyspark.sql import functions as F
+
+    from poolwright.config import RunConfig
+    from poolwright.operators import maintenance as M
+
+    providers = spark.range(99_990, 230_000).select(
+        F.concat(F.lit("P"), F.col("id").cast("string")).alias("id"),
+        F.when(F.col("id") % 2 == 0, F.lit("Yu Energy")).when(F.col("id") % 3 == 0, F.lit("Yu-Energy"))
+        .otherwise(F.concat(F.lit("Supplier "), F.col("id").cast("string"))).alias("displayName"))
+    routes = M.provider_routes(providers, RunConfig())
+    assert routes.count() == routes.select("tag_code").distinct().count() == providers.count()
