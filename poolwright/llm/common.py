@@ -161,6 +161,15 @@ def spans_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lens), [None, pa.py_buffer(offs), pa.py_buffer(buf[take])])
 
 
+#: rows of a few numbers that may be broadcast: some tens of MB
+FEW_ROWS = 1_000_000
+
+
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """``df``, a checkpoint of a few numbers a row, for a broadcast join if it is counted to be small; as it is else."""
+    return F.broadcast(df) if df.count() <= FEW_ROWS else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write the rows as Parquet under ``spark.checkpoint.dir`` and read them back: a checkpoint that is
     compressed, for large intermediate tables. Like checkpoints, the files stay until that folder is cleared."""

@@ -17,7 +17,8 @@ then all that still lie in different components. So no pair is tested, or put ou
 component, and no link between components is lost. ``links`` instead tests all possible pairs and returns every
 link between classes.
 
-Signature groups are read as sorted runs or, where pairs are tested, in blocks of ``BLOCK`` rows by ``BLOCK``,
+Signatures that are shared by the same classes are one group, so copies with a hundred signatures in common make
+one row each, not a hundred. Signature groups are read as sorted runs or, where pairs are tested, in blocks of ``BLOCK`` rows by ``BLOCK``,
 so no group has to fit into a task. A class is named by a 64-bit hash of its set.
 
 Null, empty and blank texts have no shingles and link with nothing. Rows with null doc_id get a null
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
+from .common import broadcast_if_few, checkpointed, lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
 from .components import components
 
 BAND = 1.3
@@ -182,21 +183,22 @@ def _sketch(s: np.ndarray) -> bytes:
 
 
 def classes(rule: Rule, docs: DataFrame) -> DataFrame:
-    """A row a document: doc_id, n_shingles, node (its class; null without shingles), sketch."""
+    """A row a document: doc_id, n_shingles, node (its class; null without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 sets = shingle_sets(rule, batch.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                     pa.array([_sketch(s) for s in sets], pa.binary())], names=["doc_id", "n_shingles", "node", "sketch"])
+                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.int64())],
+                    names=["doc_id", "n_shingles", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, node long, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, node long")
 
 
 def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
-    """(sig, node, g): signatures of more than one class, their classes, and the number of rows of each."""
+    """(sig, node, g, c): groups of classes that share a signature, the group's size, and how many signatures the
+    group shares. A group is named by a hash over its classes; were two to get one name, they'd be tested together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within a task put their signatures out once
@@ -214,12 +216,16 @@ def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
 
     rows = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(run, "sig long, node long")
     group = Window.partitionBy("sig")
-    rows = rows.withColumns({"lo": F.min("node").over(group), "hi": F.max("node").over(group), "g": F.count("*").over(group)})
-    return rows.where(F.col("lo") < F.col("hi")).select("sig", "node", "g")
+    rows = rows.withColumns({"lo": F.min("node").over(group), "hi": F.max("node").over(group), "g": F.count("*").over(group),
+                             "all": F.bit_xor(F.xxhash64("node")).over(group)})
+    return rows.where(F.col("lo") < F.col("hi")).groupBy(F.xxhash64("all", "lo", "hi", "g").alias("sig"), "node", "g").agg(F.count("*").alias("c"))
 
 
 def verify(rule: Rule, pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the pairs (a, b), those whose texts' sets link."""
+    pairs = checkpointed(pairs)
+    asked = checkpointed(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    texts = texts.select("node", "text").join(broadcast_if_few(asked), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -305,46 +311,53 @@ class Join:
         self.rule = rule
         self.rows = checkpointed(classes(rule, docs))
         self.shared = checkpointed(shared_signatures(rule, docs))
-        some = self.shared.select("node").distinct()
-        kinds = self.rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-        self.nodes = checkpointed(some.join(kinds, "node"))
-        # a text of each class that shares a signature; a repeated doc_id may bring several, of which those of the class are told by their hash
-        own = self.nodes.select(F.col("rep").alias("doc_id"), F.col("node").alias("_node"))
+        first = self.rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        #: the smallest doc_id of each class that shares a signature
+        self.first = checkpointed(self.shared.select("node").distinct().join(first, "node"))
+        own = broadcast_if_few(self.first.select("doc_id", F.col("node").alias("_node")))
         self.texts = checkpointed(self._one_text(docs.select("doc_id", "text").join(own, "doc_id")))
 
     def _one_text(self, rows: DataFrame) -> DataFrame:
+        """(node, n, sketch, text); a repeated doc_id may bring other texts, which their hash tells, and repeats."""
         rule = self.rule
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
             for whole in batches:
                 for batch in slices(whole):
-                    same = [len(s) > 0 and _node(s) == n for s, n in zip(shingle_sets(rule, batch.column("text")), batch.column("_node").to_pylist())]
-                    mask = pa.array(same, pa.bool_())
-                    yield pa.RecordBatch.from_arrays([batch.column("_node").filter(mask), batch.column("text").filter(mask)], names=["node", "text"])
-
-        return rows.select("_node", "text").mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+                    sets, nodes = shingle_sets(rule, batch.column("text")), batch.column("_node").to_pylist()
+                    take = []
+                    for k, (s, n) in enumerate(zip(sets, nodes)):
+                        if len(s) and n not in seen and _node(s) == n:
+                            seen.add(n)
+                            take.append(k)
+                    if take:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([nodes[k] for k in take], pa.int64()), pa.array([len(sets[k]) for k in take], pa.int64()),
+                             pa.array([_sketch(sets[k]) for k in take], pa.binary()), batch.column("text").take(pa.array(take))], names=["node", "n", "sketch", "text"])
+
+        return rows.select("_node", "text").mapInArrow(run, "node long, n long, sketch binary, text string")
 
     def _possible(self, comps: DataFrame | None, nearest: int | None = None) -> DataFrame:
-        rows = self.shared.select("sig", "node").distinct()
+        rows = self.shared.select("sig", "node")
         if comps is not None:
             rows = rows.join(comps, "node", "left")
         rows = rows.withColumn("comp", F.col("node") if comps is None else F.coalesce("comp", "node"))
-        return possible_pairs(self.rule, rows, self.nodes, nearest)
+        return possible_pairs(self.rule, rows, self.texts.select("node", "n", "sketch").dropDuplicates(["node"]), nearest)
 
     def links(self) -> DataFrame:
         """(a, b): every linked pair of different classes, as the smallest doc_id of each."""
         pairs = verify(self.rule, self._possible(None), self.texts)
-        rep = lambda c: self.nodes.select(F.col("node").alias(c), F.col("rep").alias(f"r{c}"))
-        return pairs.join(rep("a"), "a").join(rep("b"), "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+        rep = lambda c: self.first.select(F.col("node").alias(c), F.col("doc_id").alias(f"r{c}"))
+        return pairs.join(rep("a"), "a").join(rep("b"), "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
 
     def _star(self) -> DataFrame:
         """(a, b): each class with the hub that it shares most signatures with; a group's hub is its class that is
         in the most and largest groups."""
-        weight = self.shared.groupBy("node").agg(F.sum("g").alias("w"))
-        rows = self.shared.select("sig", "node").join(weight, "node")
+        weight = self.shared.groupBy("node").agg(F.sum(F.col("g") * F.col("c")).alias("w"))
+        rows = self.shared.select("sig", "node", "c").join(weight, "node")
         hub = F.max(F.struct("w", "node")).over(Window.partitionBy("sig"))["node"]
-        counts = rows.withColumn("hub", hub).where(F.col("node") != F.col("hub")).groupBy("node", "hub").agg(F.count("*").alias("c"))
+        counts = rows.withColumn("hub", hub).where(F.col("node") != F.col("hub")).groupBy("node", "hub").agg(F.sum("c").alias("c"))
         return counts.groupBy("node").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("b")).select(F.col("node").alias("a"), "b")
 
     def labels(self) -> DataFrame:
