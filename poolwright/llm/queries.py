@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, lm_scoring, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, url_filters
+from . import bpe, language_id, lm_scoring, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters
 from .common import table
 
 
@@ -55,14 +55,14 @@ def op10_suffix_dedup(spark, sf_dir):
 
 
 QUERIES = {
-    "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
+    "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, twins.NGRAM_JOIN),
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
     "op3_quality_rules": (op3_quality_rules, None),
     "op4_lm_scoring": (op4_lm_scoring, None),
     "op5_topk_search": (op5_topk_search, topk_search.SQL),
-    "op6_url_filters": (op6_url_filters, None),
+    "op6_url_filters": (op6_url_filters, twins.URL_FILTERS),
     "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
     "op9_language_id": (op9_language_id, None),
-    "op10_suffix_dedup": (op10_suffix_dedup, None),
+    "op10_suffix_dedup": (op10_suffix_dedup, twins.SUFFIX_DEDUP),
 }
