@@ -118,13 +118,13 @@ PARKED_POOL_SEED = (
     ("CUSTOMER_CARE", "Customer Care", "STANDARD", False),
 )
 PARKED_RULE_SEED = (
-    (10, "COMPLAINT", "COMPLAINT", True),
-    (11, "CUSTOMER_CARE", "CUSTOMER_CARE", False),
-    (12, "PAST_RETENTION", "PAST_RETENTION", True),
-    (13, "RETENTION", "RETENTION", True),
-    (14, "UPSELLING", "UPSELLING", False),
-    (90, "PRE_WINDOW", "UNASSIGNED", False),
-    (99, "UNASSIGNED", "UNASSIGNED", False),
+    (10, "COMPLAINT", "COMPLAINT", True, "Ongoing complaint — locked Complaint pool"),
+    (11, "CUSTOMER_CARE", "CUSTOMER_CARE", False, "Past sale, 7–60 days since last sale"),
+    (12, "PAST_RETENTION", "PAST_RETENTION", True, "Any past deal, OOC"),
+    (13, "RETENTION", "RETENTION", True, "Any past deal, 1–540 days"),
+    (14, "UPSELLING", "UPSELLING", False, "Any past deal, >540 days — no apply while parked"),
+    (90, "PRE_WINDOW", "UNASSIGNED", False, "Wait — too far out"),
+    (99, "UNASSIGNED", "UNASSIGNED", False, "Fallback — holding pool, no apply while parked"),
 )
 
 # ---------------------------------------------------------------------------

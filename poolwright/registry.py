@@ -661,29 +661,32 @@ def r04c(fx, cfg):
 
 
 @register("r05_companies_per_pool", APPLY, """
-SELECT p.code, p.name, count(*) AS companies FROM ap_companies c JOIN pools p ON p.id = c.pool_id GROUP BY p.code, p.name""")
+SELECT code, name, sum(held)::BIGINT AS companies
+FROM (SELECT *, (SELECT count(*) FROM ap_companies WHERE pool_id = pools.id) AS held FROM pools) x
+WHERE held > 0 GROUP BY code, name""")
 def r05a(fx, cfg):
     return R.companies_per_pool(_apply(fx, cfg).companies, fx.pools)
 
 
 @register("r05_stuck_in_parked", APPLY, f"""
-SELECT 'companies_in_parked_pools' AS metric, count(*) AS value FROM ap_companies c JOIN pools p ON p.id = c.pool_id
-WHERE p.type IN ('STANDARD', 'CAMPAIGN') AND coalesce(p.code, '') NOT IN ({twins.in_list(C.K.PARK_KEEP_TAGS)})""")
+SELECT 'companies_in_parked_pools' AS metric, count_if(pool_id IN (
+  SELECT id FROM pools WHERE type <> 'PRIVATE' AND coalesce(code, '') NOT IN ({twins.in_list(C.K.PARK_KEEP_TAGS)}))) AS value FROM ap_companies""")
 def r05b(fx, cfg):
     return R.stuck_in_parked(_apply(fx, cfg).companies, fx.pools)
 
 
 @register("r06_profiles_per_pool", PARKED, """
-SELECT p.code, count(pp.profile_id) AS profiles_linked FROM pools p LEFT JOIN pool_profiles pp ON pp.pool_id = p.id
-WHERE p.code IN ('RETENTION', 'PAST_RETENTION') GROUP BY p.code""")
+SELECT code, (SELECT count(*) FROM pool_profiles WHERE pool_id = pools.id) AS profiles_linked
+FROM pools WHERE code IN ('RETENTION', 'PAST_RETENTION')""")
 def r06a(fx, cfg):
     return R.profiles_per_pool(fx.pools, fx.pool_profiles)
 
 
 @register("r06_private_owner_anomalies", PARKED, """
-SELECT p.id AS pool_id, p.code, p.name, count(pp.profile_id) AS agents_linked
-FROM pools p LEFT JOIN pool_profiles pp ON pp.pool_id = p.id WHERE p.type = 'PRIVATE'
-GROUP BY p.id, p.code, p.name HAVING count(pp.profile_id) <> 1""")
+SELECT * FROM (
+  SELECT id AS pool_id, code, name, (SELECT count(*) FROM pool_profiles WHERE pool_id = pools.id) AS agents_linked
+  FROM pools WHERE type = 'PRIVATE') x
+WHERE agents_linked <> 1""")
 def r06b(fx, cfg):
     return R.private_owner_anomalies(fx.pools, fx.pool_profiles)
 
@@ -692,8 +695,8 @@ _AGENT = "agent7@example.com"
 
 
 @register("r06_agent_links", PARKED, f"""
-SELECT pr.email, p.code FROM pool_profiles pp JOIN profiles pr ON pr.id = pp.profile_id JOIN pools p ON p.id = pp.pool_id
-WHERE lower(pr.email) = '{_AGENT}'""")
+SELECT email, code FROM (SELECT id AS profile_id, email FROM profiles WHERE lower(email) = '{_AGENT}') a
+NATURAL JOIN pool_profiles NATURAL JOIN (SELECT id AS pool_id, code FROM pools) b""")
 def r06c(fx, cfg):
     return R.agent_links(fx.pool_profiles, fx.profiles, fx.pools, _AGENT)
 
@@ -711,18 +714,18 @@ def r07(fx, cfg):
 
 
 @register("r08_latest_moves", APPLY, """
-SELECT a.created_at, a.company_id, co.name AS company_name, p.name AS new_pool, a.action
-FROM ap_audits a JOIN companies co ON co.id = a.company_id JOIN pools p ON p.id = a.pool_id
-WHERE a.action = 'AUTO_ASSIGN' ORDER BY a.created_at DESC, a.company_id LIMIT 50""")
+SELECT created_at, company_id, (SELECT name FROM companies WHERE id = company_id) AS company_name,
+  (SELECT name FROM pools WHERE id = pool_id) AS new_pool, action
+FROM (SELECT *, row_number() OVER (ORDER BY created_at DESC, company_id) AS k FROM ap_audits WHERE action = 'AUTO_ASSIGN') x WHERE k <= 50""")
 def r08a(fx, cfg):
     return R.latest_moves(_apply(fx, cfg).audits, fx.companies, fx.pools)
 
 
 @register("r08_private_campaigns", APPLY, """
-SELECT pl.company_id, co.name AS company_name, child.name AS pool, parent.name AS campaign
-FROM ap_placements pl JOIN companies co ON co.id = pl.company_id JOIN pools child ON child.id = pl.pool_id
-LEFT JOIN pools parent ON parent.id = pl.source_pool_id
-WHERE pl.ended_at IS NULL AND child.type = 'PRIVATE' ORDER BY pl.company_id LIMIT 30""")
+SELECT company_id, (SELECT name FROM companies WHERE id = company_id) AS company_name, (SELECT name FROM pools WHERE id = pool_id) AS pool,
+  (SELECT name FROM pools WHERE id = source_pool_id) AS campaign
+FROM (SELECT *, row_number() OVER (ORDER BY company_id) AS k FROM ap_placements
+      WHERE ended_at IS NULL AND pool_id IN (SELECT id FROM pools WHERE type = 'PRIVATE')) x WHERE k <= 30""")
 def r08b(fx, cfg):
     return R.private_campaigns(_apply(fx, cfg).placements, fx.companies, fx.pools)
 

@@ -246,7 +246,7 @@ class Fixtures:
     def pool_rules(self, mode: str | None = None) -> DataFrame:
         mode = mode or self.cfg.mode
         if mode == "parked":
-            rows = [(t, f"pool_{c}", p, a, None) for p, t, c, a in K.PARKED_RULE_SEED]
+            rows = [(t, f"pool_{c}", p, a, d) for p, t, c, a, d in K.PARKED_RULE_SEED]
         else:
             rows = [(t, f"pool_{c}", p, True, d) for p, t, c, d in K.RULE_SEED]
         return self.spark.createDataFrame(rows, SC.POOL_RULES)
