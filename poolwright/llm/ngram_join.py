@@ -6,7 +6,7 @@ band's instance and, if it may be similar to a set of the next band, to that one
 similar sets differ in at most k shingles. The shingle domain is cut into n1 ranges of hash values, each into
 ``parts`` sub-ranges; as n1 is over k / (skip + 1), some range holds at most ``skip`` differences, so of the
 subsets that leave out ``skip`` of its sub-ranges one has no difference. Each such subset's shingles make a
-signature, so similar sets share one. A few ranges more than needed are made (``spare``): a set with at most
+signature, so similar sets share one. Some ranges more than needed are made (``spare``): a set with at most
 that many ranges with an empty subset has a shared signature that isn't empty, so only the rare sets beyond
 that put out signatures of empty subsets, which unlike sets share by chance.
 
@@ -28,6 +28,7 @@ not read (``keep_one`` hands them on).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -78,8 +79,14 @@ def instance(rule: Rule, low: int, high: int) -> Instance | None:
     k = max(rule.most_apart(2 * high), rule.most_apart(2 * high - 1))
     if k == 0:
         return None
-    spare = 1 + k // 16
-    n1 = k // (rule.skip + 1) + 1 + spare
+    need, spare = k // (rule.skip + 1) + 1, 0
+    while True:  # as many as a set of the band's least size seldom has ranges with an empty subset
+        n1 = need + spare
+        empty = math.exp(-low * (rule.parts - rule.skip) / (n1 * rule.parts))
+        bad = n1 * (1 - (1 - empty) ** len(list(combinations(range(rule.parts), rule.parts - rule.skip))))
+        if spare >= min(bad + 3 * math.sqrt(bad) + 1, need):
+            break
+        spare += 1
     n = n1 * rule.parts
     edges = np.array([(j << 64) // n for j in range(1, n)], U)
     subsets = tuple(combinations(range(rule.parts), rule.parts - rule.skip))
@@ -183,17 +190,17 @@ def _sketch(s: np.ndarray) -> bytes:
 
 
 def classes(rule: Rule, docs: DataFrame) -> DataFrame:
-    """A row a document: doc_id, n_shingles, node (its class; null without shingles)."""
+    """A row a document: doc_id, n_shingles, node (its class; null without shingles), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 sets = shingle_sets(rule, batch.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.int64())],
-                    names=["doc_id", "n_shingles", "node"])
+                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
+                     pa.array([_sketch(s) for s in sets], pa.binary())], names=["doc_id", "n_shingles", "node", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, node long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, node long, sketch binary")
 
 
 def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
@@ -221,11 +228,31 @@ def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
     return rows.where(F.col("lo") < F.col("hi")).groupBy(F.xxhash64("all", "lo", "hi", "g").alias("sig"), "node", "g").agg(F.count("*").alias("c"))
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.abs(a[k:k + 4096].astype(np.int16) - b[k:k + 4096]).sum(1) for k in range(0, len(a), 4096)]) if len(a) else np.zeros(0, np.int64)
+
+
+def _histograms(col: pa.Array) -> np.ndarray:
+    return text_bytes(col)[0].reshape(-1, HIST)
+
+
+def near_enough(rule: Rule, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of the pairs (a, b), those that sizes and histograms leave possible. ``nodes``: node, n, sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            total = n + m
+            most = total - 2 * -(-rule.num * total // (rule.num + rule.den))
+            mask = pa.array((np.minimum(n, m) * rule.den >= np.maximum(n, m) * rule.num) & (_apart(_histograms(batch.column("sa")), _histograms(batch.column("sb"))) <= most))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
 def verify(rule: Rule, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those whose texts' sets link."""
-    pairs = checkpointed(pairs)
-    asked = checkpointed(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    texts = texts.select("node", "text").join(broadcast_if_few(asked), "node")
+    """Of the pairs (a, b), those whose texts' sets link. ``texts``: node, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -250,7 +277,7 @@ def _tested(rule: Rule, a: np.ndarray, b: np.ndarray, comp: np.ndarray, n: np.nd
     total = n[a] + n[b]
     most = total - 2 * -(-rule.num * total // (rule.num + rule.den))
     for h in (coarse, hist):
-        apart = np.concatenate([np.abs(h[a[k:k + 4096]] - h[b[k:k + 4096]]).sum(1) for k in range(0, len(a), 4096)]) if len(a) else np.zeros(0, np.int64)
+        apart = _apart(h[a], h[b])
         ok = apart <= most
         a, b, most = a[ok], b[ok], most[ok]
     return a, b, apart[ok]
@@ -308,47 +335,50 @@ class Join:
     """The join of one table of documents: what its steps share is kept in checkpoints."""
 
     def __init__(self, docs: DataFrame, rule: Rule):
-        self.rule = rule
-        self.rows = checkpointed(classes(rule, docs))
+        self.rule, self.docs = rule, docs.select("doc_id", "text")
+        rows = checkpointed(classes(rule, docs))
+        self.rows = rows.drop("sketch")
         self.shared = checkpointed(shared_signatures(rule, docs))
-        first = self.rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        #: the smallest doc_id of each class that shares a signature
-        self.first = checkpointed(self.shared.select("node").distinct().join(first, "node"))
-        own = broadcast_if_few(self.first.select("doc_id", F.col("node").alias("_node")))
-        self.texts = checkpointed(self._one_text(docs.select("doc_id", "text").join(own, "doc_id")))
-
-    def _one_text(self, rows: DataFrame) -> DataFrame:
-        """(node, n, sketch, text); a repeated doc_id may bring other texts, which their hash tells, and repeats."""
+        first = rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        #: the classes that share a signature: smallest doc_id, size and histogram
+        self.nodes = checkpointed(self.shared.select("node").distinct().join(first, "node"))
+
+    def _texts(self, pairs: DataFrame) -> DataFrame:
+        """(node, text) of the classes of the pairs; a repeated doc_id may bring other texts, which their hash tells."""
         rule = self.rule
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.nodes.select("node", "doc_id"), "node")
+        own = broadcast_if_few(checkpointed(asked.select("doc_id", F.col("node").alias("_node"))))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for whole in batches:
                 for batch in slices(whole):
-                    sets, nodes = shingle_sets(rule, batch.column("text")), batch.column("_node").to_pylist()
-                    take = []
-                    for k, (s, n) in enumerate(zip(sets, nodes)):
+                    nodes, take = batch.column("_node").to_pylist(), []
+                    for k, (s, n) in enumerate(zip(shingle_sets(rule, batch.column("text")), nodes)):
                         if len(s) and n not in seen and _node(s) == n:
                             seen.add(n)
                             take.append(k)
                     if take:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([nodes[k] for k in take], pa.int64()), pa.array([len(sets[k]) for k in take], pa.int64()),
-                             pa.array([_sketch(sets[k]) for k in take], pa.binary()), batch.column("text").take(pa.array(take))], names=["node", "n", "sketch", "text"])
+                        yield pa.RecordBatch.from_arrays([pa.array([nodes[k] for k in take], pa.int64()), batch.column("text").take(pa.array(take))], names=["node", "text"])
+
+        return checkpointed(self.docs.join(own, "doc_id").select("_node", "text").mapInArrow(run, "node long, text string"))
 
-        return rows.select("_node", "text").mapInArrow(run, "node long, n long, sketch binary, text string")
+    def _linked(self, pairs: DataFrame) -> DataFrame:
+        pairs = checkpointed(pairs)
+        return checkpointed(verify(self.rule, pairs, self._texts(pairs)))
 
     def _possible(self, comps: DataFrame | None, nearest: int | None = None) -> DataFrame:
         rows = self.shared.select("sig", "node")
         if comps is not None:
             rows = rows.join(comps, "node", "left")
         rows = rows.withColumn("comp", F.col("node") if comps is None else F.coalesce("comp", "node"))
-        return possible_pairs(self.rule, rows, self.texts.select("node", "n", "sketch").dropDuplicates(["node"]), nearest)
+        return possible_pairs(self.rule, rows, self.nodes, nearest)
 
     def links(self) -> DataFrame:
         """(a, b): every linked pair of different classes, as the smallest doc_id of each."""
-        pairs = verify(self.rule, self._possible(None), self.texts)
-        rep = lambda c: self.first.select(F.col("node").alias(c), F.col("doc_id").alias(f"r{c}"))
+        pairs = self._linked(self._possible(None))
+        rep = lambda c: self.nodes.select(F.col("node").alias(c), F.col("doc_id").alias(f"r{c}"))
         return pairs.join(rep("a"), "a").join(rep("b"), "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
 
     def _star(self) -> DataFrame:
@@ -362,10 +392,10 @@ class Join:
 
     def labels(self) -> DataFrame:
         """(node, comp) of the classes that link with another class."""
-        linked = checkpointed(verify(self.rule, self._star(), self.texts))
+        linked = self._linked(near_enough(self.rule, self._star(), self.nodes))
         comps = components(linked)
         for nearest in (NEAREST, None):
-            more = checkpointed(verify(self.rule, self._possible(comps, nearest), self.texts))
+            more = self._linked(self._possible(comps, nearest))
             if more.limit(1).count():
                 linked = checkpointed(linked.union(more))
                 comps = components(linked)
