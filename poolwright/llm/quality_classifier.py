@@ -23,7 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
@@ -225,41 +225,39 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return co_train((sparse("tc", "tv"), sparse("mc", "mv")), y, aside)
 
 
-def _classified(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` as _k0, _k1, ..., then _text_score, _meta_score, _score and _kept."""
+def _scored(docs: DataFrame, labels: DataFrame, payload: Column) -> DataFrame:
+    """``payload`` as _row, and _s: the scores by text, by metadata and by both, and whether the row is kept.
+
+    Only the four columns that are read go to Python; the payload stays with Spark.
+    """
     model = train(docs, labels)
-    kinds = dict(docs.dtypes)
-    names = ["_text_score", "_meta_score", "_score", "_kept"]
+    kind = "text_score double, meta_score double, score double, kept boolean"
     if model is None:
-        return docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], *[F.lit(None).cast("double").alias(c) for c in names[:3]], F.lit(True).alias("_kept"))
+        nothing = [F.lit(None).cast("double").alias(c) for c in ("text_score", "meta_score", "score")]
+        return docs.select(payload.alias("_row"), F.struct(*nothing, F.lit(True).alias("kept")).alias("_s"))
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # 3 * 2**DIM numbers
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            use = Model(*shared.value)
-            for batch in slices(whole, "_t"):
-                text = batch.column("_t")
-                meta = meta_features(*(batch.column(c).to_pylist() for c in ("_l", "_s", "_n")))
-                got = use.scores(text, meta)
-                empty = np.diff(text_terms(text)[1]) == 0
-                got = [np.where(empty, 0.0, x) for x in got]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(f"_k{i}") for i in range(len(keep))] + [pa.array(x) for x in got] + [pa.array(got[2] >= KEEP)],
-                    names=[f"_k{i}" for i in range(len(keep))] + names)
+    @F.arrow_udf(f"struct<{kind.replace(' double', ': double').replace(' boolean', ': boolean')}>")
+    def scores(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
+        use, parts = Model(*shared.value), []
+        for batch in slices(pa.RecordBatch.from_arrays([text, lang, source, n_chars], names=["text", "lang", "source", "n_chars"])):
+            col = batch.column("text")
+            got = use.scores(col, meta_features(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars"))))
+            empty = np.diff(text_terms(col)[1]) == 0
+            got = [np.where(empty, 0.0, x) for x in got]
+            parts.append([*got, got[2] >= KEEP])
+        cols = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0)] * 3 + [np.zeros(0, bool)]
+        return pa.StructArray.from_arrays([pa.array(x) for x in cols], names=["text_score", "meta_score", "score", "kept"])
 
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], F.col("text").alias("_t"), F.col("lang").alias("_l"),
-                       F.col("source").alias("_s"), F.col("n_chars").alias("_n"))
-    schema = ", ".join(f"_k{i} {kinds[c]}" for i, c in enumerate(keep)) + ", _text_score double, _meta_score double, _score double, _kept boolean"
-    return rows.mapInArrow(run, schema)
+    return docs.select(payload.alias("_row"), scores("text", "lang", "source", "n_chars").alias("_s"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, text_score, meta_score, score (probabilities of good quality) and kept."""
-    got = _classified(docs, labels, ("doc_id",))
-    return got.select(F.col("_k0").alias("doc_id"), *[F.col(f"_{c}").alias(c) for c in ("text_score", "meta_score", "score", "kept")])
+    return _scored(docs, labels, F.col("doc_id")).select(F.col("_row").alias("doc_id"), "_s.*")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    got = _classified(docs, labels, tuple(docs.columns)).where("_kept")
-    return got.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return _scored(docs, labels, row).where("_s.kept").select("_row.*")
