@@ -11,6 +11,8 @@ fam_spark={"string":"str","int":"int32","bigint":"int64","boolean":"bool","date"
 fam_duck={"VARCHAR":"str","INTEGER":"int32","BIGINT":"int64","BOOLEAN":"bool","DATE":"date","TIMESTAMP":"ts","DOUBLE":"f64","HUGEINT":"int128","SMALLINT":"int16"}
 bad=0
 for name, fn in E.queries().items():
+    if name not in E.oracle_sql():
+        continue
     df=fn(spark,SF)
     s={f.name: fam_spark.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     rel=con.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()
