@@ -46,6 +46,7 @@ from .components import components
 BAND = 1.3
 HIST = 256
 COARSE = 64
+FINE, FINE_FROM = 4096, 1024  # a finer histogram of sets of more than so many shingles
 BLOCK = 1024
 NEAREST = 3
 U = np.uint64
@@ -184,13 +185,14 @@ def _node(s: np.ndarray) -> int:
         return int(mix(_sums(s)[-1] + U(len(s)) * U(0xD1342543DE82EF95)).astype(np.int64))
 
 
-def _sketch(s: np.ndarray) -> bytes:
+def _sketch(s: np.ndarray, bins: int = HIST) -> bytes:
     """A histogram of the set; two sets' histograms differ by no more than the sets (counts stop at 255)."""
-    return np.minimum(np.bincount((s >> U(56)).astype(np.int64), minlength=HIST), 255).astype(np.uint8).tobytes()
+    shift = U(64 - (bins.bit_length() - 1))
+    return np.minimum(np.bincount((s >> shift).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
 
 
 def classes(rule: Rule, docs: DataFrame) -> DataFrame:
-    """A row a document: doc_id, n_shingles, node (its class; null without shingles), sketch."""
+    """A row a document: doc_id, n_shingles, node (its class; null without shingles), sketch, fine (null for small sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -198,9 +200,10 @@ def classes(rule: Rule, docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(rule, batch.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                     pa.array([_sketch(s) for s in sets], pa.binary())], names=["doc_id", "n_shingles", "node", "sketch"])
+                     pa.array([_sketch(s) for s in sets], pa.binary()), pa.array([_sketch(s, FINE) if len(s) > FINE_FROM else None for s in sets], pa.binary())],
+                    names=["doc_id", "n_shingles", "node", "sketch", "fine"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, node long, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, node long, sketch binary, fine binary")
 
 
 def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
@@ -229,26 +232,33 @@ def shared_signatures(rule: Rule, docs: DataFrame) -> DataFrame:
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.abs(a[k:k + 4096].astype(np.int16) - b[k:k + 4096]).sum(1) for k in range(0, len(a), 4096)]) if len(a) else np.zeros(0, np.int64)
+    step = max(1, (1 << 20) // a.shape[1])
+    return np.concatenate([np.abs(a[k:k + step].astype(np.int16) - b[k:k + step]).sum(1) for k in range(0, len(a), step)]) if len(a) else np.zeros(0, np.int64)
 
 
-def _histograms(col: pa.Array) -> np.ndarray:
-    return text_bytes(col)[0].reshape(-1, HIST)
+def near_enough(rule: Rule, pairs: DataFrame, nodes: DataFrame, histogram: str, bins: int) -> DataFrame:
+    """Of the pairs (a, b), those that sizes and histograms leave possible; a pair without one passes.
 
-
-def near_enough(rule: Rule, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those that sizes and histograms leave possible. ``nodes``: node, n, sketch."""
+    ``nodes``: node, n and the histogram.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            total = n + m
-            most = total - 2 * -(-rule.num * total // (rule.num + rule.den))
-            mask = pa.array((np.minimum(n, m) * rule.den >= np.maximum(n, m) * rule.num) & (_apart(_histograms(batch.column("sa")), _histograms(batch.column("sb"))) <= most))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+        for whole in batches:
+            for batch in slices(whole, "ha", 4 << 20):
+                known = batch.column("ha").is_valid().to_numpy(zero_copy_only=False) & batch.column("hb").is_valid().to_numpy(zero_copy_only=False)
+                here = batch.filter(pa.array(known))
+                n, m = here.column("na").to_numpy(), here.column("nb").to_numpy()
+                total = n + m
+                most = total - 2 * -(-rule.num * total // (rule.num + rule.den))
+                of = lambda c: text_bytes(here.column(c))[0].reshape(-1, bins)  # noqa: B023, E731
+                good = ~known
+                good[known] = (np.minimum(n, m) * rule.den >= np.maximum(n, m) * rule.num) & (_apart(of("ha"), of("hb")) <= most)
+                mask = pa.array(good)
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
-    of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    have = nodes.where(F.col(histogram).isNotNull())
+    of = lambda c: have.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col(histogram).alias(f"h{c}"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(run, "a long, b long")
 
 
 def verify(rule: Rule, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -337,11 +347,11 @@ class Join:
     def __init__(self, docs: DataFrame, rule: Rule):
         self.rule, self.docs = rule, docs.select("doc_id", "text")
         rows = checkpointed(classes(rule, docs))
-        self.rows = rows.drop("sketch")
+        self.rows = rows.drop("sketch", "fine")
         self.shared = checkpointed(shared_signatures(rule, docs))
         first = rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-        #: the classes that share a signature: smallest doc_id, size and histogram
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine"))
+        #: the classes that share a signature: smallest doc_id, size and histograms
         self.nodes = checkpointed(self.shared.select("node").distinct().join(first, "node"))
 
     def _texts(self, pairs: DataFrame) -> DataFrame:
@@ -365,7 +375,7 @@ class Join:
         return checkpointed(self.docs.join(own, "doc_id").select("_node", "text").mapInArrow(run, "node long, text string"))
 
     def _linked(self, pairs: DataFrame) -> DataFrame:
-        pairs = checkpointed(pairs)
+        pairs = checkpointed(near_enough(self.rule, checkpointed(pairs), self.nodes, "fine", FINE))
         return checkpointed(verify(self.rule, pairs, self._texts(pairs)))
 
     def _possible(self, comps: DataFrame | None, nearest: int | None = None) -> DataFrame:
@@ -392,7 +402,7 @@ class Join:
 
     def labels(self) -> DataFrame:
         """(node, comp) of the classes that link with another class."""
-        linked = self._linked(near_enough(self.rule, self._star(), self.nodes))
+        linked = self._linked(near_enough(self.rule, self._star(), self.nodes, "sketch", HIST))
         comps = components(linked)
         for nearest in (NEAREST, None):
             more = self._linked(self._possible(comps, nearest))
