@@ -17,28 +17,38 @@ from poolwright.llm.common import stored, table
 NEAR = ngram_join.Rule(words=5, num=80, den=100)
 
 
+def _settings(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows than Spark's 10,000, as whole texts are long: Python workers stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps (none rejected where there are no labels to learn from)."""
+    _settings(spark)
     return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest id, of each component of near-duplicates."""
+    _settings(spark)
     return ngram_join.keep_one(docs, NEAR)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that repeat an earlier string of 100 bytes; texts of which nothing is left go."""
+    _settings(spark)
     return suffix_dedup.deduplicated(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    _settings(spark)
     return source_mixing.emit(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit integers), their SHA-256 and that of the decoded text."""
+    _settings(spark)
     keep = ("doc_id", "lang", "source")
     coded = bpe.decode(bpe.encode(docs, keep=keep), keep=(*keep, "ids"))
     return coded.select(*keep, (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
