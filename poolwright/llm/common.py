@@ -152,15 +152,6 @@ def words_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offs), pa.py_buffer(buf[~_SPACE[buf]])])
 
 
-def spans_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The spans as an Arrow binary array (copied once)."""
-    lens = ends - starts
-    offs = np.zeros(len(lens) + 1, np.int64)
-    np.cumsum(lens, out=offs[1:])
-    take = np.arange(offs[-1]) + np.repeat(starts - offs[:-1], lens)
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lens), [None, pa.py_buffer(offs), pa.py_buffer(buf[take])])
-
-
 #: rows of a few numbers that may be broadcast: some tens of MB
 FEW_ROWS = 1_000_000
 

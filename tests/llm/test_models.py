@@ -131,6 +131,37 @@ def test_lm_learns(spark, monkeypatch):
     assert per[1] > 0.8 * per[0]
 
 
+def test_lm_trains_on_every_window(monkeypatch):
+    """A shard's round passes over all its windows, however many."""
+    seen = []
+
+    def gradients(p, rows, *_):
+        seen.extend((rows[:, 0] * 65536 + rows[:, 1]).tolist())
+        return 0.0, {k: np.zeros_like(x) for k, x in p.items()}
+
+    monkeypatch.setattr(attention_lm, "gradients", gradients)
+    every = np.arange(1 << 16)
+    vocab = attention_lm.Vocabulary(*[every] * 6)
+    for n in (70_000, 100):
+        seen.clear()
+        ids = np.zeros((n, attention_lm.KEYS + 1), np.uint16)
+        ids[:, 0], ids[:, 1] = np.arange(n) // 65536, np.arange(n) % 65536
+        attention_lm.train({"E": np.zeros(2), "M": np.zeros(2), "W": np.zeros(2)}, vocab, ids, 0.01, 0)
+        assert set(seen) == set(range(n)) and (n < 1000 or len(seen) == n)
+
+
+def test_lm_windows_hold_all_text(spark):
+    """Of a text of 9,000 words all ids but those of a last partial window are goals, in their order."""
+    text = data.prose(1, 9000)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    path = lm_scoring.vocabulary_path()
+    ids = lm_scoring.Tokenizer(path).words([w.encode() for w in text.lower().split()])[0].tolist()
+    goals = []
+    for r in sorted(lm_scoring.training_windows(docs, path).collect(), key=lambda r: -len(r.ids)):
+        goals += lm_scoring._windows([bytes(r.ids)])[:, attention_lm.KEYS - attention_lm.QUERIES + 1:].ravel().tolist()
+    assert len(goals) >= len(ids) and sum((Counter(ids) - Counter(goals)).values()) < attention_lm.QUERIES
+
+
 def test_lm_of_odd_rows(spark):
     check_base(lm_scoring.score(data.messy(spark)).collect(), [(i, t) for i, t, *_ in data.messy_rows()])
     assert lm_scoring.score(data.messy(spark, empty=True)).collect() == []
