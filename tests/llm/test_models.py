@@ -150,16 +150,32 @@ def test_lm_trains_on_every_window(monkeypatch):
         assert set(seen) == set(range(n)) and (n < 1000 or len(seen) == n)
 
 
-def test_lm_windows_hold_all_text(spark):
-    """Of a text of 9,000 words all ids but those of a last partial window are goals, in their order."""
-    text = data.prose(1, 9000)
-    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    path = lm_scoring.vocabulary_path()
-    ids = lm_scoring.Tokenizer(path).words([w.encode() for w in text.lower().split()])[0].tolist()
-    goals = []
-    for r in sorted(lm_scoring.training_windows(docs, path).collect(), key=lambda r: -len(r.ids)):
-        goals += lm_scoring._windows([bytes(r.ids)])[:, attention_lm.KEYS - attention_lm.QUERIES + 1:].ravel().tolist()
-    assert len(goals) >= len(ids) and sum((Counter(ids) - Counter(goals)).values()) < attention_lm.QUERIES
+def test_lm_windows_have_each_id_as_goal_once(spark):
+    """Each id of a text and its end is a goal once, after the ids that it is scored after; fill is none."""
+    texts = {1: data.prose(1, 9000), 2: "short", 3: None, 4: " \n", 5: data.prose(2, 40)}
+    path, ahead = lm_scoring.vocabulary_path(), attention_lm.KEYS - attention_lm.QUERIES + 1
+    coder = lm_scoring.Tokenizer(path)
+    for i, text in texts.items():
+        docs = spark.createDataFrame([(i, text)], "doc_id long, text string")
+        ids = [*coder.words([w.encode() for w in (text or "").lower().split()])[0].tolist(), lm_scoring.END_ID]
+        seen = [lm_scoring.END_ID] * ahead + ids
+        want = Counter((tuple(seen[k:k + ahead]), seen[k + ahead]) for k in range(len(ids)))
+        rows, goals = lm_scoring._windows([bytes(r.ids) for r in lm_scoring.training_windows(docs, path).collect()])
+        got = Counter((tuple(w[k:k + ahead]), w[k + ahead]) for w, n in zip(rows.tolist(), goals.tolist()) for k in range(n))
+        assert got == want
+
+
+def test_fill_does_not_count():
+    rng = np.random.default_rng(3)
+    vocab = attention_lm.vocabulary(rng.integers(0, 50, 3000).astype(float))
+    p = {k: x.astype(np.float64) for k, x in attention_lm.start(vocab).items()}
+    ids, goals, got = rng.integers(0, 3000, (3, attention_lm.KEYS + 1)), np.array([attention_lm.QUERIES, 5, 1]), []
+    for fill in (7, 2900):
+        for w, n in zip(ids, goals):
+            w[attention_lm.KEYS - attention_lm.QUERIES + 1 + n:] = fill
+        goal = ids[:, attention_lm.KEYS - attention_lm.QUERIES + 1:]
+        got.append(attention_lm.gradients(p, vocab.row[ids[:, :-1]], vocab.group[goal], vocab.place[goal], goals))
+    assert np.isclose(got[0][0], got[1][0]) and all(np.allclose(got[0][1][k], got[1][1][k]) for k in attention_lm.NAMES)
 
 
 def test_lm_of_odd_rows(spark):
