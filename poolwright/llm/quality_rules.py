@@ -9,7 +9,7 @@ A concentration step is one aggregation: a row's distance under the present esti
 (cell, bin) is summed map-side, and the bins up to the ``CORE`` share of the cell's rows give the next
 estimate. So no cell's rows are gathered, however many it has, and a cell hands over a bounded number of bins.
 Language and source pairs with under ``LEAST`` rows are put together per language, and languages with under
-that many rows in all. ``FLOOR`` keeps a statistic that hardly varies from rejecting small differences.
+that many rows in all. ``FLOOR``, half a percent of lines or words or half a symbol in 1,000 characters, guards against a singular scatter.
 
 Null text counts as no words (fails the base limits); null language and null source are values of their
 own; repeated rows count as rows; an empty table gives no rows; other columns are not read.
@@ -35,8 +35,8 @@ REPEAT_PERCENT = 30
 CORE = 0.75
 STEPS = 5
 LEAST = 60
-FLOOR = (0.1, 0.3, 0.3, 0.3)
-TAIL = 1e-9
+FLOOR = (0.05, 0.05, 0.05, 0.05)
+TAIL = 1e-4
 DIM = 4
 
 _IS_SYMBOL = np.zeros(256, bool)

@@ -63,6 +63,27 @@ def test_estimate_withstands_outliers(spark):
     assert (far > quality_rules.CUT).all() and (near < quality_rules.CUT).mean() > 0.999
 
 
+def test_planted_outliers_of_spotless_cells_are_rejected(spark):
+    """Symbols, repeated lines, repeated words below the base limit; in cells of their own and put together."""
+    lines = lambda seed, n: [data.prose(1000 * seed + k, 10) for k in range(n)]
+    rows, bad = [], set()
+    for cell, (lang, source, size) in enumerate((("en", "a", 150), ("fr", "a", 80), ("de", "b", 40), ("de", "c", 40))):
+        for k in range(size):
+            rows.append((1000 * cell + k, "\n".join(lines(1000 * cell + k, 12 + k % 9)), lang, source))
+        text = lines(1000 * cell + 999, 20)
+        share = [w for x in text for w in x.split()]
+        for k, planted in enumerate((" ".join(w + "#" * (j % 3 == 0) for j, w in enumerate(share)),  # 6 to 7 symbols per 100 characters
+                                     "\n".join(x + "\nread more\nread more" * (j < 16) for j, x in enumerate(text)),  # 60 % of lines
+                                     " ".join(share + share[:26]))):  # 23 % of words
+            i = 1000 * cell + 900 + k
+            rows.append((i, planted, lang, source))
+            bad.add(i)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality_rules.judge(docs).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == bad
+
+
 # --- LM scoring
 
 
