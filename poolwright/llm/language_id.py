@@ -34,7 +34,8 @@ MARK = "▁"
 STRANGE = 1e-7
 #: pieces' worth of the vocabulary's own distribution that is added to each language
 PRIOR_PIECES = 2000.0
-LONGEST = 12
+LONGEST = 16  # letters of the vocabulary's longest piece, with the mark
+RESCALE = 12  # starts from one rescaling of the forward mass to the next
 WORDS = regex.compile(r"\p{L}+")
 
 
@@ -124,7 +125,7 @@ class Pieces:
         forward[0] = 1.0
         scale = np.zeros((count, prob.shape[1]))
         for i, length, rows, piece in arcs:
-            if length == 1 and i and i % LONGEST == 0:  # arcs come in order of their start: keep within range
+            if length == 1 and i and i % RESCALE == 0:  # arcs come in order of their start: keep within range
                 by = forward[i].copy()
                 forward[i:i + LONGEST] /= by
                 scale += np.log(by)

@@ -386,6 +386,20 @@ def test_word_likelihood_sums_all_segmentations():
         assert abs(slope - e[names[name], 0]) < 1e-3 + 1e-3 * slope
 
 
+def test_no_piece_of_the_vocabulary_is_too_long():
+    import sentencepiece
+
+    path = language_id.vocabulary_path()
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    every = {model.id_to_piece(k).lower() for k in range(model.get_piece_size())}
+    letters = {p for p in every if p.rfind(language_id.MARK) <= 0 and all(c.isalpha() or c == language_id.MARK for c in p)} - {""}
+    pieces = language_id.Pieces(path)
+    assert set(pieces.names) >= letters and language_id.LONGEST == max(map(len, letters))
+    # the whole word's piece is among its segmentations
+    arcs = next(pieces.lattices(["international"]))[2]
+    assert pieces.names.index("▁international") in [int(piece[0]) for _, _, rows, piece in arcs if rows is not None]
+
+
 def test_languages_of_held_out_texts(spark):
     got = language_id.identify(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     rows = got.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
