@@ -205,11 +205,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     kind = dict(docs.dtypes)["doc_id"]
     one = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(chosen), "doc_id")
-    got = one.mapInArrow(run, f"doc_id {kind}, y int, tc binary, tv binary, mc binary, mv binary").toArrow()
-    # the order of rows, and which of several rows of one id is taken, must not depend on the partitions
-    rows = sorted(range(got.num_rows), key=lambda k: (got["doc_id"][k].as_py(), got["tc"][k].as_py(), got["tv"][k].as_py(), got["mc"][k].as_py()))
-    seen: set = set()
-    rows = [k for k in rows if not (i := got["doc_id"][k].as_py()) in seen and not seen.add(i)]
+    each = one.mapInArrow(run, f"doc_id {kind}, y int, tc binary, tv binary, mc binary, mv binary")
+    # one row of each id reaches the driver; which of several, and the order of rows, must not depend on the partitions
+    least = each.groupBy("doc_id").agg(F.min(F.struct("tc", "tv", "mc", "mv", "y")).alias("r"))
+    got = least.select("doc_id", "r.*").toArrow()
+    rows = sorted(range(got.num_rows), key=lambda k: got["doc_id"][k].as_py())
     y = np.array([got["y"][k].as_py() for k in rows], np.int64)
 
     def sparse(c: str, v: str) -> Sparse:

@@ -352,6 +352,19 @@ def test_classifier_of_odd_rows(spark):
     assert quality_classifier.keep_good(data.messy(spark, empty=True), labels).collect() == []
 
 
+def test_one_row_of_an_id_reaches_the_driver(spark, monkeypatch):
+    docs = data.messy(spark)
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(20, 48)], "doc_id long, quality int, toxic int")
+    verdicts = lambda rows: {(r.doc_id, round(r.score, 6), r.kept) for r in rows}
+    want = verdicts(quality_classifier.classify(docs, labels).collect())
+    more, got = docs.where("doc_id = 25").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("k"), []
+    plain = type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: got.append(plain(self)) or got[-1])
+    again = quality_classifier.classify(docs.unionByName(more), labels).collect()
+    assert len(got) == 1 and got[0].num_rows == len(set(got[0]["doc_id"].to_pylist())) > 40
+    assert verdicts(again) == want
+
+
 # --- language identification
 
 
