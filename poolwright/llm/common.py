@@ -75,16 +75,16 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, o - o[0]
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of every row, and the row's first word (n + 1 entries).
 
-    Words never cross rows, as a boundary is put at every row start.
+    ``outside`` flags the byte values that part words. Words never cross rows, as a boundary is put at every row start.
     """
     n = len(buf)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[buf]
+    inside = ~outside[buf]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < n]

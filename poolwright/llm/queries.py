@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, lm_scoring, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters
+from . import bpe, decontaminate, language_id, lm_scoring, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters
 from .common import table
 
 
@@ -54,6 +54,13 @@ def op10_suffix_dedup(spark, sf_dir):
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=("doc_id",))
+    listed = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, twins.NGRAM_JOIN),
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
@@ -65,4 +72,5 @@ QUERIES = {
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_suffix_dedup": (op10_suffix_dedup, twins.SUFFIX_DEDUP),
+    "op12_benchmark_decontamination": (op12_benchmark_decontamination, decontaminate.SQL),
 }
