@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language_id, lm_scoring, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters
+from . import bpe, decontaminate, language_id, lm_scoring, merkle_manifest, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters
 from .common import table
 
 
@@ -61,6 +61,11 @@ def op12_benchmark_decontamination(spark, sf_dir):
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    got = merkle_manifest.verified(table(spark, sf_dir, "documents"), merkle_manifest.tampered())
+    return got.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, twins.NGRAM_JOIN),
     "op2_bpe_roundtrip": (op2_bpe_roundtrip, None),
@@ -73,4 +78,5 @@ QUERIES = {
     "op9_language_id": (op9_language_id, None),
     "op10_suffix_dedup": (op10_suffix_dedup, twins.SUFFIX_DEDUP),
     "op12_benchmark_decontamination": (op12_benchmark_decontamination, decontaminate.SQL),
+    "op13_merkle_manifest": (op13_merkle_manifest, merkle_manifest.SQL),
 }
