@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language_id, lm_scoring, merkle_manifest, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters
+from . import bpe, decontaminate, language_id, lm_scoring, merkle_manifest, ngram_join, quality_classifier, quality_rules, source_mixing, suffix_dedup, topk_search, twins, url_filters, whitening
 from .common import table
 
 
@@ -54,6 +54,14 @@ def op10_suffix_dedup(spark, sf_dir):
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    white, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    explained = F.array(*(F.lit(float(e / model.trace)) for e in model.variances)).cast("array<double>")
+    rows = white.select("vec_id", F.lit(model.n).cast("long").alias("n"), "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.get(explained, F.col("at")).alias("explained"),
+                       F.lit(model.identity_error).alias("identity_error"))
+
+
 def op12_benchmark_decontamination(spark, sf_dir):
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=("doc_id",))
     listed = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -77,6 +85,7 @@ QUERIES = {
     "op8_source_mixing": (op8_source_mixing, source_mixing.SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_suffix_dedup": (op10_suffix_dedup, twins.SUFFIX_DEDUP),
+    "op11_embedding_whitening": (op11_embedding_whitening, None),
     "op12_benchmark_decontamination": (op12_benchmark_decontamination, decontaminate.SQL),
     "op13_merkle_manifest": (op13_merkle_manifest, merkle_manifest.SQL),
 }
