@@ -116,15 +116,36 @@ def roll_placements(placements: DataFrame, moves: DataFrame, cfg: RunConfig) ->
     return closed.unionByName(opened.select(*placements.columns))
 
 
+def split_history(placements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(open rows, closed rows) of a placement history, to be stored apart."""
+    is_open = F.col("endedAt").isNull()
+    return placements.where(is_open), placements.where(~is_open)
+
+
+def roll_open(open_rows: DataFrame, moves: DataFrame, refresh_src: DataFrame, pools: DataFrame,
+              cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
+    """AP4 + AP6 over the open placements alone: (the new open rows, the rows that close).
+
+    Closed rows never change, so with the two kept apart a night reads a row per placed company and appends
+    one per move, however long the history is. Together with the older closed rows the result is that of ``roll_and_refresh``.
+    """
+    rolled = roll_and_refresh(open_rows, moves, refresh_src, pools, cfg)
+    return split_history(rolled)
+
+
 def audit(audits: DataFrame, moves: DataFrame, cfg: RunConfig) -> DataFrame:
     """AP5: one AUTO_ASSIGN audit row per moved company, appended."""
-    new = moves.select(
+    return audits.unionByName(audit_rows(moves, cfg).select(*audits.columns))
+
+
+def audit_rows(moves: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The audit rows of one run's moves."""
+    return moves.select(
         gen_id(cfg, "audit").alias("id"), F.col("company_id").alias("companyId"),
         F.col("proposed_pool_id").alias("poolId"), F.lit(K.AUDIT_ACTION).alias("action"),
         F.lit(cfg.actor).alias("actorId"), F.lit(None).cast("string").alias("reason"),
         run_ts(cfg).alias("createdAt"),
     )
-    return audits.unionByName(new.select(*audits.columns))
 
 
 def batch_campaigns(batch: DataFrame, pools: DataFrame, cfg: RunConfig) -> DataFrame:

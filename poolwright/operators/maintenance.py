@@ -16,6 +16,7 @@ from poolwright.functions.columns import (
     blank_to_null, days_until, first_match, left_join_nullable, ne_null_safe, slug,
 )
 from poolwright.operators.apply import run_ts
+from poolwright.operators.cascade import POOL_REFERENCES, cascade
 from poolwright.operators.features import pool_by_code
 from poolwright.operators.ranking import distributed_rank
 from poolwright.operators.tables import delete_matching, insert_missing, upsert
@@ -195,7 +196,6 @@ def retire_pools(companies: DataFrame, placements: DataFrame, pools: DataFrame,
     """M7: drop every shared pool outside the keep list, moving its companies by clock first."""
     drop = pools.where(F.col("type").cast("string").isin(*K.SHARED_TYPES)
                        & ~F.coalesce(F.col("code"), F.lit("")).isin(*K.RESET_KEEP_CODES)).select(F.col("id").alias("_drop"))
-    drop = drop
     codes = _codes(pools, cfg)
     j = companies.join(drop, F.col("poolId") == F.col("_drop"), "inner").join(
         _clock_days(best_end, cfg), F.col("id") == F.col("_ced_co"), "left")
@@ -204,25 +204,21 @@ def retire_pools(companies: DataFrame, placements: DataFrame, pools: DataFrame,
               .when(d.isNull() | (d < 1), codes["PAST_RETENTION"]).otherwise(codes["UNASSIGNED"]))
     # without the target pool there is nowhere to move to
     targets = j.select(F.col("id").alias("company_id"), target.alias("target_pool_id")).where(F.col("target_pool_id").isNotNull())
-    ts = run_ts(cfg)
-    pl = placements.join(drop.withColumnRenamed("_drop", "_d1"), F.col("poolId") == F.col("_d1"), "left").join(
-        drop.withColumnRenamed("_drop", "_d2"), F.col("sourcePoolId") == F.col("_d2"), "left")
-    new_pl = pl.select(*[
-        (F.when(F.col("_d1").isNotNull() & F.col("endedAt").isNull(), ts).otherwise(F.col("endedAt")) if c == "endedAt"
-         else F.when(F.col("_d2").isNotNull(), F.lit(None).cast("string")).otherwise(F.col(c)) if c == "sourcePoolId"
-         else F.col(c)).alias(c) for c in placements.columns])
-    ids = drop.select(F.col("_drop").alias("id"))
-    links2 = delete_matching(delete_matching(links, ids, {"parentPoolId": "id"}), ids, {"childPoolId": "id"})
-    rules2 = delete_matching(rules, ids, {"poolId": "id"}).where(F.col("tag").isin(*K.RESET_KEEP_TAGS))
+    closing = placements.join(drop, F.col("poolId") == F.col("_drop"), "left")
+    ended = F.when(F.col("_drop").isNotNull() & F.col("endedAt").isNull(), run_ts(cfg)).otherwise(F.col("endedAt"))
+    left = cascade(
+        {"pools": pools, "pool_profiles": pool_profiles, "pool_links": links, "pool_rules": rules,
+         "company_pool_placements": closing.select(*[(ended if c == "endedAt" else F.col(c)).alias(c) for c in placements.columns])},
+        POOL_REFERENCES, {"pools": drop.select(F.col("_drop").alias("id"))})
     return {
         "companies": _move(companies, targets),
         "targets": targets,
-        "placements": new_pl,
-        "pool_profiles": delete_matching(pool_profiles, ids, {"poolId": "id"}),
-        "links": links2,
+        "placements": left["company_pool_placements"],
+        "pool_profiles": left["pool_profiles"],
+        "links": left["pool_links"],
         "families": families.where(F.coalesce(F.col("isManual"), F.lit(False))),
-        "rules": rules2,
-        "pools": delete_matching(pools, ids, {"id": "id"}),
+        "rules": left["pool_rules"].where(F.col("tag").isin(*K.RESET_KEEP_TAGS)),
+        "pools": left["pools"],
     }
 
 

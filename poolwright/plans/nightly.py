@@ -22,8 +22,9 @@ from poolwright.operators import features as C
 from poolwright.operators import maintenance as M
 from poolwright.operators import tagging as T
 from poolwright.plans import reports as R
-from poolwright.sources import conform, read_or_empty, read_table, write_table
+from poolwright.sources import conform_checked, read_or_empty, read_table, write_table
 from poolwright.sources import schemas as SC
+from poolwright.sources.store import TableStore, Transaction
 
 # Candidate source column names per entity column (looked up case-insensitively).
 ALIASES = {
@@ -66,14 +67,22 @@ class Tables:
     company_pool_audits: DataFrame
     #: the columns that the deals source itself has: they choose the path from deals to companies
     deal_columns: tuple[str, ...] | None = None
+    #: rows that the loader set aside; not an entity, so not a field
+    rejected = None
+
+
+#: fields without which a row means nothing; the loader sets such rows aside
+REQUIRED = {"companies": ("id",), "company_sites": ("id",), "site_meters": ("id",), "contracts": ("id",), "pools": ("id",)}
 
 
 def load_snapshot(spark: SparkSession, root: str, fmt: str = "parquet") -> Tables:
     """S3 + S4: read every entity under ``root/<name>``, conform it to its declared schema.
 
-    Optional entities that are missing read as empty frames; a missing required entity fails.
+    Optional entities that are missing read as empty frames; a missing required entity fails. Rows that don't
+    fit their schema are set aside in ``rejected`` (entity, field, value, wanted, row) and take no part.
     """
     frames = {}
+    rejected = None
     deal_columns: tuple[str, ...] = ()
     for name, schema in ENTITIES.items():
         path = f"{root.rstrip('/')}/{name}"
@@ -81,8 +90,12 @@ def load_snapshot(spark: SparkSession, root: str, fmt: str = "parquet") -> Table
         df = read_or_empty(spark, reader, schema) if name in OPTIONAL else reader()
         if name == "deals":
             deal_columns = tuple(df.columns)  # a conformed frame has them all
-        frames[name] = conform(df, schema, ALIASES.get(name))
-    return Tables(**frames, deal_columns=deal_columns)
+        frames[name], bad = conform_checked(df, schema, ALIASES.get(name), REQUIRED.get(name, ()))
+        bad = bad.select(F.lit(name).alias("entity"), "*")
+        rejected = bad if rejected is None else rejected.unionByName(bad)
+    tables = Tables(**frames, deal_columns=deal_columns)
+    tables.rejected = rejected
+    return tables
 
 
 def from_fixtures(fx) -> Tables:
@@ -135,6 +148,51 @@ def run_nightly(spark: SparkSession, t: Tables, cfg: RunConfig, out_dir: str) ->
     )
 
 
+def night_on_store(tx: Transaction, t: Tables, cfg: RunConfig) -> None:
+    """The job on versioned tables: what it rewrites it also reads, and nothing shows until the commit.
+
+    The first night takes companies, placements and audits from ``t``; later ones find them in the store, as the
+    nights before left them. Open placements are kept apart from closed ones, which are only added to, as are audits. The
+    row counts of every stage are taken while it is written.
+    """
+    AP.check_actor(cfg)
+    if "companies" not in tx.tables:
+        is_open, closed = AP.split_history(t.company_pool_placements)
+        tx.put("placements_open", is_open)
+        tx.put("placements_closed", closed)
+        tx.put("audits", t.company_pool_audits)
+        tx.put("companies", t.companies)
+    companies, cleared = M.clear_leavers(tx.read("companies"), t.profiles, cfg)
+    tx.put("janitor_cleared", cleared)
+    companies = tx.put("companies", companies)
+    if t.rejected is not None:
+        tx.put("rejected_rows", t.rejected)
+    routed = tx.put("routed", route(replace(t, companies=companies, company_pool_audits=tx.read("audits")), cfg))
+    batch = tx.put("apply_batch", T.move_batch(routed, cfg))
+    valid, rejected = AP.validate_batch(batch, companies, t.pools, t.pool_links, cfg)
+    tx.put("rejected_moves", rejected)
+    moves = tx.put("moves", AP.effective_moves(valid))
+    refresh_src = valid if cfg.refresh_validated_only else batch
+    still_open, closing = AP.roll_open(tx.read("placements_open"), moves, refresh_src, t.pools, cfg)
+    tx.append("placements_closed", closing)
+    tx.put("placements_open", still_open)
+    tx.append("audits", AP.audit_rows(moves, cfg))
+    tx.put("companies", AP.apply_moves(companies, moves))
+
+
+#: stage counts of a night, by the table whose rows they are
+NIGHT_COUNTS = {"companies": "companies", "apply_batch": "batch_rows", "moves": "companies_moved", "rejected_moves": "rejected_moves", "janitor_cleared": "janitor_cleared"}
+
+
+def run_night(store: TableStore, t: Tables, cfg: RunConfig) -> DataFrame:
+    """Run the night ``cfg.run_id`` on a store, or find it done; returns (metric, value) as counted in the writes.
+
+    A run that was killed is run again whole: its parts are written over, and one commit switches all tables.
+    """
+    version = store.run(cfg.run_id, lambda tx: night_on_store(tx, t, cfg))
+    return store.spark.createDataFrame([(m, version.tables[n].rows) for n, m in NIGHT_COUNTS.items()], "metric string, value long")
+
+
 def switch_mode(spark: SparkSession, t: Tables, mode: str, out_dir: str) -> DataFrame:
     """T7 as a job: write the rules and families as the routing mode wants them; returns counts of active ones.
 

@@ -8,9 +8,11 @@ scale factor) and aliases every computed column to the twin's name.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from poolwright import twins
 from poolwright.config import FIXTURE_CONFIG, RunConfig
@@ -19,8 +21,12 @@ from poolwright.operators import apply as AP
 from poolwright.operators import fair_share as FS
 from poolwright.operators import features as C
 from poolwright.operators import tagging as T
-from poolwright.session import materialize
+from poolwright.operators.cascade import wipe_prefix
+from poolwright.plans import nightly
+from poolwright.session import ensure_checkpoint_dir, materialize
+from poolwright.sources import conform_checked, snapshot
 from poolwright.sources.fixtures import Fixtures
+from poolwright.sources.store import TableStore
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str | None]]] = {}
 
@@ -566,6 +572,105 @@ def s10(fx, cfg):
     return kept.select("id", F.col("companyId").alias("company_id"), F.col("poolId").alias("pool_id"))
 
 
+# --- versioned tables, partial merges, rejects, cascades ------------------------------------
+
+def _store(fx) -> TableStore:
+    """A store of its own for each call, on the cluster's shared folder."""
+    return TableStore(fx.spark, f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/store-{uuid4()}")
+
+
+@register("s01_snapshot_counts", PARKED, "SELECT 'deals' AS \"table\", count(*) AS rows FROM deals UNION ALL SELECT 'notes', count(*) FROM notes UNION ALL SELECT 'profiles', count(*) FROM profiles")
+def s01(fx, cfg):
+    out = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/snapshot-{uuid4()}"
+    return snapshot(fx.spark, {n: getattr(fx, n) for n in ("deals", "notes", "profiles")}, out)
+
+
+_EVENT_ENTITY = T_.StructType([T_.StructField("id", T_.LongType()), T_.StructField("amount", T_.IntegerType()), T_.StructField("userId", T_.StringType())])
+
+
+def _checked_events(fx):
+    """Events as a careless export would give them: ids with a letter, amounts in words, missing ids."""
+    k = F.col("event_id")
+    raw = fx.raw("events").select(
+        F.when(k % 17 == 3, F.concat(F.lit("E"), k.cast("string"))).when(k % 23 != 5, k.cast("string")).alias("ID"),
+        F.when(k % 13 == 1, F.lit("a dozen")).when(k % 5 != 0, (k % 1000).cast("string")).alias("Amount"), F.col("user_id").cast("string").alias("USERID"))
+    return conform_checked(raw, _EVENT_ENTITY, required=["id"])
+
+
+_SQL_EVENTS = """(SELECT CASE WHEN event_id % 17 = 3 THEN 'E' || event_id::VARCHAR WHEN event_id % 23 <> 5 THEN event_id::VARCHAR END AS i,
+  CASE WHEN event_id % 13 = 1 THEN 'a dozen' WHEN event_id % 5 <> 0 THEN (event_id % 1000)::VARCHAR END AS a, user_id::VARCHAR AS u FROM events)"""
+
+
+@register("s04_conformed_events", PARKED, f"""
+SELECT i::BIGINT AS id, a::INTEGER AS amount, u AS user_id FROM {_SQL_EVENTS} x WHERE regexp_full_match(i, '[0-9]+') AND (a IS NULL OR regexp_full_match(a, '[0-9]+'))""")
+def s04(fx, cfg):
+    return _renamed(_checked_events(fx)[0], [("id", "id"), ("amount", "amount"), ("userId", "user_id")])
+
+
+@register("s04_rejected_events", PARKED, f"""
+SELECT CASE WHEN i IS NULL OR starts_with(i, 'E') THEN 'id' ELSE 'amount' END AS field, CASE WHEN i IS NULL OR starts_with(i, 'E') THEN i ELSE a END AS value, count(*) AS rows
+FROM {_SQL_EVENTS} x WHERE i IS NULL OR starts_with(i, 'E') OR a = 'a dozen' GROUP BY ALL""")
+def s04_rejected(fx, cfg):
+    return _checked_events(fx)[1].groupBy("field", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("s05_night_placements", APPLY, "SELECT * FROM ap_placements")
+def s05(fx, cfg):
+    """A whole night on a store, found done by its retry; the history is put together from its open and closed parts."""
+    store, tables = _store(fx), nightly.from_fixtures(fx)
+    for _ in range(2):
+        nightly.run_night(store, tables, cfg)
+    return _renamed(store.read("placements_open").unionByName(store.read("placements_closed")), PLACEMENT_COLS)
+
+
+@register("s06_companies_rewritten", PARKED, _SQL_COMPANIES.format("m1_companies"))
+def s06(fx, cfg):
+    """M1 as a job that overwrites the table that it reads."""
+    store = _store(fx)
+    store.run("load", lambda tx: tx.put("companies", fx.companies))
+    store.run("janitor", lambda tx: tx.put("companies", M.clear_leavers(tx.read("companies"), fx.profiles, cfg)[0]))
+    return _renamed(store.read("companies"), COMPANY_COLS)
+
+
+@register("s07_merged_companies", PARKED, _SQL_COMPANIES.format("m1_companies"))
+def s07(fx, cfg):
+    """M1 as a merge of the changed rows alone into a table in buckets."""
+    store = _store(fx)
+    store.run("load", lambda tx: tx.put_keyed("companies", fx.companies, ["id"], buckets=16))
+
+    def janitor(tx):
+        cleared = M.clear_leavers(tx.read("companies"), fx.profiles, cfg)[1]
+        tx.merge("companies", cleared.select(F.col("company_id").alias("id"), F.lit(None).cast("string").alias("profileId")), {"profileId": "overwrite"})
+
+    store.run("janitor", janitor)
+    return _renamed(store.read("companies"), COMPANY_COLS)
+
+
+@register("ap4_open_rows", APPLY, "SELECT * FROM ap_placements WHERE ended_at IS NULL OR ended_at = TIMESTAMP '2000-01-01 02:30:00'")
+def ap4_open(fx, cfg):
+    """The open rows after a night and those that it closed, from the open rows before."""
+    _, batch = _batch_for_apply(fx, cfg)
+    valid, _ = AP.validate_batch(batch, fx.companies, fx.pools, fx.pool_links, cfg)
+    is_open, _ = AP.split_history(fx.company_pool_placements)
+    still, closing = AP.roll_open(is_open, AP.effective_moves(valid), batch, fx.pools, cfg)
+    return _renamed(still.unionByName(closing), PLACEMENT_COLS)
+
+
+_WIPED = "(starts_with(pool_id, 'pool_S') AND pool_id IN (SELECT id FROM m4_pools))"
+
+
+@register("s10_wipe_cascade", LIVE, f"""
+SELECT 'pools' AS tbl, id FROM m4_pools WHERE NOT starts_with(id, 'pool_S')
+UNION ALL SELECT 'pool_rules', tag FROM m4_rules WHERE pool_id IS NULL OR NOT {_WIPED}
+UNION ALL SELECT 'provider_families', id FROM m4_families WHERE pool_id IS NULL OR NOT {_WIPED}""")
+def s10_wipe(fx, cfg):
+    """Pools by prefix, with the rules and families that route to them."""
+    pools, families, rules = _sync(fx, cfg)
+    left = wipe_prefix({"pools": pools, "pool_rules": rules, "provider_families": families}, "pool_S")
+    ids = [left[t].select(F.lit(t).alias("tbl"), F.col(c).alias("id")) for t, c in (("pools", "id"), ("pool_rules", "tag"), ("provider_families", "id"))]
+    return ids[0].unionByName(ids[1]).unionByName(ids[2])
+
+
 @register("m14_promote_links", LIVE, "SELECT parent_id AS parent_pool_id, child_id AS child_pool_id, "
           "CASE WHEN parent_type = 'STANDARD' THEN 'CAMPAIGN' ELSE parent_type END AS parent_type, child_type, active AS is_active FROM links")
 def m14l(fx, cfg):
@@ -813,7 +918,7 @@ def t07rl(fx, cfg):
 
 
 @register("t07_activate_families_live", LIVE, """
-SELECT id, provider_id, family, tag_code, pool_id, window_days, display_name, TRUE AS is_active, manual AS is_manual, matched_pattern FROM m4_families""")
+SELECT id, provider_id, family, tag_code, pool_id, window_days, display_name, NOT coalesce(manual, FALSE) AS is_active, manual AS is_manual, matched_pattern FROM m4_families""")
 def t07fl(fx, cfg):
     _, families, rules = _sync(fx, cfg)
     return _renamed(T.activate(rules, families.withColumn("isActive", F.lit(False)), "live")[1], FAMILY_COLS)

@@ -131,7 +131,9 @@ class Fixtures:
     @cached_property
     def deals(self) -> DataFrame:
         """A deal for each order; two in three name the order's first contract."""
-        first = self.contracts.groupBy(F.regexp_extract("id", "^K([0-9]+)-", 1).alias("_order")).agg(F.min("id").alias("_contract"))
+        # the least contract id of an order's lines; ids are made of the line's keys
+        line = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
+        first = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("_order")).agg(F.min(F.concat(F.lit("K"), line)).alias("_contract"))
         k = F.col("o_orderkey")
         pending = F.col("o_orderstatus") == "P"
         status = (
@@ -140,7 +142,7 @@ class Fixtures:
             .otherwise(F.lit("LIVE"))
         )
         o = self.raw("orders")
-        df = o.join(first, k.cast("string") == F.col("_order"), "left").select(
+        df = o.join(first, k == F.col("_order"), "left").select(
             sid("D", k).alias("id"), sid("C", F.col("o_custkey")).alias("companyId"),
             sid("S", k).alias("siteId"), F.when(k % 8 == 0, sid("M", k)).alias("siteMeterId"),
             F.when(k % 3 != 0, F.col("_contract")).alias("contractId"), status.alias("status"),
@@ -253,16 +255,18 @@ class Fixtures:
 
     @cached_property
     def pool_links(self) -> DataFrame:
-        priv = self.pools.where(F.col("type") == "PRIVATE").select(F.col("id").alias("childPoolId"))
-        number = F.substring("childPoolId", 6, 20).cast("bigint")
-        links = priv.select(
+        # the number comes from the key, not back out of the id: a cast of text may be moved before a filter on it
+        number = F.col("s_suppkey")
+        priv = self.raw("supplier").where(number % 4 == 1).select(number, sid("priv_", number).alias("childPoolId"))
+        every = priv.select(
             F.explode(F.array(F.lit("pool_RETENTION"), F.lit("pool_PAST_RETENTION"))).alias("parentPoolId"),
-            "childPoolId",
+            "childPoolId", "s_suppkey",
         ).select(
             "parentPoolId", "childPoolId", F.lit("STANDARD").alias("parentType"), F.lit("PRIVATE").alias("childType"),
-            (~((F.col("parentPoolId") == "pool_RETENTION") & (number % 16 == 13))).alias("isActive"),
+            (~((F.col("parentPoolId") == "pool_RETENTION") & (number % 16 == 13))).alias("isActive"), "s_suppkey",
         )
-        duplicate = links.where((F.col("parentPoolId") == "pool_PAST_RETENTION") & (number % 16 == 5))
+        duplicate = every.where((F.col("parentPoolId") == "pool_PAST_RETENTION") & (number % 16 == 5))
+        links = every
         return conform(links.unionByName(duplicate), SC.POOL_LINKS)
 
     @cached_property
@@ -280,8 +284,22 @@ class Fixtures:
 
     @cached_property
     def provider_families(self) -> DataFrame:
-        # parked snapshot is empty; the live run derives families from the provider sync
-        return empty(self.spark, SC.PROVIDER_FAMILIES)
+        """None in parked mode. In live mode what earlier syncs and operators left: manual families, which the sync keeps,
+        generated ones, which it replaces, and those of providers that are gone."""
+        if self.cfg.mode == "parked":
+            return empty(self.spark, SC.PROVIDER_FAMILIES)
+        k = F.col("s_suppkey")
+        kind = k % 7
+        df = self.raw("supplier").where(kind.isin(1, 3, 5)).select(
+            sid("fam_old_", k).alias("id"),
+            F.when(kind == 1, sid("X", k)).otherwise(sid("P", k)).alias("providerId"),
+            F.when(kind == 3, F.lit("BG")).otherwise(F.lit("OTHER")).alias("family"),
+            F.when(kind == 3, F.lit("BG")).otherwise(F.lit("OTHER")).alias("tagCode"),
+            F.when(kind == 3, F.lit("pool_BG")).alias("poolId"), F.lit(180).alias("windowDays"), F.col("s_name").alias("displayName"),
+            (k % 14 != 10).alias("isActive"), F.when(kind == 3, F.lit(True)).when(kind == 5, F.lit(False)).alias("isManual"),
+            F.lit("by hand").alias("matchedPattern"),
+        )
+        return conform(df, SC.PROVIDER_FAMILIES)
 
     @cached_property
     def company_pool_placements(self) -> DataFrame:
