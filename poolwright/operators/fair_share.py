@@ -6,14 +6,16 @@ company-id order and each joins the least-loaded child at that moment (load = ke
 plus companies already handed out; ties by child id). Protected companies, and parents
 without children, keep the proposal. Duplicate links are collapsed first.
 
-Scale plan (linear in companies; no arrays, no level products, no task that holds a parent's companies):
-  1. how far each child fills up is known in closed form: the children of a parent are taken in order
-     of load; k of them, with loads summing to s, hold all n candidates when n + s companies are dealt
-     evenly over them, and the right k is the largest whose fullest child needs no filling;
-  2. each child puts out one slot per company it will take (its load + 1 up to its final level), so a
-     parent has exactly as many slots as candidates;
-  3. candidates are ranked by company id and slots by (level, child), both with the distributed rank,
-     and rank meets rank in an equi-join on (parent, rank), which no parent can skew.
+Scale plan (no row per slot, no array, no task that holds a parent's children or companies):
+  1. a histogram per parent: how many children have each load. It has few rows, as n different loads take about
+     n * n / 2 kept companies (under 45,000 rows for a billion). Running sums over it give the bands: from one load up to the next, all
+     children with at most that load fill level by level, in child order, so a band is an interval of candidate
+     ranks that goes round its children, and the last band takes whoever is left;
+  2. candidates are ranked by company id with the distributed rank, and find their band by merging the ranks
+     with the bands' first ranks (``interval_lookup``);
+  3. within a band, the children are numbered in child order, again by the distributed rank; a child has a row for each band from
+     its own load's on, never more rows in all than candidates and children. The candidate's place in its band,
+     modulo the band's children, is the number of its child: an equi-join on (parent, band, number).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from poolwright.config import RunConfig
 from poolwright.functions import constants as K
-from poolwright.operators.ranking import distributed_rank
+from poolwright.operators.ranking import distributed_rank, interval_lookup
 from poolwright.session import materialize
 
 
@@ -36,24 +38,29 @@ def private_links(links: DataFrame) -> DataFrame:
     ).select(F.col("parentPoolId").alias("fs_parent"), F.col("childPoolId").alias("fs_child")).distinct()
 
 
-def slots(loads: DataFrame, need: DataFrame) -> DataFrame:
-    """(fs_parent, level, fs_child): the places that the candidates of each parent will take.
+def bands(loads: DataFrame, need: DataFrame) -> DataFrame:
+    """(fs_parent, have_n, band, first, kids): the bands that each parent's candidates fill.
 
-    ``loads``: fs_parent, fs_child, have_n; ``need``: fs_parent, need_n (candidates, at least one).
+    ``loads``: fs_parent, fs_child, have_n; ``need``: fs_parent, need_n (candidates, at least one). A band begins with the
+    candidate of rank ``first``, at the level over ``have_n``, and ``kids`` children take part in it.
     """
-    by_load = Window.partitionBy("fs_parent").orderBy("have_n", "fs_child")
-    upto = by_load.rowsBetween(Window.unboundedPreceding, 0)
-    kids = loads.join(need, "fs_parent").withColumn("k", F.row_number().over(by_load)).withColumn("s", F.sum("have_n").over(upto))
-    # raising the first k children to the load of the k-th takes k * have_n - s companies
-    open_ = (F.col("k") * F.col("have_n") - F.col("s")) <= F.col("need_n")
-    fill = kids.where(open_).groupBy("fs_parent").agg(F.max(F.struct("k", "s", "need_n")).alias("f")).select("fs_parent", "f.*")
-    total = F.col("s") + F.col("need_n")
-    fill = fill.select("fs_parent", "k", F.floor(total / F.col("k")).alias("even"), (total % F.col("k")).alias("over"))
-    open_kids = kids.where(open_).select("fs_parent", "fs_child", "have_n").join(fill, "fs_parent")
-    first = F.row_number().over(Window.partitionBy("fs_parent").orderBy("fs_child")) <= F.col("over")
-    top = F.col("even") + F.when(first, 1).otherwise(0)
-    filled = open_kids.withColumn("top", top).where(F.col("top") > F.col("have_n"))
-    return filled.select("fs_parent", "fs_child", F.explode(F.sequence(F.col("have_n") + 1, F.col("top"))).alias("level"))
+    hist = loads.groupBy("fs_parent", "have_n").agg(F.count(F.lit(1)).alias("c"))
+    lower = Window.partitionBy("fs_parent").orderBy("have_n").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("c").over(lower), F.lit(0))
+    held = F.coalesce(F.sum(F.col("c") * F.col("have_n")).over(lower), F.lit(0))
+    # raising all children below to this load takes what they lack
+    filled = hist.select("fs_parent", "have_n", (below + F.col("c")).alias("kids"), (below * F.col("have_n") - held + 1).alias("first"),
+                         F.row_number().over(Window.partitionBy("fs_parent").orderBy("have_n")).alias("band"))
+    return filled.join(need, "fs_parent").where(F.col("first") <= F.col("need_n")).drop("need_n")
+
+
+def numbered_children(loads: DataFrame, filled: DataFrame) -> DataFrame:
+    """(fs_parent, band, number, fs_child): the children of each band, numbered from 0 in child order."""
+    last = filled.groupBy("fs_parent").agg(F.max("band").alias("last"))
+    own = loads.join(filled.select("fs_parent", "have_n", "band"), ["fs_parent", "have_n"]).join(last, "fs_parent")
+    every = own.select("fs_parent", "fs_child", F.explode(F.sequence("band", "last")).alias("band"))
+    ranked = distributed_rank(every, ["fs_parent", "band"], ["fs_child"], "number")
+    return ranked.select("fs_parent", "band", (F.col("number") - 1).alias("number"), F.col("fs_child").alias("assigned_child"))
 
 
 def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -61,8 +68,6 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
 
     ``parent_pool_id`` keeps the T5 value (the callback parent is not lost).
     """
-    # the routed table feeds the loads, the candidates and the pass-through rows: cut it once
-    routed = materialize(routed)
     lk = private_links(links)
     parents = lk.select(F.col("fs_parent").alias("_has_kids")).distinct()
     unprotected = ~F.coalesce(F.col("is_protected"), F.lit(False))
@@ -75,6 +80,7 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
         .join(parents, F.col("proposed_pool_id") == F.col("_has_kids"), "left")
     )
     is_cand = unprotected & F.col("_has_kids").isNotNull() & F.col("kept_child").isNull()
+    # feeds the loads, the candidates and the pass-through rows: cut here, once
     flagged = materialize(flagged.withColumn("_cand", is_cand))
 
     kept = flagged.where(F.col("kept_child").isNotNull()).groupBy(
@@ -85,9 +91,11 @@ def fair_share(routed: DataFrame, links: DataFrame, cfg: RunConfig) -> DataFrame
     cands = flagged.where(F.col("_cand")).select(F.col("proposed_pool_id").alias("fs_parent"), "company_id")
     need = cands.groupBy("fs_parent").agg(F.count(F.lit(1)).alias("need_n"))
 
-    asked = distributed_rank(cands, ["fs_parent"], ["company_id"], "_rank")
-    given = distributed_rank(slots(loads, need), ["fs_parent"], ["level", "fs_child"], "_rank")
-    dealt = asked.join(given, ["fs_parent", "_rank"]).select("company_id", F.col("fs_child").alias("assigned_child"))
+    filled = materialize(bands(loads, need))
+    asked = distributed_rank(cands, ["fs_parent"], ["company_id"], "first")
+    placed = interval_lookup(asked.withColumn("rank", F.col("first")), filled.withColumn("start", F.col("first")), ["fs_parent"], "first", ["band", "start", "kids"])
+    placed = placed.select("company_id", "fs_parent", "band", F.pmod(F.col("rank") - F.col("start"), F.col("kids")).alias("number"))
+    dealt = placed.join(numbered_children(loads, filled), ["fs_parent", "band", "number"]).select("company_id", "assigned_child")
     out = flagged.join(dealt, "company_id", "left")
     final = F.when(~unprotected, F.col("proposed_pool_id")).otherwise(
         F.coalesce(F.col("kept_child"), F.col("assigned_child"), F.col("proposed_pool_id")))

@@ -84,3 +84,52 @@ def test_parent_with_thousands_of_children(spark):
         want[c] = k
         heapq.heappush(heap, (h + 1, k))
     assert got == want
+
+
+def test_many_bands_and_even_loads(spark):
+    """Loads that differ make bands; a child with a large load joins only the last one, or none."""
+    rng = random.Random(3)
+    rows, links, expected = [], [], {}
+    for p in range(12):
+        parent, have, cands = f"P{p:02d}", {}, []
+        for j in range(rng.randint(1, 40)):
+            kid = f"{parent}_{rng.randint(0, 999):03d}_{j}"
+            have[kid] = rng.choice([0, 0, 1, 5, 9, 10, 11, 60])
+            links.append((parent, kid, "STANDARD", "PRIVATE", True))
+            rows += [(f"k_{kid}_{i}", kid, parent, parent, False, "RETENTION") for i in range(have[kid])]
+            expected.update({f"k_{kid}_{i}": kid for i in range(have[kid])})
+        for j in range(rng.choice([0, 1, 7, 200, 900])):
+            cands.append(f"c_{parent}_{rng.randint(0, 10**7):08d}_{j}")
+            rows.append((cands[-1], None, parent, parent, None, "RETENTION"))
+        expected.update(brute_force(have, cands) if cands else {})
+    out = fair_share(spark.createDataFrame(rows, ROUTED).repartition(9), spark.createDataFrame(links, SC.POOL_LINKS), RunConfig())
+    assert {r["company_id"]: r["proposed_pool_id"] for r in out.collect()} == expected
+
+
+def test_one_child_takes_any_number(spark):
+    """One child and many candidates: two rows for the child's bands, none for its slots."""
+    from pyspark.sql import functions as F
+
+    from poolwright.operators.fair_share import bands, numbered_children
+
+    loads = spark.createDataFrame([("P", "only", 3)], "fs_parent string, fs_child string, have_n long")
+    filled = bands(loads, spark.createDataFrame([("P", 10_000_000)], "fs_parent string, need_n long"))
+    assert [tuple(r) for r in filled.select("have_n", "band", "first", "kids").collect()] == [(3, 1, 1, 1)]
+    assert [tuple(r) for r in numbered_children(loads, filled).collect()] == [("P", 1, 0, "only")]
+    n = 300_000
+    routed = spark.range(n).select(F.format_string("c%07d", "id").alias("company_id"), F.lit(None).cast("string").alias("current_pool_id"), F.lit("P").alias("proposed_pool_id"),
+                                   F.lit("P").alias("parent_pool_id"), F.lit(False).alias("is_protected"), F.lit("RETENTION").alias("lead_tag"))
+    links = spark.createDataFrame([("P", "only", "STANDARD", "PRIVATE", True), ("P", "other", "STANDARD", "PRIVATE", True)], SC.POOL_LINKS)
+    got = fair_share(routed, links, RunConfig()).groupBy("proposed_pool_id").count().collect()
+    assert {tuple(r) for r in got} == {("only", n // 2), ("other", n // 2)}
+
+
+def test_interval_lookup(spark):
+    from poolwright.operators.ranking import interval_lookup
+
+    rng = random.Random(5)
+    points = [(rng.choice("ab"), rng.randint(0, 500), k) for k in range(2000)]
+    starts = [("a", s, f"a{s}") for s in (3, 4, 100, 499)] + [("b", 0, "b0")]
+    got = interval_lookup(spark.createDataFrame(points, "g string, at long, id long").repartition(7), spark.createDataFrame(starts, "g string, at long, name string"), ["g"], "at", ["name"])
+    want = {(g, at, k, max(((s, n) for h, s, n in starts if h == g and s <= at), default=(0, None))[1]) for g, at, k in points}
+    assert {tuple(r) for r in got.collect()} == want
