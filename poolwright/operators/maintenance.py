@@ -21,6 +21,7 @@ from poolwright.operators.features import pool_by_code
 from poolwright.operators.ranking import distributed_rank
 from poolwright.operators.tables import delete_matching, insert_missing, upsert
 from poolwright.operators.tagging import pool_code
+from poolwright.session import materialize
 
 
 def _codes(pools: DataFrame, cfg: RunConfig) -> dict:
@@ -95,6 +96,7 @@ def provider_routes(providers: DataFrame, cfg: RunConfig) -> DataFrame:
 def sync_provider_dims(routes: DataFrame, pools: DataFrame, families: DataFrame, rules: DataFrame,
                        cfg: RunConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
     """M4: upsert per-supplier pools, replace non-manual families, upsert NOW / IN_WINDOW rules."""
+    routes = materialize(routes)  # pools, families and rules are made of it
     # pools: only BG_LITE / SUPPLIER buckets get their own pool; key = code, name refreshed
     new_pools = routes.where(F.col("bucket").isin("BG_LITE", "SUPPLIER")).select(
         F.col("pool_code").alias("code"), F.col("pool_name").alias("name")).distinct()
