@@ -161,6 +161,16 @@ def broadcast_if_few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FEW_ROWS else df
 
 
+#: rows of a few numbers that a task takes at least
+TASK_ROWS = 100_000
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks that so many rows of a few numbers are worth: every task leaves files of its own, in a shuffle as in a
+    checkpoint, so a small table in many partitions is mostly file ends. Without effect on large tables."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write the rows as Parquet under ``spark.checkpoint.dir`` and read them back: a checkpoint that is
     compressed, for large intermediate tables. Like checkpoints, the files stay until that folder is cleared."""

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_few, checkpointed, lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
+from .common import broadcast_if_few, checkpointed, lower_bytes, mix, slices, span_hashes, tasks_for, text_bytes, word_spans
 from .components import components
 
 BAND = 1.3
@@ -326,12 +326,14 @@ def possible_pairs(rule: Rule, members: DataFrame, nodes: DataFrame, nearest: in
     ``nearest``, only so many of a class's pairs in a call.
     """
     group = Window.partitionBy("sig")
+    total = members.count()
     rows = members.withColumns({"g": F.count("*").over(group), "c0": F.min("comp").over(group), "c1": F.max("comp").over(group)})
     rows = rows.where(F.col("c0") < F.col("c1")).withColumn("nb", F.ceil(F.col("g") / BLOCK).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.withColumns({"i": F.least("own", "o"), "j": F.greatest("own", "o")})
-    rows = rows.withColumn("call", F.when(F.col("nb") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(4096))))
+    calls = max(64, -(-total // BLOCK))  # so that a call of small groups has about BLOCK rows
+    rows = rows.withColumn("call", F.when(F.col("nb") > 1, F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(calls))))
     rows = rows.join(nodes.select("node", "n", "sketch"), "node")
 
     def test(block: pd.DataFrame) -> pd.DataFrame:
@@ -375,8 +377,10 @@ class Join:
         return checkpointed(self.docs.join(own, "doc_id").select("_node", "text").mapInArrow(run, "node long, text string"))
 
     def _linked(self, pairs: DataFrame) -> DataFrame:
-        pairs = checkpointed(near_enough(self.rule, checkpointed(pairs), self.nodes, "fine", FINE))
-        return checkpointed(verify(self.rule, pairs, self._texts(pairs)))
+        pairs = checkpointed(pairs)
+        pairs = pairs.coalesce(tasks_for(pairs.count()))
+        pairs = checkpointed(near_enough(self.rule, pairs, self.nodes, "fine", FINE))
+        return checkpointed(verify(self.rule, pairs.coalesce(tasks_for(pairs.count())), self._texts(pairs)))
 
     def _possible(self, comps: DataFrame | None, nearest: int | None = None) -> DataFrame:
         rows = self.shared.select("sig", "node")
