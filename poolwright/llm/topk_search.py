@@ -37,7 +37,7 @@ NODE_ROWS = 4096
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 QUERY_BLOCKS = 16
-LEAF = 64
+LEAF = 256
 SPREAD = 16
 EXACT = float(1 << 53)
 
@@ -100,7 +100,7 @@ def cover_tree(v: np.ndarray) -> Node:
 
 
 class DualSearch:
-    """Top k of each query over data blocks that come one at a time."""
+    """Top k of each query over data blocks that come one at a time; kept in no order, smallest ids among equal scores."""
 
     def __init__(self, ids: np.ndarray, v: np.ndarray, bound: np.ndarray, k: int):
         self.ids, self.v, self.k, self.bound = ids, v, k, bound.astype(float)
@@ -119,11 +119,21 @@ class DualSearch:
             # whole scores under 2**53 are exact as floats; larger ones only lose order among near ties
             s = np.concatenate((self.scores[rows], score[hit]), axis=1)
             i = np.concatenate((self.found[rows], np.broadcast_to(ids[part], (len(rows), len(part)))), axis=1)
-            order = np.lexsort((i, -s), axis=-1)[:, :self.k]
-            self.scores[rows], self.found[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-            self.bound[rows] = np.maximum(self.bound[rows], self.scores[rows, -1])
+            kth = np.partition(s, -self.k, axis=1)[:, -self.k]
+            best = s >= kth[:, None]
+            tied = best.sum(1) > self.k
+            plain = ~tied
+            self.scores[rows[plain]] = s[plain][best[plain]].reshape(-1, self.k)
+            self.found[rows[plain]] = i[plain][best[plain]].reshape(-1, self.k)
+            if tied.any():  # of equal scores the smaller ids
+                s, i = s[tied], i[tied]
+                order = np.lexsort((i, -s), axis=-1)[:, :self.k]
+                self.scores[rows[tied]], self.found[rows[tied]] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+            self.bound[rows] = np.maximum(self.bound[rows], kth)
 
     def search(self, ids: np.ndarray, v: np.ndarray) -> None:
+        """Go through one data block, whose tree is built here, once for all queries."""
+
         def upper(q: Node, x: Node) -> float:
             top = float(q.centre @ x.centre) + q.radius * x.norm + x.radius * q.norm + q.radius * x.radius
             return top + 1e-9 * (abs(top) + q.norm * x.norm + 1.0)
@@ -223,10 +233,11 @@ def top_k(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY) -> DataFr
                             columns=["dim", "node", "qb", "ids", "qv", "qbound"])
 
     packed = asks.join(F.broadcast(firsts), ["dim", "node"]).withColumn("qb", F.col("first") + spread)
-    packed = packed.groupBy("dim", "node", "qb").applyInPandas(pack, "dim int, node int, qb int, ids binary, qv binary, qbound binary")
-    sent = checkpointed(packed.join(links, ["dim", "node"]).select(
+    packed = checkpointed(packed.groupBy("dim", "node", "qb").applyInPandas(pack, "dim int, node int, qb int, ids binary, qv binary, qbound binary"))
+    # a row of query vectors goes to each block of data that it may find something in; only the shuffle holds those copies
+    sent = packed.join(links, ["dim", "node"]).select(
         "dim", F.col("dnode").alias("node"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.floor(F.col("qb") / QUERY_BLOCKS).cast("int").alias("qg"), "qb", "ids", "qv", "qbound"))
+        F.floor(F.col("qb") / QUERY_BLOCKS).cast("int").alias("qg"), "qb", "ids", "qv", "qbound")
     keys = ["dim", "node", "block", "qg"]
     meet = sent.select(*keys).distinct()
     data = placed.join(F.broadcast(sizes), ["dim", "node"]).withColumn("block", spread).join(meet, keys[:3])
@@ -237,12 +248,12 @@ def top_k(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY) -> DataFr
         if len(left) and len(right):
             left = left.sort_values("vec_id", kind="stable")
             ids, v = left["vec_id"].to_numpy(np.int64), _matrix(left["v"])
-            for r in right.sort_values("qb").itertuples():
-                qid = np.frombuffer(r.ids, "<i8")
-                s = DualSearch(qid, np.frombuffer(r.qv, "<f8").reshape(len(qid), len(r.qv) // 8 // len(qid)), np.frombuffer(r.qbound, "<f8"), k)
-                s.search(ids, v)
-                q, j = np.nonzero(np.isfinite(s.scores))
-                found.append(pd.DataFrame({"query_id": qid[q], "vec_id": s.found[q, j], "score": s.scores[q, j]}))
+            right = right.sort_values("qb")
+            qid, bound = np.frombuffer(b"".join(right["ids"]), "<i8"), np.frombuffer(b"".join(right["qbound"]), "<f8")
+            s = DualSearch(qid, np.frombuffer(b"".join(right["qv"]), "<f8").reshape(len(qid), v.shape[1]), bound, k)
+            s.search(ids, v)
+            q, j = np.nonzero(np.isfinite(s.scores))
+            found.append(pd.DataFrame({"query_id": qid[q], "vec_id": s.found[q, j], "score": s.scores[q, j]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     best = data.groupBy(*[f"x_{c}" for c in keys]).cogroup(sent.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
@@ -253,7 +264,7 @@ def top_k(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY) -> DataFr
 #: DuckDB twin of ``top_k`` with the values above.
 SQL = """
 WITH e AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score

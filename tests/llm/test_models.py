@@ -434,3 +434,20 @@ def test_languages_of_odd_rows(spark):
     assert sorted(map(str, language_id.identify(relabelled).collect())) == sorted(map(str, got))
     assert {r.lang_pred for r in language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language_id.identify(data.messy(spark, empty=True)).collect() == []
+
+
+def test_search_with_repeated_rows_equals_its_sql(spark, tmp_path):
+    """Rows that repeat an id and vector count once; an id with two vectors is two rows; ties go to the smaller id."""
+    import duckdb
+
+    from poolwright.llm import topk_search
+
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.integers(-2, 3, 6).astype(float).tolist()) for k in range(220)]
+    rows += rows[:60] + [(50, [0.25] * 6), (7, [2.0] * 6), (100, rows[100][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    frame.write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    got = sorted((r.query_id, r.rank, r.score) for r in topk_search.top_k(frame).collect())
+    assert got == sorted((q, r, x) for q, r, _, x in con.execute(topk_search.SQL).fetchall())
