@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import UPPER
-from .url_filters import END, KEPT, ORDER, RULES, SMOOTH, START, STEPS
+from .url_filters import END, ORDER, RULES, SMOOTH, START, STEPS
 
 #: Links over shared shingles, then the transitive closure.
 NGRAM_JOIN = rf"""
@@ -57,8 +57,7 @@ def _url_filters() -> str:
   FROM (WITH t AS (
       SELECT g, a, r, sum(a) OVER (PARTITION BY left(g, {k - 1})) AS na, sum(r) OVER (PARTITION BY left(g, {k - 1})) AS nr
       FROM (SELECT right(g, {k}) AS g, sum(a) AS a, sum(r) AS r FROM seen GROUP BY 1) o)
-    SELECT t.*, {shorter.replace(', ', ' AS pa0, ', 1).replace(' FROM', ' AS pr0 FROM', 1)}) u
-  WHERE a + r >= (SELECT sum(a) + sum(r) FROM seen) / {KEPT}.0)""")
+    SELECT t.*, {shorter.replace(', ', ' AS pa0, ', 1).replace(' FROM', ' AS pr0 FROM', 1)}) u)""")
     found = " UNION ALL ".join(f"SELECT g, ln(pa) - ln(pr) AS delta FROM m{k}" for k in range(1, ORDER + 1))
     best = ", ".join(f"(SELECT delta FROM model WHERE model.g = right(spot.g, {k}))" for k in range(ORDER, 0, -1))
     return rf"""

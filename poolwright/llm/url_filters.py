@@ -3,12 +3,12 @@
 Rules of host suffix and path prefix judge the URLs that they fit, the longest rule first. They also give
 the training text: URLs that a rule allows, and URLs that a rule blocks. For either class a variable-order
 Markov model is smoothed from order 0 up (a context's counts plus ``SMOOTH`` times the shorter context's
-probability). A character is scored in the longest context that the model keeps, as the log of the ratio of
+probability). A character is scored in the longest context that the model has, as the log of the ratio of
 the two probabilities; a URL's score is the mean over its characters and its end. The threshold is the one
 that parts the two training classes best (sum of both rates, over bins of 1 / ``STEPS``).
 
-The model keeps a character sequence if it makes up at least 1 / ``KEPT`` of the training text, so it has at
-most ``ORDER * KEPT`` rows, which is the bound that the broadcast of it rests on.
+The model has every character sequence of the training text, however rare. Where it is counted to be small it is broadcast, and
+else joined by shuffle, with the same result.
 
 A null URL, or one without ``://``, has an empty host and path and is scored as the text that it is (null:
 empty). Repeated rows are judged alike; with no training URLs of one of the classes all other URLs are
@@ -20,13 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_ascii
+from .common import broadcast_if_few, checkpointed, lower_ascii
 
 #: The contract's rules: (rule, verdict).
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 ORDER = 4
 SMOOTH = 4.0
-KEPT = 20_000
 STEPS = 64
 START, END = "\u0002", "\u0003"
 
@@ -58,18 +57,16 @@ def train(labelled: DataFrame) -> DataFrame:
     ok = F.col("_verdict") == "allow"
     seen = _grams(labelled, "_verdict").groupBy("g").agg(F.sum(ok.cast("double")).alias("a"), F.sum((~ok).cast("double")).alias("r"))
     seen = checkpointed(seen)  # all orders are summed up from these counts
-    total = seen.agg((F.sum("a") + F.sum("r")).alias("all"))
     model, shorter = None, None
     for k in range(1, ORDER + 1):
         grams = seen.groupBy(F.substring(F.col("g"), ORDER - k + 1, k).alias("g")).agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
         context = Window.partitionBy(F.substring(F.col("g"), 1, k - 1))
         grams = grams.withColumns({"na": F.sum("a").over(context), "nr": F.sum("r").over(context)})
-        # one row of totals, so this join copies a single row
-        grams = grams.join(F.broadcast(total), F.col("a") + F.col("r") >= F.col("all") / KEPT).withColumn("s", F.substring(F.col("g"), 2, k - 1))
+        grams = grams.withColumn("s", F.substring(F.col("g"), 2, k - 1))
         if shorter is None:
             grams = grams.withColumns({"pa0": F.lit(1 / 256), "pr0": F.lit(1 / 256)})
         else:
-            grams = grams.join(shorter, "s")  # a kept gram's shorter one is at least as frequent, so it is kept too
+            grams = grams.join(shorter, "s")  # wherever a gram stands, so does its shorter one
         grams = grams.withColumns({
             "pa": (F.col("a") + SMOOTH * F.col("pa0")) / (F.col("na") + SMOOTH),
             "pr": (F.col("r") + SMOOTH * F.col("pr0")) / (F.col("nr") + SMOOTH)})
@@ -80,14 +77,20 @@ def train(labelled: DataFrame) -> DataFrame:
 
 
 def score_urls(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """(_url, score) of distinct URLs: the mean log ratio, each character in its longest kept context."""
-    spots = _grams(urls, "_url")
+    """(_url, score) of distinct URLs: the mean log ratio, each character in its longest context that the model has.
+
+    Each distinct gram of the URLs finds its ratio once; the URLs then meet that table, broadcast if it is counted to be
+    small and shuffled by gram otherwise, where adaptive skew splitting deals with the grams that stand in most URLs.
+    """
+    model = broadcast_if_few(model)
+    grams = _grams(urls).groupBy("g").agg(F.lit(0).alias("_one"))
     found = []
     for k in range(ORDER, 0, -1):
         part = model.where(F.length("g") == k).select(F.col("g").alias(f"g{k}"), F.col("delta").alias(f"d{k}"))
-        spots = spots.join(F.broadcast(part), F.substring(F.col("g"), ORDER - k + 1, k) == F.col(f"g{k}"), "left")
+        grams = grams.join(part, F.substring(F.col("g"), ORDER - k + 1, k) == F.col(f"g{k}"), "left")
         found.append(F.col(f"d{k}"))
-    return spots.groupBy("_url").agg((F.sum(F.coalesce(*found, F.lit(0.0))) / F.count("*")).alias("score"))
+    ratios = broadcast_if_few(checkpointed(grams.select("g", F.coalesce(*found, F.lit(0.0)).alias("delta"))))
+    return _grams(urls, "_url").join(ratios, "g").groupBy("_url").agg((F.sum("delta") / F.count("*")).alias("score"))
 
 
 def threshold(scored: DataFrame) -> DataFrame:
