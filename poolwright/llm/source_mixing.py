@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE
+from .common import WORD_RE, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -78,7 +78,8 @@ def source_targets(cells: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
 
 
 def _mixed(docs: DataFrame, keep: list[str], weights, share, cap, seed) -> DataFrame:
-    rows = _cells(docs, keep)
+    """A row a document with its copies; texts are read once, to count their words, and left behind."""
+    rows = stored(_cells(docs, keep))
     cells = rows.groupBy("_key", "_src", "_bin", "_hb").agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"))
     before = Window.partitionBy("_key").orderBy("_bin", "_hb").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.select("_key", "_bin", "_hb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -101,9 +102,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
 
 def emit(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The mix itself: the rows of ``docs``, each repeated as often as it is taken."""
-    packed = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    rows = _mixed(packed, ["_row"], weights, share, cap, seed).where(F.col("_copies") > 0)
-    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
+    # the rows once, with a number each: what is decided on numbers and sizes alone then meets its row again
+    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumn("_n_row", F.monotonically_increasing_id()))
+    asked = rows.select("_n_row", *[F.col("_row")[c].alias(c) for c in ("doc_id", "source", "text")])
+    chosen = _mixed(asked, ["_n_row"], weights, share, cap, seed).where(F.col("_copies") > 0).select("_n_row", "_copies")
+    return rows.join(chosen, "_n_row").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
 
 
 #: DuckDB twin of ``mix`` with the values above; an independent statement over one full ranking.
