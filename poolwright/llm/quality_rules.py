@@ -7,7 +7,8 @@ medians and MADs, and a document is kept if its squared Mahalanobis distance is
 
 A concentration step is one aggregation: a row's distance under the present estimate gives its bin, each
 (cell, bin) is summed map-side, and the bins up to the ``CORE`` share of the cell's rows give the next
-estimate. So no cell's rows are gathered, however many it has, and a cell hands over a bounded number of bins.
+estimate. So no cell's rows are gathered, however many it has, and a cell hands over a bounded number of bins:
+estimates go to the rows by broadcast. (Beyond ``FEW_ROWS`` cells the rows are joined by cell, and adaptive skew splitting deals with large ones.)
 Language and source pairs with under ``LEAST`` rows are put together per language, and languages with under
 that many rows in all. ``FLOOR``, half a percent of lines or words or half a symbol in 1,000 characters, guards against a singular scatter.
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _SPACE, checkpointed, slices, span_hashes, text_bytes, word_spans
+from .common import FEW_ROWS, _SPACE, checkpointed, slices, span_hashes, text_bytes, word_spans
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -187,15 +188,16 @@ def _start(rows: pd.DataFrame) -> pd.DataFrame:
     return _estimate_row(r["cell"], mean, np.diag(np.square(spread) + np.square(FLOOR)))
 
 
-def mcd_estimates(points: DataFrame) -> DataFrame:
-    """(cell, centre, inverse scatter) from rows (cell, x0..x3)."""
+def mcd_estimates(points: DataFrame, few_cells: bool = False) -> DataFrame:
+    """(cell, centre, inverse scatter) from rows (cell, x0..x3). ``few_cells``: the cells are counted to be few enough for a broadcast."""
+    to_all = F.broadcast if few_cells else lambda df: df
     quart = [F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(x) for x in _X]
     start = points.groupBy("cell").agg(*quart).select("cell", *[F.col(x)[k].alias(f"{n}{i}") for i, x in enumerate(_X) for k, n in enumerate("lcu")])
     est = start.groupBy("cell").applyInPandas(_start, _ESTIMATE)
     binned = F.floor(F.log(F.least(F.greatest(_distance(), F.lit(0.0)), F.lit(1e9)) + 1e-3) * 50).alias("b")
     sums = [F.count("*").alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(_X)] + [F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"q{i}{j}") for i, j in _PAIRS]
     for _ in range(STEPS):
-        bins = points.join(est, "cell").groupBy("cell", binned).agg(*sums)
+        bins = points.join(to_all(est), "cell").groupBy("cell", binned).agg(*sums)
         est = bins.groupBy("cell").applyInPandas(concentrate, _ESTIMATE)
     return est
 
@@ -210,7 +212,9 @@ def judge(docs: DataFrame) -> DataFrame:
     langs = sizes.where(small).groupBy("_l").agg(F.sum("_n").alias("_nl"))
     cells = sizes.join(langs, "_l", "left").select(
         "_l", "_s", F.when(~small, F.concat_ws("\u0001", "_l", "_s")).when(F.col("_nl") >= LEAST, F.concat(F.col("_l"), F.lit("\u0001"))).otherwise("").alias("cell"))
-    points = checkpointed(points.join(cells, ["_l", "_s"], "left"))
-    est = mcd_estimates(points.where(~F.col("base_failed")).select("cell", *_X))
-    out = points.join(est, "cell", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    cells = checkpointed(cells)
+    few = cells.count() <= FEW_ROWS  # estimates have a row a cell, so this bounds their broadcasts as well
+    points = checkpointed(points.join(F.broadcast(cells) if few else cells, ["_l", "_s"], "left"))
+    est = mcd_estimates(points.where(~F.col("base_failed")).select("cell", *_X), few)
+    out = points.join(F.broadcast(est) if few else est, "cell", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     return out.select("doc_id", "lang", "source", *COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= CUT)).alias("kept"))
