@@ -1,19 +1,22 @@
 """Quality classifier by co-training two views of a document.
 
-The text view sees hashed words and hashed word shapes, as shares of the whole text's words; the metadata
+The text view sees hashed words, their beginnings and their shapes, as shares of the whole text's words; the metadata
 view sees language, source and the stated number of characters. Either view is a logistic regression.
-Both are fitted to labelled documents; in each round each view labels the documents of an unlabelled pool
-that it is sure about (calibrated probability beyond ``SURE``), and the other view learns from those too.
-Labelled documents kept aside calibrate both views and weigh them into one probability of good quality;
-a document is kept if it is at least ``KEEP``.
-
-The models are fitted on a bounded sample: ``LABELLED`` labelled and ``POOL`` unlabelled documents, those with
-the smallest hash of their id (at most 2 * 2**DIM numbers each reach the driver). Every document is scored.
-
-Null language, source or n_chars are values of their own. A document without a word (or text) has score 0 and
-is not kept. A document with several labels counts by their mean, from a half on as good; null labels don't
-count. If either class is missing from the labels, all documents are kept and scores are null. Repeated rows are
-scored alike; an empty table gives no rows; further columns are ignored, or handed on by ``keep_good``.
+Two labels are learnt in this way: good quality, and toxic. Both views are fitted to labelled documents. Then the
+unlabelled documents, all of them, are dealt by hash into shards of a fixed size; in each round each view labels those
+of a shard that it is sure about (calibrated probability beyond ``SURE``), and the other view learns from all of those
+too. Spark averages the shards' weights by their documents. Labelled documents kept aside calibrate both views and
+weigh them into one probability of either label; a document is kept if it is at least ``KEEP`` for good quality, and
+under ``TOXIC`` for toxic.
+
+The labelled sample is bounded: ``LABELLED`` documents, those with the smallest hash of their id, reach the driver (at
+most ``sum(VIEW_SIZES)`` numbers each) and every task. Other labelled documents count as unlabelled. Documents that are alike
+in all features take part in the exchange once, so copies don't make a shard large. Every document is scored.
+
+Null language, source or n_chars are values of their own. A document without a word (or text) has score 0 for either
+label, is not kept, and takes no part in the exchange. A document with several labels counts by their mean, from a half on as 1; null
+labels don't count, and a missing column of labels is null. If either class of a label is missing, no document is rejected for it and its scores are
+null. Repeated rows are scored alike; an empty table gives no rows; further columns are ignored, or handed on by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -26,23 +29,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
-
-LABELLED = 6000
-POOL = 6000
-DIM = 13  # each of words, shapes and metadata is hashed to 2**DIM
+from .common import checkpointed, lower_bytes, mix, slices, span_hashes, stored_for_now, text_bytes, word_spans
+
+#: the labels that are learnt: 1 is good quality, 1 is toxic
+TARGETS = ("quality", "toxic")
+LABELLED = 6000  # labelled documents that the fit sees
+POOL = 12_000  # unlabelled documents of a shard, about, and their features at most
+POOL_TERMS = 4_000_000
+WORD_BITS, DIM = 15, 13  # words are hashed to 2**WORD_BITS columns, beginnings, shapes and metadata to 2**DIM each; all fit 16 bits
+VIEW_SIZES = ((1 << WORD_BITS) + (2 << DIM), 1 << DIM)
+TERMS = 3  # features of a word
+BEGINNING = 5  # bytes
+PACKED = ("tc", "tn", "mc")
 ROUNDS = 3
 SURE = 0.97
-MOST_NEW = 500  # pseudo-labels of either class that a view hands over in a round
 PENALTY = 1e-4
 FIT_STEPS = 120
+ROUND_STEPS = 25
 KEEP = 0.5
+TOXIC = 0.5
 
 _SHAPE = np.arange(256, dtype=np.uint64)
 _SHAPE[97:123] = ord("a")
 _SHAPE[128:] = ord("a")
 _SHAPE[65:91] = ord("A")
 _SHAPE[48:58] = ord("0")
+_PUNCTUATION = _SHAPE == np.arange(256)
+_PUNCTUATION[[ord("a"), ord("A"), ord("0")]] = False
 
 
 class Sparse(NamedTuple):
@@ -64,13 +77,22 @@ class Sparse(NamedTuple):
         return Sparse(ptr, self.col[take], self.val[take])
 
 
+def joined(a: Sparse, b: Sparse) -> Sparse:
+    return Sparse(np.append(a.ptr, b.ptr[1:] + a.ptr[-1]), np.append(a.col, b.col), np.append(a.val, b.val))
+
+
 def text_terms(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Two feature numbers a word (hashed word, hashed shape) of all texts, and the first word of each text."""
+    """The feature numbers of a word (hashed word, its beginning, its shape) of all texts, and the first word of each text."""
     buf, bounds = text_bytes(col)
     starts, ends, first = word_spans(buf, bounds)
     if len(starts) == 0:
-        return np.zeros((0, 2), np.int64), first
-    words = (span_hashes(lower_bytes(buf), starts, ends) >> np.uint64(64 - DIM)).astype(np.int64)
+        return np.zeros((0, TERMS), np.int64), first
+    bare = ends.copy()  # without the punctuation behind it
+    for _ in range(3):
+        bare -= (bare - starts > 1) & _PUNCTUATION[buf[bare - 1]]
+    small = lower_bytes(buf)
+    words = (span_hashes(small, starts, bare) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    begins = (span_hashes(small, starts, np.minimum(bare, starts + BEGINNING)) >> np.uint64(64 - DIM)).astype(np.int64) + (1 << WORD_BITS)
     # a word's shape: kinds of its first and of its last three bytes, and whether it repeats the word before
     shape = _SHAPE[buf]
     code = shape[starts]
@@ -79,22 +101,21 @@ def text_terms(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     same = np.zeros(len(starts), bool)
     same[1:] = words[1:] == words[:-1]
     code = code * np.uint64(2) + same.astype(np.uint64)
-    shapes = (mix(code) >> np.uint64(64 - DIM)).astype(np.int64) + (1 << DIM)
-    return np.column_stack((words, shapes)), first
+    shapes = (mix(code) >> np.uint64(64 - DIM)).astype(np.int64) + (1 << WORD_BITS) + (1 << DIM)
+    return np.column_stack((words, begins, shapes)), first
 
 
-def text_features(col: pa.Array) -> Sparse:
+def text_counts(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's words, where its features begin, the features, and how often each stands."""
     terms, first = text_terms(col)
-    size = 2 << DIM
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    key, count = np.unique(np.repeat(doc, 2) * size + terms.ravel(), return_counts=True)
-    row = key // size
-    ptr = np.searchsorted(row, np.arange(len(first)))
-    return Sparse(ptr, key % size, np.sqrt(count / np.maximum(np.diff(first), 1)[row]))
+    key, count = np.unique(np.repeat(doc, TERMS) * VIEW_SIZES[0] + terms.ravel(), return_counts=True)
+    return np.diff(first), np.searchsorted(key // VIEW_SIZES[0], np.arange(len(first))), key % VIEW_SIZES[0], count
 
 
-def text_scores(col: pa.Array, w: np.ndarray) -> np.ndarray:
-    return text_features(col).dot(w[:-1]) + w[-1]
+def text_features(col: pa.Array) -> Sparse:
+    words, ptr, cols, count = text_counts(col)
+    return Sparse(ptr, cols, np.sqrt(count / np.repeat(words, np.diff(ptr))))
 
 
 def meta_features(lang: list, source: list, n_chars: list) -> Sparse:
@@ -114,19 +135,24 @@ def _sigmoid(s: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(s, -40, 40)))
 
 
-def fit_logistic(x: Sparse, y: np.ndarray, size: int, weight: np.ndarray | None = None) -> np.ndarray:
-    """Weights and, last, the bias: full-batch Adam on the penalised log-loss, classes weighed alike."""
+def _linear(x: Sparse, w: np.ndarray) -> np.ndarray:
+    return x.dot(w[:-1]) + w[-1]
+
+
+def fit_logistic(x: Sparse, y: np.ndarray, size: int, weight: np.ndarray | None = None, start: np.ndarray | None = None, steps: int = FIT_STEPS) -> np.ndarray:
+    """Weights and, last, the bias: full-batch Adam on the penalised log-loss, classes weighed alike. From a start, its steps get smaller."""
     weight = np.ones(len(y)) if weight is None else weight
     for c in (0, 1):
         weight = np.where(y == c, weight / max(weight[y == c].sum(), 1e-9), weight)
-    w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    w, m, v = np.zeros(size + 1) if start is None else start.copy(), np.zeros(size + 1), np.zeros(size + 1)
     rows = np.repeat(np.arange(len(y)), np.diff(x.ptr))
-    for t in range(1, FIT_STEPS + 1):
-        err = weight * (_sigmoid(x.dot(w[:-1]) + w[-1]) - y)
+    for t in range(1, steps + 1):
+        rate = 0.3 if start is None else 0.1 * (1 - (t - 1) / steps)
+        err = weight * (_sigmoid(_linear(x, w)) - y)
         g = np.append(np.bincount(x.col, weights=x.val * err[rows], minlength=size), err.sum())
         g[:-1] += PENALTY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
+        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
     return w
 
 
@@ -142,118 +168,192 @@ def fit_platt(s: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-class Model(NamedTuple):
+class Target(NamedTuple):
+    """What tells one label: the weights of both views, their calibration, and how they are put together."""
+
     text: np.ndarray
     meta: np.ndarray
     text_cal: np.ndarray
     meta_cal: np.ndarray
     both: np.ndarray
 
-    def scores(self, col: pa.Array, meta: Sparse) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Calibrated probabilities of good quality: by text, by metadata, by both."""
-        st, sm = text_scores(col, self.text), meta.dot(self.meta[:-1]) + self.meta[-1]
-        ct, cm = self.text_cal[0] * st + self.text_cal[1], self.meta_cal[0] * sm + self.meta_cal[1]
+    def scores(self, text: Sparse, meta: Sparse) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Calibrated probabilities of the label: by text, by metadata, by both."""
+        ct, cm = (cal[0] * _linear(x, w) + cal[1] for x, w, cal in ((text, self.text, self.text_cal), (meta, self.meta, self.meta_cal)))
         return _sigmoid(ct), _sigmoid(cm), _sigmoid(self.both[0] * ct + self.both[1] * cm + self.both[2])
 
 
-def co_train(views: tuple[Sparse, Sparse], y: np.ndarray, aside: np.ndarray) -> Model:
-    """``y``: 0, 1, or -1 for the pool; ``aside``: labelled rows for calibration only."""
-    sizes = (2 << DIM, 1 << DIM)
-    own = np.flatnonzero((y >= 0) & ~aside)
-    test, pool = np.flatnonzero((y >= 0) & aside), np.flatnonzero(y < 0)
-    given: list[dict[int, int]] = [{}, {}]  # pseudo-labels that each view has received
+class Sample(NamedTuple):
+    """The labelled documents: both views, a row of labels (0, 1, or -1: none) for each target, and which are for calibration only."""
 
-    def fit(k: int) -> tuple[np.ndarray, np.ndarray]:
-        extra = np.array(sorted(given[k]), np.int64)
-        rows = np.concatenate((own, extra))
-        labels = np.concatenate((y[own], [given[k][i] for i in extra.tolist()])).astype(float)
-        w = fit_logistic(views[k].pick(rows), labels, sizes[k])
-        return w, fit_platt(views[k].pick(test).dot(w[:-1]) + w[-1], y[test].astype(float))
+    views: tuple[Sparse, Sparse]
+    y: np.ndarray
+    aside: np.ndarray
 
-    fits = [fit(0), fit(1)]
+    def own(self, target: int) -> np.ndarray:
+        return np.flatnonzero((self.y[target] >= 0) & ~self.aside[target])
+
+    def calibrated(self, target: int, k: int, w: np.ndarray) -> np.ndarray:
+        test = np.flatnonzero((self.y[target] >= 0) & self.aside[target])
+        return fit_platt(_linear(self.views[k].pick(test), w), self.y[target][test].astype(float))
+
+
+def exchange(sample: Sample, target: int, start: list[np.ndarray], pool: tuple[Sparse, Sparse]) -> list[np.ndarray]:
+    """Weights of both views after the rounds over one shard of unlabelled documents, from those fitted to the labels alone."""
+    own = sample.own(target)
+    y = sample.y[target][own].astype(float)
+    known = [sample.views[k].pick(own) for k in (0, 1)]
+    weights, given = list(start), [np.full(len(pool[0].ptr) - 1, -1) for _ in (0, 1)]
     for _ in range(ROUNDS):
         for k in (0, 1):
-            w, cal = fits[k]
-            left = np.array([i for i in pool.tolist() if i not in given[1 - k]], np.int64)
-            p = _sigmoid(cal[0] * (views[k].pick(left).dot(w[:-1]) + w[-1]) + cal[1])
-            for label, sure in ((1, p), (0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[:MOST_NEW]
-                given[1 - k].update((int(left[i]), label) for i in best if sure[i] >= SURE)
-        fits = [fit(0), fit(1)]
-    cols = [cal[0] * (views[k].pick(test).dot(w[:-1]) + w[-1]) + cal[1] for k, (w, cal) in enumerate(fits)]
-    return Model(fits[0][0], fits[1][0], fits[0][1], fits[1][1], fit_platt(np.column_stack(cols), y[test].astype(float)))
-
-
-def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    given = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        (F.avg("quality") >= 0.5).cast("int").alias("y"))
-    known = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull())
-    free = ids.join(given, "doc_id", "left_anti").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(POOL).withColumn("y", F.lit(-1))
-    chosen = known.unionByName(free)  # at most LABELLED + POOL rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                text = text_features(batch.column("text"))
-                meta = meta_features(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
-                rows = [[x.col[a:b].astype("<i4").tobytes() for a, b in zip(x.ptr, x.ptr[1:])] for x in (text, meta)]
-                vals = [[x.val[a:b].astype("<f4").tobytes() for a, b in zip(x.ptr, x.ptr[1:])] for x in (text, meta)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("y"), *(pa.array(r, pa.binary()) for r in (rows[0], vals[0], rows[1], vals[1]))],
-                    names=["doc_id", "y", "tc", "tv", "mc", "mv"])
-
+            cal = sample.calibrated(target, k, weights[k])
+            p = _sigmoid(cal[0] * _linear(pool[k], weights[k]) + cal[1])
+            sure = np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1))
+            given[1 - k] = np.where(given[1 - k] >= 0, given[1 - k], sure)
+        for k in (0, 1):
+            rows = np.flatnonzero(given[k] >= 0)
+            new = given[k][rows].astype(float)
+            # the pseudo-labels of a class weigh at most as much as its labels
+            share = [min(1.0, (y == c).sum() / max((new == c).sum(), 1)) for c in (0, 1)]
+            weight = np.append(np.ones(len(y)), np.where(new == 1, share[1], share[0]))
+            weights[k] = fit_logistic(joined(known[k], pool[k].pick(rows)), np.append(y, new), VIEW_SIZES[k], weight, weights[k], ROUND_STEPS)
+    return weights
+
+
+def _features(batches: Iterator[pa.RecordBatch], keep: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """``keep``, then the features: text columns (16 bits each), how often each stands (32 bits), metadata columns (16 bits)."""
+    for whole in batches:
+        for batch in slices(whole):
+            words, at, cols, counts = text_counts(batch.column("text"))
+            cols, counts = cols.astype("<u2"), counts.astype("<u4")
+            meta = meta_features(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars"))).col.astype("<u2")
+            packed = [[x[a:b].tobytes() for a, b in zip(ends, ends[1:])] for x, ends in ((cols, at), (counts, at), (meta, np.arange(len(words) + 1) * 5))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x, pa.binary()) for x in packed)], names=[*keep, *PACKED])
+
+
+def _views(got: pa.Table) -> tuple[Sparse, Sparse]:
+    """Both views of rows as packed by ``_features``."""
+    (cols, at), (counts, _), (meta, _) = (text_bytes(got[c]) for c in PACKED)
+    ptr, count = at // 2, np.frombuffer(counts.tobytes(), "<u4").astype(float)
+    total = np.append(0.0, np.cumsum(count))
+    words = (total[ptr[1:]] - total[ptr[:-1]]) / TERMS
+    text = Sparse(ptr, np.frombuffer(cols.tobytes(), "<u2").astype(np.int64), np.sqrt(count / np.repeat(words, np.diff(ptr))))
+    return text, Sparse(np.arange(got.num_rows + 1) * 5, np.frombuffer(meta.tobytes(), "<u2").astype(np.int64), np.full(5 * got.num_rows, 0.5))
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame) -> Sample:
+    """``known``: at most LABELLED rows of doc_id and the targets' labels."""
     kind = dict(docs.dtypes)["doc_id"]
-    one = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(chosen), "doc_id")
-    each = one.mapInArrow(run, f"doc_id {kind}, y int, tc binary, tv binary, mc binary, mv binary")
+    one = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(known), "doc_id")
+    schema = f"doc_id {kind}, {', '.join(f'{t} int' for t in TARGETS)}, {', '.join(f'{c} binary' for c in PACKED)}"
+    each = one.mapInArrow(lambda batches: _features(batches, ("doc_id", *TARGETS)), schema)
     # one row of each id reaches the driver; which of several, and the order of rows, must not depend on the partitions
-    least = each.groupBy("doc_id").agg(F.min(F.struct("tc", "tv", "mc", "mv", "y")).alias("r"))
-    got = least.select("doc_id", "r.*").toArrow()
-    rows = sorted(range(got.num_rows), key=lambda k: got["doc_id"][k].as_py())
-    y = np.array([got["y"][k].as_py() for k in rows], np.int64)
-
-    def sparse(c: str, v: str) -> Sparse:
-        cols = [np.frombuffer(got[c][k].as_py(), "<i4") for k in rows]
-        vals = [np.frombuffer(got[v][k].as_py(), "<f4") for k in rows]
-        return Sparse(np.append(0, np.cumsum([len(x) for x in cols])).astype(np.int64), np.concatenate(cols).astype(np.int64), np.concatenate(vals).astype(float))
-
-    aside = np.zeros(len(rows), bool)
-    for c in (0, 1):
-        aside[np.flatnonzero(y == c)[::4]] = True  # a quarter of each class
-        if (y == c).sum() < 2:
-            return None
-    return co_train((sparse("tc", "tv"), sparse("mc", "mv")), y, aside)
+    least = each.groupBy("doc_id").agg(F.min(F.struct(*PACKED, *TARGETS)).alias("r"))
+    got = least.select("doc_id", "r.*").toArrow().sort_by("doc_id")
+    y = np.array([got[t].to_numpy() for t in TARGETS])
+    aside = np.zeros(y.shape, bool)
+    for k in range(len(TARGETS)):
+        for c in (0, 1):
+            aside[k, np.flatnonzero(y[k] == c)[::4]] = True  # a quarter of each class
+    return Sample(_views(got), y, aside)
+
+
+def _dealt(free: DataFrame) -> DataFrame:
+    """(shard, features): shards of about POOL documents and at most about POOL_TERMS features. ``free``: distinct feature rows."""
+    rows, terms = free.agg(F.count("*"), F.coalesce(F.sum(F.length(PACKED[0])) / 2, F.lit(0))).first()
+    shards = int(max(1, -(-rows // POOL), -(-terms // POOL_TERMS)))
+    return free.select(F.pmod(F.xxhash64(*PACKED), F.lit(shards)).alias("shard"), *PACKED)
+
+
+def co_train(sample: Sample, free: DataFrame) -> list[Target | None]:
+    """The targets; None for one of which a class has under two labelled documents. ``free``: the unlabelled documents' features."""
+    use = [k for k in range(len(TARGETS)) if min((sample.y[k] == c).sum() for c in (0, 1)) >= 2]
+    first = {}
+    for t in use:
+        own = sample.own(t)
+        first[t] = [fit_logistic(sample.views[k].pick(own), sample.y[t][own].astype(float), VIEW_SIZES[k]) for k in (0, 1)]
+    weights = dict(first)
+    if use:
+        shared = free.sparkSession.sparkContext.broadcast((tuple(sample), first))  # LABELLED documents and their weights
+
+        def run(shard: pa.Table) -> pa.Table:
+            told, start = shared.value
+            # in an order of their own, so that sums come out alike however the rows were shuffled
+            pool = _views(shard.sort_by([(c, "ascending") for c in PACKED]))
+            parts = [(t, k, w) for t in start for k, w in enumerate(exchange(Sample(*told), t, start[t], pool))]
+            return pa.table({"part": pa.array([2 * t + k for t, k, _ in parts], pa.int32()), "w": pa.array([w for *_, w in parts], pa.list_(pa.float64())),
+                             "n": pa.array([float(shard.num_rows)] * len(parts))})
+
+        got = _dealt(free).groupBy("shard").applyInArrow(run, "part int, w array<double>, n double")
+        each = got.select("part", "n", F.posexplode("w").alias("at", "x")).groupBy("part", "at").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
+        mean = each.toPandas().sort_values(["part", "at"])
+        if len(mean):
+            weights = {t: [mean.loc[mean["part"] == 2 * t + k, "x"].to_numpy() for k in (0, 1)] for t in use}
+    out: list[Target | None] = [None] * len(TARGETS)
+    for t in use:
+        test = np.flatnonzero((sample.y[t] >= 0) & sample.aside[t])
+        cals = [sample.calibrated(t, k, weights[t][k]) for k in (0, 1)]
+        cols = [cals[k][0] * _linear(sample.views[k].pick(test), weights[t][k]) + cals[k][1] for k in (0, 1)]
+        out[t] = Target(*weights[t], *cals, fit_platt(np.column_stack(cols), sample.y[t][test].astype(float)))
+    return out
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, label of each target or -1) of at most LABELLED labelled documents, those of smallest hash."""
+    has = [t for t in TARGETS if t in labels.columns]
+    of = lambda t: F.coalesce((F.avg(t) >= 0.5).cast("int"), F.lit(-1)) if t in has else F.lit(-1)
+    given = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[of(t).alias(t) for t in TARGETS])
+    return given.where(F.greatest(*TARGETS) >= 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+
+
+def unlabelled_features(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The distinct features of all documents with a word that aren't among the known."""
+    free = docs.join(F.broadcast(known.select("doc_id")), "doc_id", "left_anti").select("text", "lang", "source", "n_chars")
+    packed = free.mapInArrow(lambda batches: _features(batches, ()), ", ".join(f"{c} binary" for c in PACKED))
+    return packed.where(F.length(PACKED[0]) > 0).distinct()
+
+
+def train(docs: DataFrame, labels: DataFrame) -> list[Target | None]:
+    known = checkpointed(known_labels(labels))
+    with stored_for_now(unlabelled_features(docs, known)) as free:
+        return co_train(labelled_sample(docs, known), free)
 
 
 def _scored(docs: DataFrame, labels: DataFrame, payload: Column) -> DataFrame:
-    """``payload`` as _row, and _s: the scores by text, by metadata and by both, and whether the row is kept.
+    """``payload`` as _row, and _s: the scores by text, by metadata and by both, the toxic score, and whether the row is kept.
 
     Only the four columns that are read go to Python; the payload stays with Spark.
     """
-    model = train(docs, labels)
-    kind = "text_score double, meta_score double, score double, kept boolean"
-    if model is None:
-        nothing = [F.lit(None).cast("double").alias(c) for c in ("text_score", "meta_score", "score")]
+    targets = train(docs, labels)
+    names = ("text_score", "meta_score", "score", "toxic_score")
+    if not any(targets):
+        nothing = [F.lit(None).cast("double").alias(c) for c in names]
         return docs.select(payload.alias("_row"), F.struct(*nothing, F.lit(True).alias("kept")).alias("_s"))
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # 3 * 2**DIM numbers
+    shared = docs.sparkSession.sparkContext.broadcast([t and tuple(t) for t in targets])  # 2 * sum(VIEW_SIZES) numbers, about
 
-    @F.arrow_udf(f"struct<{kind.replace(' double', ': double').replace(' boolean', ': boolean')}>")
+    @F.arrow_udf(f"struct<{', '.join(f'{c}: double' for c in names)}, kept: boolean>")
     def scores(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
-        use, parts = Model(*shared.value), []
+        quality, toxic = (t and Target(*t) for t in shared.value)
+        parts = []
         for batch in slices(pa.RecordBatch.from_arrays([text, lang, source, n_chars], names=["text", "lang", "source", "n_chars"])):
-            col = batch.column("text")
-            got = use.scores(col, meta_features(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars"))))
-            empty = np.diff(text_terms(col)[1]) == 0
-            got = [np.where(empty, 0.0, x) for x in got]
-            parts.append([*got, got[2] >= KEEP])
-        cols = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0)] * 3 + [np.zeros(0, bool)]
-        return pa.StructArray.from_arrays([pa.array(x) for x in cols], names=["text_score", "meta_score", "score", "kept"])
+            x, meta = text_features(batch.column("text")), meta_features(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
+            empty, kept = np.diff(x.ptr) == 0, np.ones(batch.num_rows, bool)
+            got = [np.full(batch.num_rows, np.nan) for _ in names]  # nan: no such target
+            if quality:
+                got[:3] = [np.where(empty, 0.0, s) for s in quality.scores(x, meta)]
+                kept &= got[2] >= KEEP
+            if toxic:
+                got[3] = np.where(empty, 0.0, toxic.scores(x, meta)[2])
+                kept &= got[3] < TOXIC
+            parts.append([*got, kept])
+        cols = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0)] * len(names) + [np.zeros(0, bool)]
+        return pa.StructArray.from_arrays([*(pa.array(x, pa.float64(), from_pandas=True) for x in cols[:-1]), pa.array(cols[-1])], names=[*names, "kept"])
 
     return docs.select(payload.alias("_row"), scores("text", "lang", "source", "n_chars").alias("_s"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, text_score, meta_score, score (probabilities of good quality) and kept."""
+    """Per document: doc_id, text_score, meta_score, score (probabilities of good quality), toxic_score and kept."""
     return _scored(docs, labels, F.col("doc_id")).select(F.col("_row").alias("doc_id"), "_s.*")
 
 
