@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -183,16 +182,3 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def stored_for_now(df: DataFrame) -> Iterator[DataFrame]:
-    """``stored``, for a table that nothing reads after the block: its files are deleted at the block's end."""
-    out = stored(df)
-    files = out.inputFiles()
-    try:
-        yield out
-    finally:
-        if files:
-            folder = out.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-            folder.getFileSystem(out.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)

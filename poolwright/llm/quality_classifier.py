@@ -11,7 +11,7 @@ under ``TOXIC`` for toxic.
 
 The labelled sample is bounded: ``LABELLED`` documents, those with the smallest hash of their id, reach the driver (at
 most ``sum(VIEW_SIZES)`` numbers each) and every task. Other labelled documents count as unlabelled. Documents that are alike
-in all features take part in the exchange once, so copies don't make a shard large. Every document is scored.
+in all features take part in the exchange once: copies leave each map task once and a shard takes one of them. Every document is scored.
 
 Null language, source or n_chars are values of their own. A document without a word (or text) has score 0 for either
 label, is not kept, and takes no part in the exchange. A document with several labels counts by their mean, from a half on as 1; null
@@ -21,6 +21,7 @@ null. Repeated rows are scored alike; an empty table gives no rows; further colu
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_bytes, mix, slices, span_hashes, stored_for_now, text_bytes, word_spans
+from .common import checkpointed, lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
 
 #: the labels that are learnt: 1 is good quality, 1 is toxic
 TARGETS = ("quality", "toxic")
 LABELLED = 6000  # labelled documents that the fit sees
-POOL = 12_000  # unlabelled documents of a shard, about, and their features at most
-POOL_TERMS = 4_000_000
+POOL, POOL_BYTES = 8000, 32 << 20  # unlabelled documents of a shard, and their bytes, whichever gives more shards
+COUNTED_BYTES = 1 << 18  # of a text at most, as its features are bounded
 WORD_BITS, DIM = 15, 13  # words are hashed to 2**WORD_BITS columns, beginnings, shapes and metadata to 2**DIM each; all fit 16 bits
 VIEW_SIZES = ((1 << WORD_BITS) + (2 << DIM), 1 << DIM)
 TERMS = 3  # features of a word
@@ -258,15 +259,8 @@ def labelled_sample(docs: DataFrame, known: DataFrame) -> Sample:
     return Sample(_views(got), y, aside)
 
 
-def _dealt(free: DataFrame) -> DataFrame:
-    """(shard, features): shards of about POOL documents and at most about POOL_TERMS features. ``free``: distinct feature rows."""
-    rows, terms = free.agg(F.count("*"), F.coalesce(F.sum(F.length(PACKED[0])) / 2, F.lit(0))).first()
-    shards = int(max(1, -(-rows // POOL), -(-terms // POOL_TERMS)))
-    return free.select(F.pmod(F.xxhash64(*PACKED), F.lit(shards)).alias("shard"), *PACKED)
-
-
 def co_train(sample: Sample, free: DataFrame) -> list[Target | None]:
-    """The targets; None for one of which a class has under two labelled documents. ``free``: the unlabelled documents' features."""
+    """The targets; None for one of which a class has under two labelled documents. ``free``: shard and features of the unlabelled documents."""
     use = [k for k in range(len(TARGETS)) if min((sample.y[k] == c).sum() for c in (0, 1)) >= 2]
     first = {}
     for t in use:
@@ -279,12 +273,13 @@ def co_train(sample: Sample, free: DataFrame) -> list[Target | None]:
         def run(shard: pa.Table) -> pa.Table:
             told, start = shared.value
             # in an order of their own, so that sums come out alike however the rows were shuffled
-            pool = _views(shard.sort_by([(c, "ascending") for c in PACKED]))
+            shard = shard.select(PACKED).group_by(PACKED).aggregate([]).sort_by([(c, "ascending") for c in PACKED])
+            pool = _views(shard)
             parts = [(t, k, w) for t in start for k, w in enumerate(exchange(Sample(*told), t, start[t], pool))]
             return pa.table({"part": pa.array([2 * t + k for t, k, _ in parts], pa.int32()), "w": pa.array([w for *_, w in parts], pa.list_(pa.float64())),
                              "n": pa.array([float(shard.num_rows)] * len(parts))})
 
-        got = _dealt(free).groupBy("shard").applyInArrow(run, "part int, w array<double>, n double")
+        got = free.groupBy("shard").applyInArrow(run, "part int, w array<double>, n double")
         each = got.select("part", "n", F.posexplode("w").alias("at", "x")).groupBy("part", "at").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
         mean = each.toPandas().sort_values(["part", "at"])
         if len(mean):
@@ -307,16 +302,29 @@ def known_labels(labels: DataFrame) -> DataFrame:
 
 
 def unlabelled_features(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """The distinct features of all documents with a word that aren't among the known."""
+    """(shard, features) of all documents with a word that aren't among the known, of those alike about one a task."""
+    size = F.least(F.octet_length("text"), F.lit(COUNTED_BYTES)).cast("long")
+    rows, total = docs.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    shards = max(1, -(-rows // POOL), -(-total // POOL_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # 16 bytes for each document of the task
+        for batch in _features(batches, ()):
+            keys = [hashlib.blake2b(b"".join(r), digest_size=16).digest() for r in zip(*(c.to_pylist() for c in batch.columns))]
+            new = []
+            for key, cols in zip(keys, batch.column(0)):
+                new.append(key not in seen and len(cols.as_py()) > 0)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
     free = docs.join(F.broadcast(known.select("doc_id")), "doc_id", "left_anti").select("text", "lang", "source", "n_chars")
-    packed = free.mapInArrow(lambda batches: _features(batches, ()), ", ".join(f"{c} binary" for c in PACKED))
-    return packed.where(F.length(PACKED[0]) > 0).distinct()
+    packed = free.mapInArrow(run, ", ".join(f"{c} binary" for c in PACKED))
+    return packed.select(F.pmod(F.xxhash64(*PACKED), F.lit(shards)).alias("shard"), *PACKED)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> list[Target | None]:
     known = checkpointed(known_labels(labels))
-    with stored_for_now(unlabelled_features(docs, known)) as free:
-        return co_train(labelled_sample(docs, known), free)
+    return co_train(labelled_sample(docs, known), unlabelled_features(docs, known))
 
 
 def _scored(docs: DataFrame, labels: DataFrame, payload: Column) -> DataFrame:
