@@ -153,3 +153,7 @@ LOAD_SOURCE_SEED = (
     ("other_supplier", "Other supplier file", "SUPPLIER", "OTHER"),
     ("retention", "Retention file", "RETENTION", None),
 )
+
+# -- members ---------------------------------------------------------------------------
+#: the policies that split the two retention bags, in the fixtures (a caller names its own)
+RETENTION_POLICIES = ("policy_retention", "policy_past_retention")

@@ -357,6 +357,14 @@ def backfill_members(members: DataFrame, profiles: DataFrame, policies: DataFram
     return members2, insert_missing(roster, rows, ["poolId", "profileId"])
 
 
+def member_check(members: DataFrame, policy_ids: tuple[str, ...]) -> DataFrame:
+    """Check of M13, per policy that has members: all, active, with a profile, and active without one (no one to share to)."""
+    active, named = F.coalesce(F.col("isActive"), F.lit(False)), F.col("profileId").isNotNull()
+    return members.where(F.col("policyId").isin(*policy_ids)).groupBy("policyId").agg(
+        F.count(F.lit(1)).alias("members"), F.count_if(active).alias("active"), F.count_if(named).alias("with_profile"),
+        F.count_if(active & ~named).alias("missing_profile"))
+
+
 def promote_campaign(pools: DataFrame, rules: DataFrame, links: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """Shared pools that carry an active rule become CAMPAIGN; STANDARD link parents too."""
     ruled = rules.where(F.coalesce(F.col("isActive"), F.lit(True))).select(F.col("poolId").alias("_ruled")).distinct()

@@ -16,6 +16,7 @@ from pyspark.sql import types as T_
 
 from poolwright import twins
 from poolwright.config import FIXTURE_CONFIG, RunConfig
+from poolwright.functions import constants as K
 from poolwright.functions.columns import clock_label, days_until, is_dfv
 from poolwright.operators import apply as AP
 from poolwright.operators import fair_share as FS
@@ -25,7 +26,7 @@ from poolwright.operators.cascade import wipe_prefix
 from poolwright.plans import nightly, stages
 from poolwright.session import ensure_checkpoint_dir, materialize
 from poolwright.sources import conform_checked, snapshot
-from poolwright.sources.fixtures import Fixtures
+from poolwright.sources.fixtures import Fixtures, LinkedFixtures
 from poolwright.sources.store import TableStore
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str | None]]] = {}
@@ -35,11 +36,14 @@ PARKED_STRICT = FIXTURE_CONFIG.with_(past_sale_scope="mappings")
 LIVE = FIXTURE_CONFIG.with_(mode="live", past_sale_scope="mappings")
 
 
-def register(name: str, cfg: RunConfig, sql: str | None):
+def register(name: str, cfg: RunConfig, sql: str | None, linked: bool = False):
+    """``linked``: over ``LinkedFixtures``, where most facts reach a company."""
+    fixtures = LinkedFixtures if linked else Fixtures
+
     def deco(fn):
         QUERIES[name] = (
-            lambda spark, sf_dir, _fn=fn, _cfg=cfg: _fn(Fixtures(spark, sf_dir, _cfg), _cfg),
-            (lambda _cfg=cfg, _sql=sql: twins.with_ctes(_cfg, _sql)) if sql is not None else (lambda: None),
+            lambda spark, sf_dir, _fn=fn, _cfg=cfg: _fn(fixtures(spark, sf_dir, _cfg), _cfg),
+            (lambda _cfg=cfg, _sql=sql: twins.with_ctes(_cfg, _sql, linked)) if sql is not None else (lambda: None),
         )
         return fn
     return deco
@@ -946,3 +950,44 @@ def c04s(fx, cfg):
 @register("c05_winning_contract_synced", LIVE, "SELECT * FROM winner_synced")
 def c05s(fx, cfg):
     return C.winning_contract(_synced_facts(fx, cfg))
+
+
+# --- members of split policies (M13) -------------------------------------------------
+
+def _backfill(fx, cfg):
+    return M.backfill_members(fx.pool_members, fx.profiles, fx.split_policies, fx.pool_profiles, K.RETENTION_POLICIES)
+
+
+@register("m13_members", PARKED, "SELECT id, policy_id, child_pool_id, profile_id, active AS is_active FROM filled_members")
+def m13_members(fx, cfg):
+    return _backfill(fx, cfg)[0].select("id", F.col("policyId").alias("policy_id"), F.col("childPoolId").alias("child_pool_id"),
+                                        F.col("profileId").alias("profile_id"), F.col("isActive").alias("is_active"))
+
+
+@register("m13_roster", PARKED, """
+SELECT pool_id, profile_id FROM pool_profiles
+UNION
+SELECT CASE policy_id WHEN 'policy_retention' THEN 'pool_RETENTION' ELSE 'pool_PAST_RETENTION' END, profile_id FROM filled_members
+WHERE active AND profile_id IS NOT NULL AND policy_id <> 'policy_unassigned'""")
+def m13_roster(fx, cfg):
+    return _backfill(fx, cfg)[1].select(F.col("poolId").alias("pool_id"), F.col("profileId").alias("profile_id"))
+
+
+@register("m13_member_check", PARKED, """
+SELECT policy_id, count(*) AS members, count(*) FILTER (active) AS active, count(profile_id) AS with_profile,
+  count(*) FILTER (active AND profile_id IS NULL) AS missing_profile
+FROM members WHERE policy_id <> 'policy_unassigned' GROUP BY policy_id""")
+def m13_member_check(fx, cfg):
+    """Before the backfill, as it would be empty of findings afterwards."""
+    return M.member_check(fx.pool_members, K.RETENTION_POLICIES).withColumnRenamed("policyId", "policy_id")
+
+
+# --- the same operators where most facts reach a company --------------------------------
+
+register("c08_last_deal_linked", PARKED, "SELECT * FROM last_deal", linked=True)(c08)
+register("c09_deal_companies_linked", PARKED, "SELECT company_id FROM deal_cos", linked=True)(c09)
+register("c16_load_origin_linked", PARKED, "SELECT * FROM origin", linked=True)(c16)
+register("c17_past_sale_linked", PARKED_STRICT, "SELECT * FROM sale", linked=True)(_past_sale)
+register("c20_features_linked", PARKED, "SELECT * FROM features", linked=True)(_features)
+register("t03_propose_parked_linked", PARKED_STRICT, _PROPOSAL_SQL, linked=True)(_proposals)
+register("fs_fair_share_linked", PARKED_STRICT, "SELECT company_id, lead_tag, is_protected, parent_pool_id, proposed_pool_id FROM fair", linked=True)(fs)

@@ -54,6 +54,15 @@ class Fixtures:
         owners = self.raw("supplier").where(F.col("s_suppkey") % 4 == 1).select(F.count(F.lit(1))).scalar()
         return sid("priv_", 4 * (n % owners) + 1)
 
+    # -- what the linked variant overrides -------------------------------------
+    def _names_meter(self, order: Column) -> Column:
+        """Whether an order's deal names its meter."""
+        return order % 8 == 0
+
+    def _names_customer(self, order: Column) -> Column:
+        """Whether an order's site mapping names a company that the company table knows."""
+        return order % 20 == 0
+
     # -- facts ---------------------------------------------------------------
     @cached_property
     def companies(self) -> DataFrame:
@@ -144,7 +153,7 @@ class Fixtures:
         o = self.raw("orders")
         df = o.join(first, k == F.col("_order"), "left").select(
             sid("D", k).alias("id"), sid("C", F.col("o_custkey")).alias("companyId"),
-            sid("S", k).alias("siteId"), F.when(k % 8 == 0, sid("M", k)).alias("siteMeterId"),
+            sid("S", k).alias("siteId"), F.when(self._names_meter(k), sid("M", k)).alias("siteMeterId"),
             F.when(k % 3 != 0, F.col("_contract")).alias("contractId"), status.alias("status"),
             F.when(k % 7 != 0, F.col("o_orderdate")).alias("signedAt"), F.col("o_orderdate").alias("createdAt"),
         )
@@ -200,7 +209,7 @@ class Fixtures:
         o = self.raw("orders")
         p = F.col("o_orderpriority")
         # most mapped sites belong to customers of others, whom the company table doesn't know
-        known = F.when(F.col("o_orderkey") % 20 == 0, sid("C", F.col("o_custkey"))).otherwise(sid("X", F.col("o_custkey")))
+        known = F.when(self._names_customer(F.col("o_orderkey")), sid("C", F.col("o_custkey"))).otherwise(sid("X", F.col("o_custkey")))
         campaign = (
             F.when(p == "1-URGENT", F.lit("Retention")).when(p == "2-HIGH", F.lit("Supplier"))
             .when(p == "3-MEDIUM", F.lit("")).when(p == "5-LOW", F.lit("RETENTION load"))
@@ -282,6 +291,25 @@ class Fixtures:
         complaint = pr.where(s % 4 == 0).select(F.lit("pool_COMPLAINT").alias("poolId"), F.col("id").alias("profileId"))
         return own.unionByName(wrong).unionByName(retention).unionByName(unassigned).unionByName(complaint).distinct()
 
+    @cached_property
+    def split_policies(self) -> DataFrame:
+        """The policies that split a shared pool over its members; the last isn't one of retention."""
+        rows = [(K.RETENTION_POLICIES[0], "pool_RETENTION"), (K.RETENTION_POLICIES[1], "pool_PAST_RETENTION"), ("policy_unassigned", "pool_UNASSIGNED")]
+        return self.spark.createDataFrame(rows, SC.SPLIT_POLICIES)
+
+    @cached_property
+    def pool_members(self) -> DataFrame:
+        """A member of each policy for each supplier: of a private pool that has an owner, or (supplier % 4 = 2) of one that has none."""
+        s, policy = F.col("s_suppkey"), F.col("policyId")
+        policies = F.array(*[F.lit(p) for p in (*K.RETENTION_POLICIES, "policy_unassigned")])
+        every = self.raw("supplier").where((s % 4).isin(1, 2)).select("s_suppkey", F.explode(policies).alias("policyId"))
+        df = every.select(
+            F.concat(F.lit("MB-"), policy, F.lit("-"), s.cast("string")).alias("id"), "policyId", sid("priv_", s).alias("childPoolId"),
+            F.when(s % 8 == 2, sid("U", s)).when((s % 16 == 9) & (policy == K.RETENTION_POLICIES[0]), sid("U", s + 1)).alias("profileId"),
+            F.when(s % 32 == 17, F.lit(None).cast("boolean")).otherwise(s % 16 != 5).alias("isActive"),
+        )
+        return conform(df, SC.POOL_MEMBERS)
+
     @cached_property
     def provider_families(self) -> DataFrame:
         """None in parked mode. In live mode what earlier syncs and operators left: manual families, which the sync keeps,
@@ -318,3 +346,13 @@ class Fixtures:
             F.lit(OPEN_SINCE).cast("timestamp_ntz").alias("endedAt"),
         )
         return conform(open_rows.unionByName(closed), SC.PLACEMENTS)
+
+
+class LinkedFixtures(Fixtures):
+    """Every deal names its meter, and 19 of 20 mappings name a known company, so that most facts reach a company."""
+
+    def _names_meter(self, order: Column) -> Column:
+        return F.lit(True)
+
+    def _names_customer(self, order: Column) -> Column:
+        return order % 20 != 0

@@ -37,6 +37,8 @@ POOL_RULES = _schema(("tag", S), ("poolId", S), ("priority", I), ("isActive", B)
 POOL_LINKS = _schema(
     ("parentPoolId", S), ("childPoolId", S), ("parentType", S), ("childType", S), ("isActive", B),
 )
+SPLIT_POLICIES = _schema(("id", S), ("parentPoolId", S))
+POOL_MEMBERS = _schema(("id", S), ("policyId", S), ("childPoolId", S), ("profileId", S), ("isActive", B))
 POOL_PROFILES = _schema(("poolId", S), ("profileId", S))
 MAPPINGS = _schema(
     ("companyId", S), ("companySiteId", S), ("campaign", S), ("source", S), ("migratedAt", TSN),

@@ -17,7 +17,8 @@ SUBSET = ["c01_contract_companies", "c05_winning_contract", "c08_last_deal", "c1
           "c20_features_mappings", "t03_propose_parked", "t06_batch_live", "fs_fair_share", "ap6_placements_refreshed",
           "m03_provider_routes", "m04_rules", "m07_placements", "m10_relink_pools", "r08_latest_moves",
           "r11_maintenance_counts", "c08_last_deal_site_path", "c10_rejected_companies", "c17_fallback_refresh",
-          "ap1_rejected_faulty", "ap3_companies_faulty", "ap6_placements_faulty", "m07_rules", "m09_hide_pools_role_id"]
+          "ap1_rejected_faulty", "ap3_companies_faulty", "ap6_placements_faulty", "m07_rules", "m09_hide_pools_role_id",
+          "m13_members", "m13_roster", "m13_member_check", "c09_deal_companies_linked", "c16_load_origin_linked", "t03_propose_parked_linked"]
 NAMES = list(QUERIES) if os.environ.get("POOLWRIGHT_FULL_ORACLE") else SUBSET
 
 

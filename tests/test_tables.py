@@ -76,3 +76,8 @@ def test_backfill_members(spark):
     assert sorted((r["childPoolId"], r["profileId"]) for r in m2.collect()) == [
         ("priv_1", "U1"), ("priv_1", "U1"), ("priv_2", "U9")]
     assert sorted(tuple(r) for r in r2.collect()) == [("pool_R", "U1"), ("pool_R", "U9")]
+    check = lambda m: {r["policyId"]: (r["members"], r["active"], r["with_profile"], r["missing_profile"])
+                       for r in M.member_check(m, ("pol_r", "pol_x")).collect()}
+    assert check(members) == {"pol_r": (2, 2, 1, 1), "pol_x": (1, 1, 0, 1)}
+    assert check(m2) == {"pol_r": (2, 2, 2, 0), "pol_x": (1, 1, 1, 0)}
+    assert check(members.limit(0)) == {}
