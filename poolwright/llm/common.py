@@ -171,9 +171,9 @@ def tasks_for(rows: int) -> int:
     return max(1, -(-rows // TASK_ROWS))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored_at(df: DataFrame) -> tuple[DataFrame, str]:
     """Write the rows as Parquet under ``spark.checkpoint.dir`` and read them back: a checkpoint that is
-    compressed, for large intermediate tables. Like checkpoints, the files stay until that folder is cleared."""
+    compressed, for large intermediate tables. With the folder, which ``discard`` removes."""
     from uuid import uuid4
 
     from poolwright.session import ensure_checkpoint_dir
@@ -181,4 +181,15 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid4()}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As ``stored_at``; like checkpoints, the files stay until that folder is cleared."""
+    return stored_at(df)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove what ``stored_at`` wrote, once no frame that is still to be run reads it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against brute force on the stage's own input."""
 
 import hashlib
+import os
 import struct
 from collections import Counter
 
@@ -89,7 +90,13 @@ def test_ids_are_the_library_s(outputs):
 
 
 def test_run_equals_the_stages(spark, outputs):
-    got = corpus_pipeline.run(spark, data.SF).select("doc_id", "ids_sha256").collect()
+    before = spark.conf.get(corpus_pipeline.BATCH)
+    spark.conf.set(corpus_pipeline.BATCH, "777")
+    try:
+        got = corpus_pipeline.run(spark, data.SF).select("doc_id", "ids_sha256").collect()
+        assert spark.conf.get(corpus_pipeline.BATCH) == "777"
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH, before)
     want = outputs[-1][1].select("doc_id", "ids_sha256").collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, want))
 
@@ -104,3 +111,13 @@ def test_odd_rows_go_through_all_stages(spark, empty, tmp_path):
         docs = spark.read.schema(docs.schema).parquet(str(tmp_path / str(k))) if k < 4 else spark.read.parquet(str(tmp_path / "4"))
         assert k == 4 or docs.columns == columns
     assert (docs.count() == 0) == empty
+
+
+def test_discarded_files_are_gone(spark):
+    from poolwright.llm.common import discard, stored_at
+
+    df, path = stored_at(spark.range(5))
+    other, kept = stored_at(df.where("id > 2"))
+    discard(spark, path)
+    local = kept.removeprefix("file:")
+    assert not os.path.exists(path.removeprefix("file:")) and os.path.exists(local) and other.count() == 2
