@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolwright.llm import bpe, ngram_join, quality_classifier, source_mixing, suffix_dedup
-from poolwright.llm.common import stored, table
+from poolwright.llm.common import discard, stored_at, table
 
 #: Five words and a similarity of 0.8, as for all near-duplicate stages on word shingles.
 NEAR = ngram_join.Rule(words=5, num=80, den=100)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def _settings(spark: SparkSession) -> None:
-    """Arrow batches of fewer rows than Spark's 10,000, as whole texts are long: Python workers stay small."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Arrow batches of fewer rows than Spark's 10,000, as whole texts are long: Python workers stay small.
+
+    A stage that is called alone leaves it set, as its result is run after the call; ``run`` sets back what it found.
+    """
+    spark.conf.set(BATCH, "1000")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,9 +74,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stored(docs)
+    """All stages, one after the other; the files of a stage go when the next one's are written."""
+    docs, path = table(spark, sf_dir, "documents"), None
+    before = spark.conf.get(BATCH)
+    try:
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k + 1 < len(STAGES):
+                read, (docs, path) = path, stored_at(docs)
+                if read is not None:
+                    discard(spark, read)
+    finally:
+        spark.conf.set(BATCH, before)
     return docs
