@@ -18,6 +18,7 @@ are read; any further ones are left out (``mix``) or carried along (``emit``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,13 +101,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
         F.col("_copies").alias("copies"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
-def emit(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each repeated as often as it is taken."""
-    # the rows once, with a number each: what is decided on numbers and sizes alone then meets its row again
-    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumn("_n_row", F.monotonically_increasing_id()))
-    asked = rows.select("_n_row", *[F.col("_row")[c].alias(c) for c in ("doc_id", "source", "text")])
-    chosen = _mixed(asked, ["_n_row"], weights, share, cap, seed).where(F.col("_copies") > 0).select("_n_row", "_copies")
-    return rows.join(chosen, "_n_row").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
+def _placed(docs: DataFrame, scanned: bool) -> tuple[DataFrame, list[str]]:
+    """The rows as ``_row``, and the columns that name each: its file and its place there, or a number that is stored with it."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    if scanned:
+        try:
+            return docs.select(whole, F.col("_metadata.file_path").alias("_n_file"), F.col("_metadata.row_index").alias("_n_row")), ["_n_file", "_n_row"]
+        except AnalysisException:  # not read from files
+            pass
+    return stored(docs.select(whole).withColumn("_n_row", F.monotonically_increasing_id())), ["_n_row"]
+
+
+def emit(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: str = SEED, scanned: bool = False) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each repeated as often as it is taken.
+
+    What is decided on numbers and sizes alone meets its row again. ``scanned``: ``docs`` is a table as read from its
+    files, without joins or the like, so that a row's place in its file names it; any other frame is stored once.
+    """
+    rows, place = _placed(docs, scanned)
+    asked = rows.select(*place, *[F.col("_row")[c].alias(c) for c in ("doc_id", "source", "text")])
+    chosen = _mixed(asked, place, weights, share, cap, seed).where(F.col("_copies") > 0).select(*place, "_copies")
+    return rows.join(chosen, place).select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
 
 
 #: DuckDB twin of ``mix`` with the values above; an independent statement over one full ranking.

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from poolwright.llm import bpe, ngram_join, queries, source_mixing, suffix_dedup
 
@@ -228,6 +229,20 @@ def test_emit_repeats_rows(spark):
     assert source_mixing.emit(data.messy(spark, empty=True)).collect() == []
 
 
+def test_emit_of_scanned_rows_equals_that_of_stored_ones(spark, tmp_path, monkeypatch):
+    """Repeated rows and clashing columns, over several files; no copy of the rows is written."""
+    rows = data.messy(spark).withColumns({c: F.lit("own") for c in ("_row", "_n_file", "_n_row", "_copies", "_metadata_")})
+    rows.union(rows).repartition(5).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    want = sorted(map(str, source_mixing.emit(docs).collect()))
+    widths = []
+    stored = source_mixing.stored
+    monkeypatch.setattr(source_mixing, "stored", lambda df: widths.append(df.columns) or stored(df))
+    assert sorted(map(str, source_mixing.emit(docs, scanned=True).collect())) == want
+    assert widths and not any("_row" in c or "text" in c for c in widths)
+    assert sorted(map(str, source_mixing.emit(data.messy(spark), scanned=True).collect())) == sorted(map(str, source_mixing.emit(data.messy(spark)).collect()))
+
+
 def test_mix_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data.SF}/documents.parquet'")
