@@ -69,10 +69,10 @@ q AS (
 rules(rh, rp, rule, says) AS (VALUES {rules}),
 j AS (
   SELECT q.*, (SELECT arg_max(rule, length(rule)) FROM rules WHERE (host = rh OR suffix(host, '.' || rh)) AND starts_with(path, rp)) AS rule FROM q),
-v AS (SELECT j.*, says FROM j LEFT JOIN rules USING (rule)),
+v AS (SELECT j.*, says, ('0x' || substr(md5(u), 1, 8))::BIGINT % 5 = 0 AS held FROM j LEFT JOIN rules USING (rule)),
 seen AS (
   SELECT g, count(*) FILTER (says = 'allow')::DOUBLE AS a, count(*) FILTER (says = 'block')::DOUBLE AS r
-  FROM (SELECT says, unnest(list_transform(range(1, length(u) + 2), lambda i: substr(repeat({c(START)}, {ORDER - 1}) || u || {c(END)}, i, {ORDER}))) AS g FROM v WHERE says IS NOT NULL) x
+  FROM (SELECT says, unnest(list_transform(range(1, length(u) + 2), lambda i: substr(repeat({c(START)}, {ORDER - 1}) || u || {c(END)}, i, {ORDER}))) AS g FROM v WHERE says IS NOT NULL AND NOT held) x
   GROUP BY g),
 {", ".join(orders)},
 model AS ({found}),
@@ -83,7 +83,7 @@ spot AS (
 score AS (SELECT u, sum(n * coalesce({best}, 0.0)) / sum(n) AS score FROM spot GROUP BY u),
 bin AS (
   SELECT floor(score * {STEPS}) AS b, count(*) FILTER (says = 'allow') AS a, count(*) FILTER (says = 'block') AS r
-  FROM v JOIN score USING (u) WHERE says IS NOT NULL GROUP BY 1),
+  FROM v JOIN score USING (u) WHERE says IS NOT NULL AND held GROUP BY 1),
 gain AS (
   SELECT b, (coalesce(sum(r) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(r) OVER ()
     + sum(a) OVER (ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) / sum(a) OVER ()) AS gain FROM bin),

@@ -5,14 +5,15 @@ the training text: URLs that a rule allows, and URLs that a rule blocks. For eit
 Markov model is smoothed from order 0 up (a context's counts plus ``SMOOTH`` times the shorter context's
 probability). A character is scored in the longest context that the model has, as the log of the ratio of
 the two probabilities; a URL's score is the mean over its characters and its end. The threshold is the one
-that parts the two training classes best (sum of both rates, over bins of 1 / ``STEPS``).
+that parts the two classes best (sum of both rates, over bins of 1 / ``STEPS``) among the judged URLs that were held
+back from training, one in ``HELD_BACK`` by a hash of the URL: a model knows the URLs that it was trained on too well.
 
 The model has every character sequence of the training text, however rare. Where it is counted to be small it is broadcast, and
 else joined by shuffle, with the same result.
 
 A null URL, or one without ``://``, has an empty host and path and is scored as the text that it is (null:
-empty). Repeated rows are judged alike; with no training URLs of one of the classes all other URLs are
-allowed; an empty table gives no rows; other columns are not read.
+empty). Repeated rows are judged alike; with no held-back URLs of one of the classes all other URLs are
+allowed; a class without training URLs has the smoothing alone; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 ORDER = 4
 SMOOTH = 4.0
 STEPS = 64
+HELD_BACK = 5
 START, END = "\u0002", "\u0003"
 
 
@@ -45,6 +47,11 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
+def held_back(url: Column) -> Column:
+    """Whether a URL is kept from training, for the threshold; equal URLs are on one side."""
+    return F.conv(F.substring(F.md5(url.cast("binary")), 1, 8), 16, 10).cast("long") % HELD_BACK == 0
+
+
 def _grams(urls: DataFrame, *keep: str) -> DataFrame:
     """A row for each character and the end of a URL: that character after the ``ORDER - 1`` before it."""
     padded = F.concat(F.lit(START * (ORDER - 1)), F.col("_url"), F.lit(END))
@@ -113,10 +120,11 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = pages.select("page_id", F.coalesce(F.col("url"), F.lit("")).alias("_url"), host.alias("host"), path.alias("path"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("_verdict", verdict)
-    model = checkpointed(train(rows.where(F.col("_verdict").isNotNull()).select("_url", "_verdict")))
+    judged_by_rule, held = F.col("_verdict").isNotNull(), held_back(F.col("_url"))
+    model = checkpointed(train(rows.where(judged_by_rule & ~held).select("_url", "_verdict")))
     urls = rows.groupBy("_url", "_verdict").agg(F.count("*").alias("_n"))
     scores = checkpointed(urls.join(score_urls(urls.select("_url"), model), "_url"))
-    cut = threshold(scores.where(F.col("_verdict").isNotNull()))
+    cut = threshold(scores.where(judged_by_rule & held))
     # the threshold is one row; a left join keeps the pages where there is none
     out = rows.join(scores.select("_url", "score"), "_url", "left").join(F.broadcast(cut), F.lit(True), "left")
     judged = F.when(F.col("score") < F.col("cut"), "block").otherwise("allow")

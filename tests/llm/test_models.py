@@ -1,5 +1,6 @@
 """Models, rules, search and the pipeline: against brute force where there is one, else held-out accuracy."""
 
+import hashlib
 import math
 from collections import Counter
 
@@ -267,10 +268,11 @@ def brute_rule(url):
 def brute_urls(urls):
     """Verdicts by the model as the module's docstring states it."""
     order, start, end = url_filters.ORDER, url_filters.START * (url_filters.ORDER - 1), url_filters.END
+    held = lambda u: int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % 5 == 0
     ruled = [(u or "", *brute_rule(u)) for u in urls]
     count = {"allow": Counter(), "block": Counter()}
     for u, _, _, _, v in ruled:
-        if v:
+        if v and not held(u):
             t = start + u + end
             count[v].update(t[i:i + order] for i in range(len(t) - order + 1))
     prob, delta = {"": (1 / 256, 1 / 256)}, {}
@@ -294,7 +296,7 @@ def brute_urls(urls):
 
     bins = {"allow": Counter(), "block": Counter()}
     for u, _, _, _, v in ruled:
-        if v:
+        if v and held(u):
             bins[v][math.floor(score(u) * url_filters.STEPS)] += 1
     na, nr = (sum(bins[v].values()) for v in ("allow", "block"))
     cut = None
