@@ -86,7 +86,7 @@ bin AS (
   FROM v JOIN score USING (u) WHERE says IS NOT NULL AND held GROUP BY 1),
 gain AS (
   SELECT b, (coalesce(sum(r) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(r) OVER ()
-    + sum(a) OVER (ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) / sum(a) OVER ()) AS gain FROM bin),
+    + sum(a) OVER (ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) / sum(a) OVER ()) AS gain FROM bin QUALIFY sum(a) OVER () > 0 AND sum(r) OVER () > 0),
 cut AS (SELECT b / {STEPS}.0 AS cut FROM gain WHERE gain IS NOT NULL ORDER BY round(gain, 9) DESC, abs(b), b DESC LIMIT 1)
 SELECT page_id, host, path, v.rule, coalesce(says, CASE WHEN score < (SELECT cut FROM cut) THEN 'block' ELSE 'allow' END) AS verdict
 FROM v JOIN score USING (u)
