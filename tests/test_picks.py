@@ -49,3 +49,14 @@ def test_contracts_are_dealt_once(spark):
         assert "SortAggregate" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_apply_stores_only_what_it_reads(spark, monkeypatch):
+    from poolwright import registry as R
+    from poolwright.operators import fair_share as FS
+    stored = []
+    keep = FS.materialize
+    monkeypatch.setattr(FS, "materialize", lambda df: stored.append(df.columns) or keep(df))
+    routed, _ = R._batch_for_apply(Fixtures(spark, SF, R.APPLY), R.APPLY)
+    assert sorted(routed.columns) == sorted(R.ROUTE_COLUMNS)
+    assert stored and not [c for c in stored if "win_contract_id" in c]
