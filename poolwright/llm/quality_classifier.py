@@ -36,6 +36,8 @@ from .common import checkpointed, lower_bytes, mix, slices, span_hashes, text_by
 TARGETS = ("quality", "toxic")
 LABELLED = 6000  # labelled documents that the fit sees
 POOL, POOL_BYTES = 8000, 32 << 20  # unlabelled documents of a shard, and their bytes, whichever gives more shards
+SLICE_ROWS = 500  # of a shard that are unpacked at once
+ENTRIES = 1 << 18  # of sparse rows that are worked on at once
 COUNTED_BYTES = 1 << 18  # of a text at most, as its features are bounded
 WORD_BITS, DIM = 15, 13  # words are hashed to 2**WORD_BITS columns, beginnings, shapes and metadata to 2**DIM each; all fit 16 bits
 VIEW_SIZES = ((1 << WORD_BITS) + (2 << DIM), 1 << DIM)
@@ -60,26 +62,49 @@ _PUNCTUATION[[ord("a"), ord("A"), ord("0")]] = False
 
 
 class Sparse(NamedTuple):
-    """Rows of sparse features: entries of row i are at ptr[i]:ptr[i + 1]."""
+    """Rows of sparse features: entries of row i are at ptr[i]:ptr[i + 1]. Columns take 16 bits each.
+
+    What is worked out of the entries is made for ``ENTRIES`` of them at a time, so that it stays small beside them.
+    """
 
     ptr: np.ndarray
     col: np.ndarray
     val: np.ndarray
 
+    def runs(self) -> Iterator[tuple[int, int]]:
+        """Row ranges of about ``ENTRIES`` entries (one long row may exceed it)."""
+        a, n = 0, len(self.ptr) - 1
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(self.ptr, self.ptr[a] + ENTRIES, side="right")) - 1)
+            yield a, b
+            a = b
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(self.col) + 1)
-        np.cumsum(w[self.col] * self.val, out=total[1:])
-        return total[self.ptr[1:]] - total[self.ptr[:-1]]
+        out = np.zeros(len(self.ptr) - 1)
+        for a, b in self.runs():
+            at = self.ptr[a:b + 1] - self.ptr[a]
+            total = np.zeros(at[-1] + 1)
+            np.cumsum(w[self.col[self.ptr[a]:self.ptr[b]]] * self.val[self.ptr[a]:self.ptr[b]], out=total[1:])
+            out[a:b] = total[at[1:]] - total[at[:-1]]
+        return out
+
+    def sums(self, x: np.ndarray, size: int) -> np.ndarray:
+        """The sum of the rows, each ``x`` times, by column."""
+        out = np.zeros(size)
+        for a, b in self.runs():
+            if x[a:b].any():
+                part = slice(self.ptr[a], self.ptr[b])
+                out += np.bincount(self.col[part], weights=self.val[part] * np.repeat(x[a:b], np.diff(self.ptr[a:b + 1])), minlength=size)
+        return out
 
     def pick(self, rows: np.ndarray) -> Sparse:
         lens = np.diff(self.ptr)[rows]
         ptr = np.append(0, np.cumsum(lens))
-        take = np.arange(ptr[-1]) + np.repeat(self.ptr[rows] - ptr[:-1], lens)
-        return Sparse(ptr, self.col[take], self.val[take])
-
-
-def joined(a: Sparse, b: Sparse) -> Sparse:
-    return Sparse(np.append(a.ptr, b.ptr[1:] + a.ptr[-1]), np.append(a.col, b.col), np.append(a.val, b.val))
+        col, val = np.empty(ptr[-1], self.col.dtype), np.empty(ptr[-1], self.val.dtype)
+        for a, b in Sparse(ptr, col, val).runs():
+            take = np.arange(ptr[a], ptr[b]) + np.repeat(self.ptr[rows[a:b]] - ptr[a:b], lens[a:b])
+            col[ptr[a]:ptr[b]], val[ptr[a]:ptr[b]] = self.col[take], self.val[take]
+        return Sparse(ptr, col, val)
 
 
 def text_terms(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +136,7 @@ def text_counts(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     terms, first = text_terms(col)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     key, count = np.unique(np.repeat(doc, TERMS) * VIEW_SIZES[0] + terms.ravel(), return_counts=True)
-    return np.diff(first), np.searchsorted(key // VIEW_SIZES[0], np.arange(len(first))), key % VIEW_SIZES[0], count
+    return np.diff(first), np.searchsorted(key // VIEW_SIZES[0], np.arange(len(first))), (key % VIEW_SIZES[0]).astype(np.uint16), count
 
 
 def text_features(col: pa.Array) -> Sparse:
@@ -129,7 +154,7 @@ def meta_features(lang: list, source: list, n_chars: list) -> Sparse:
         for x in (f"l{a}", f"s{b}", f"n{size}", f"l{a}n{size}", f"s{b}l{a}"):
             out.append(zlib.crc32(x.encode()) >> (32 - DIM))
     n = len(lang)
-    return Sparse(np.arange(n + 1) * 5, np.array(out, np.int64), np.full(5 * n, 0.5))
+    return Sparse(np.arange(n + 1) * 5, np.array(out, np.uint16), np.full(5 * n, 0.5))
 
 
 def _sigmoid(s: np.ndarray) -> np.ndarray:
@@ -140,17 +165,20 @@ def _linear(x: Sparse, w: np.ndarray) -> np.ndarray:
     return x.dot(w[:-1]) + w[-1]
 
 
-def fit_logistic(x: Sparse, y: np.ndarray, size: int, weight: np.ndarray | None = None, start: np.ndarray | None = None, steps: int = FIT_STEPS) -> np.ndarray:
-    """Weights and, last, the bias: full-batch Adam on the penalised log-loss, classes weighed alike. From a start, its steps get smaller."""
+def fit_logistic(xs: list[Sparse], y: np.ndarray, size: int, weight: np.ndarray | None = None, start: np.ndarray | None = None, steps: int = FIT_STEPS) -> np.ndarray:
+    """Weights and, last, the bias: full-batch Adam on the penalised log-loss, classes weighed alike. From a start, its steps get smaller.
+
+    ``xs``: the rows, in parts that stand one after the other.
+    """
     weight = np.ones(len(y)) if weight is None else weight
     for c in (0, 1):
         weight = np.where(y == c, weight / max(weight[y == c].sum(), 1e-9), weight)
     w, m, v = np.zeros(size + 1) if start is None else start.copy(), np.zeros(size + 1), np.zeros(size + 1)
-    rows = np.repeat(np.arange(len(y)), np.diff(x.ptr))
+    cuts = np.cumsum([len(x.ptr) - 1 for x in xs])[:-1]
     for t in range(1, steps + 1):
         rate = 0.3 if start is None else 0.1 * (1 - (t - 1) / steps)
-        err = weight * (_sigmoid(_linear(x, w)) - y)
-        g = np.append(np.bincount(x.col, weights=x.val * err[rows], minlength=size), err.sum())
+        err = weight * (_sigmoid(np.concatenate([_linear(x, w) for x in xs])) - y)
+        g = np.append(sum(x.sums(e, size) for x, e in zip(xs, np.split(err, cuts))), err.sum())
         g[:-1] += PENALTY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
@@ -217,7 +245,7 @@ def exchange(sample: Sample, target: int, start: list[np.ndarray], pool: tuple[S
             # the pseudo-labels of a class weigh at most as much as its labels
             share = [min(1.0, (y == c).sum() / max((new == c).sum(), 1)) for c in (0, 1)]
             weight = np.append(np.ones(len(y)), np.where(new == 1, share[1], share[0]))
-            weights[k] = fit_logistic(joined(known[k], pool[k].pick(rows)), np.append(y, new), VIEW_SIZES[k], weight, weights[k], ROUND_STEPS)
+            weights[k] = fit_logistic([known[k], pool[k].pick(rows)], np.append(y, new), VIEW_SIZES[k], weight, weights[k], ROUND_STEPS)
     return weights
 
 
@@ -232,14 +260,44 @@ def _features(batches: Iterator[pa.RecordBatch], keep: tuple[str, ...]) -> Itera
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x, pa.binary()) for x in packed)], names=[*keep, *PACKED])
 
 
-def _views(got: pa.Table) -> tuple[Sparse, Sparse]:
+def _digests(packed: pa.RecordBatch) -> np.ndarray:
+    """16 bytes for each row of features; those of alike rows are alike."""
+    return np.array([hashlib.blake2b(b"".join(r), digest_size=16).digest() for r in zip(*(c.to_pylist() for c in packed.columns))], "S16")
+
+
+def _views(got: pa.Table | pa.RecordBatch) -> tuple[Sparse, Sparse]:
     """Both views of rows as packed by ``_features``."""
     (cols, at), (counts, _), (meta, _) = (text_bytes(got[c]) for c in PACKED)
-    ptr, count = at // 2, np.frombuffer(counts.tobytes(), "<u4").astype(float)
-    total = np.append(0.0, np.cumsum(count))
-    words = (total[ptr[1:]] - total[ptr[:-1]]) / TERMS
-    text = Sparse(ptr, np.frombuffer(cols.tobytes(), "<u2").astype(np.int64), np.sqrt(count / np.repeat(words, np.diff(ptr))))
-    return text, Sparse(np.arange(got.num_rows + 1) * 5, np.frombuffer(meta.tobytes(), "<u2").astype(np.int64), np.full(5 * got.num_rows, 0.5))
+    text = Sparse(at // 2, np.frombuffer(cols.tobytes(), "<u2"), np.empty(at[-1] // 2))
+    for a, b in text.runs():
+        ptr = text.ptr[a:b + 1] - text.ptr[a]
+        count = np.frombuffer(counts[2 * at[a]:2 * at[b]].tobytes(), "<u4").astype(float)
+        total = np.append(0.0, np.cumsum(count))
+        words = (total[ptr[1:]] - total[ptr[:-1]]) / TERMS
+        text.val[text.ptr[a]:text.ptr[b]] = np.sqrt(count / np.repeat(words, np.diff(ptr)))
+    return text, Sparse(np.arange(got.num_rows + 1) * 5, np.frombuffer(meta.tobytes(), "<u2"), np.full(5 * got.num_rows, 0.5))
+
+
+def _distinct_views(batches: list[pa.RecordBatch]) -> tuple[Sparse, Sparse]:
+    """Both views of the rows, alike ones once, in an order of their own: so sums come out alike however the rows were shuffled.
+
+    A slice after the other goes to its place, so that beside the packed rows there are only the views.
+    """
+    first = np.unique(np.concatenate([_digests(b) for b in batches]), return_index=True)[1]
+    lens = np.concatenate([np.diff(text_bytes(b.column("tc"))[1]) // 2 for b in batches])
+    ptr = np.append(0, np.cumsum(lens[first]))
+    text = Sparse(ptr, np.empty(ptr[-1], np.uint16), np.empty(ptr[-1]))
+    meta = Sparse(np.arange(len(first) + 1) * 5, np.empty(5 * len(first), np.uint16), np.full(5 * len(first), 0.5))
+    to = np.full(len(lens), -1)
+    to[first] = np.arange(len(first))
+    for b, upto in zip(batches, np.cumsum([b.num_rows for b in batches])):
+        mine = to[upto - b.num_rows:upto]
+        new = np.flatnonzero(mine >= 0)
+        mine, (a, c) = mine[new], (x.pick(new) for x in _views(b))
+        at = np.arange(a.ptr[-1]) + np.repeat(ptr[mine] - a.ptr[:-1], np.diff(a.ptr))
+        text.col[at], text.val[at] = a.col, a.val
+        meta.col.reshape(-1, 5)[mine] = c.col.reshape(-1, 5)
+    return text, meta
 
 
 def labelled_sample(docs: DataFrame, known: DataFrame) -> Sample:
@@ -265,19 +323,17 @@ def co_train(sample: Sample, free: DataFrame) -> list[Target | None]:
     first = {}
     for t in use:
         own = sample.own(t)
-        first[t] = [fit_logistic(sample.views[k].pick(own), sample.y[t][own].astype(float), VIEW_SIZES[k]) for k in (0, 1)]
+        first[t] = [fit_logistic([sample.views[k].pick(own)], sample.y[t][own].astype(float), VIEW_SIZES[k]) for k in (0, 1)]
     weights = dict(first)
     if use:
         shared = free.sparkSession.sparkContext.broadcast((tuple(sample), first))  # LABELLED documents and their weights
 
         def run(shard: pa.Table) -> pa.Table:
             told, start = shared.value
-            # in an order of their own, so that sums come out alike however the rows were shuffled
-            shard = shard.select(PACKED).group_by(PACKED).aggregate([]).sort_by([(c, "ascending") for c in PACKED])
-            pool = _views(shard)
+            pool = _distinct_views(shard.select(PACKED).to_batches(max_chunksize=SLICE_ROWS))
             parts = [(t, k, w) for t in start for k, w in enumerate(exchange(Sample(*told), t, start[t], pool))]
             return pa.table({"part": pa.array([2 * t + k for t, k, _ in parts], pa.int32()), "w": pa.array([w for *_, w in parts], pa.list_(pa.float64())),
-                             "n": pa.array([float(shard.num_rows)] * len(parts))})
+                             "n": pa.array([float(len(pool[0].ptr) - 1)] * len(parts))})
 
         got = free.groupBy("shard").applyInArrow(run, "part int, w array<double>, n double")
         each = got.select("part", "n", F.posexplode("w").alias("at", "x")).groupBy("part", "at").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
@@ -310,9 +366,8 @@ def unlabelled_features(docs: DataFrame, known: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # 16 bytes for each document of the task
         for batch in _features(batches, ()):
-            keys = [hashlib.blake2b(b"".join(r), digest_size=16).digest() for r in zip(*(c.to_pylist() for c in batch.columns))]
             new = []
-            for key, cols in zip(keys, batch.column(0)):
+            for key, cols in zip(_digests(batch).tolist(), batch.column(0)):
                 new.append(key not in seen and len(cols.as_py()) > 0)
                 seen.add(key)
             yield batch.filter(pa.array(new, pa.bool_()))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -445,6 +446,55 @@ def test_co_training_over_shards_equals_brute_force(spark, monkeypatch):
         assert np.abs(target.text - text).max() < 1e-3 and np.abs(target.meta - meta).max() < 1e-3
 
 
+def packed_features(texts, langs=None):
+    n = len(texts)
+    rows = pa.record_batch({"text": texts, "lang": langs or ["en"] * n, "source": ["s"] * n, "n_chars": [9] * n})
+    return pa.Table.from_batches(list(quality_classifier._features(iter([rows]), ())))
+
+
+def test_an_exchange_needs_little_beside_its_rows(monkeypatch):
+    """Under 40 bytes for each entry of a shard, as several workers share an executor; with whole arrays it took 61."""
+    q = quality_classifier
+    monkeypatch.setattr(q, "ENTRIES", 4096)
+    of = lambda n: packed_features([" ".join(f"{'ab'[k % 2]}{(k * 31 + j * 7) % 5000}" for j in range(300)) for k in range(n)], [f"l{k % 2}" for k in range(n)])
+    y = np.arange(400) % 2
+    sample = q.Sample(q._views(of(400)), np.array([y, y]), np.array([np.arange(400) % 8 < 2] * 2))
+    start = [q.fit_logistic([x], y.astype(float), size) for x, size in zip(sample.views, q.VIEW_SIZES)]
+    packed, picked = of(4000), []
+    entries = sum(map(len, packed["tc"].to_pylist())) // 2
+    plain = q.Sparse.pick
+    monkeypatch.setattr(q.Sparse, "pick", lambda self, rows: picked.append(len(rows)) or plain(self, rows))
+    tracemalloc.start()
+    try:
+        q.exchange(sample, 0, start, q._views(packed))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert max(picked) > 3000  # most rows are told
+    assert peak < 40 * entries, peak / entries
+
+
+def test_rows_in_slices_are_the_same(monkeypatch):
+    """Views, products and sums do not depend on how many rows are worked on at once, nor on copies and their order."""
+    q = quality_classifier
+    packed = packed_features([" ".join(f"w{(k * k + j) % 50}" for j in range(1 + k % 9)) for k in range(60)] + ["one long text " * 50])
+    text, meta = q._views(packed)
+    x, w = np.random.default_rng(1).standard_normal(len(text.ptr) - 1), np.random.default_rng(2).standard_normal(q.VIEW_SIZES[0])
+    want, sums = text.dot(w), text.sums(x, len(w))
+    dense = np.zeros((len(x), len(w)))
+    for i, (a, b) in enumerate(zip(text.ptr, text.ptr[1:])):
+        dense[i, text.col[a:b]] = text.val[a:b]
+    assert np.abs(want - dense @ w).max() < 1e-12 and np.abs(sums - x @ dense).max() < 1e-12
+    monkeypatch.setattr(q, "ENTRIES", 7)
+    again = q._views(packed)[0]
+    assert (again.val == text.val).all() and np.abs(text.dot(w) - want).max() < 1e-12 and np.abs(text.sums(x, len(w)) - sums).max() < 1e-12
+    twice = pa.concat_tables([packed.slice(20), packed])
+    order = np.random.default_rng(3).permutation(len(twice))
+    one, other = (q._distinct_views(t.to_batches(max_chunksize=k)) for t, k in ((packed, 11), (twice.take(pa.array(order)), 5)))
+    assert all((a == b).all() for v, u in zip(one, other) for a, b in zip(v, u))
+    assert sorted(one[0].dot(w)) == pytest.approx(sorted(dict.fromkeys(want.round(12))), abs=1e-9)
+
+
 def test_toxic_documents_go_and_clean_ones_stay(spark):
     """Insults in a third of the documents of good quality; labels of half; the other half is judged."""
     docs = spark.range(900).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(9).cast("long").alias("n_chars"))
