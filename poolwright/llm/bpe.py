@@ -52,6 +52,7 @@ def newer_characters() -> list[str]:
 
 #: Pre-tokens that a worker remembers before it starts afresh (memory only; results don't depend on it).
 REMEMBERED = 150_000
+AT_ONCE = 25_000  # pre-tokens
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -214,9 +215,10 @@ class Encoder:
         """Encode the pre-tokens that have a slot but no ids yet."""
         new = list(itertools.islice(self.slot, len(self.odd), None))
         if new:
-            ids, counts = self.vocab.encode_words([p.encode() for p in new])
-            self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(counts))
-            self.ids = np.append(self.ids, ids)
+            for k in range(0, len(new), AT_ONCE):
+                ids, counts = self.vocab.encode_words([p.encode() for p in new[k:k + AT_ONCE]])
+                self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(counts))
+                self.ids = np.append(self.ids, ids)
             newer = self.vocab.newer
             self.odd = np.append(self.odd, [not p.isascii() and not newer.isdisjoint(p) for p in new])
 
@@ -253,7 +255,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: t
         coder = None
         for whole in batches:
             coder = coder or Encoder(path)
-            for batch in slices(whole, "_text", 6 << 20):
+            for batch in slices(whole, "_text"):
                 ids = coder.encode([t or "" for t in batch.column("_text").to_pylist()])
                 cols = [batch.column(c) for c in keep] + [pa.array([x.tobytes() for x in ids], pa.binary())]
                 del ids
@@ -272,7 +274,7 @@ def decode(encoded: DataFrame, path: str | None = None, keep: tuple[str, ...] =
         coder = None
         for whole in batches:
             coder = coder or Encoder(path)
-            for batch in slices(whole, "_ids", 6 << 20):
+            for batch in slices(whole, "_ids"):
                 texts = [coder.decode(np.frombuffer(x or b"", "<u4")) for x in batch.column("_ids").to_pylist()]
                 cols = [batch.column(c) for c in keep] + [pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, "decoded"])

@@ -39,6 +39,8 @@ HOT = 16_000
 HEAVY = 256
 #: bytes of input for which a shard is made; about 40 bytes make an entry, and most entries occur once
 SHARD_BYTES = 1 << 21
+#: bytes whose grams are hashed at once, at some 50 bytes of working memory each
+SLICE_BYTES = 1 << 18
 U = np.uint64
 _TEXT_BITS = 23  # of the text's hash, next to the id
 
@@ -323,7 +325,7 @@ def repeated_spans(rows: DataFrame, shards: int, hot: int = HOT) -> DataFrame:
         for whole in batches:
             whole = whole.filter(whole.column("sole"))
             parts, at = [], 0
-            for batch in slices(whole, "_text", 2 << 20):
+            for batch in slices(whole, "_text", SLICE_BYTES):
                 name, row, lo, count = entries(*text_bytes(batch.column("_text")))
                 parts.append((name, row + at, lo, count))
                 at += batch.num_rows

@@ -2,6 +2,7 @@
 
 import hashlib
 import struct
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -257,3 +258,43 @@ def test_text_bytes_of_a_slice():
     whole = pa.array(["ab", None, "é", "", "xyz"])
     buf, bounds = text_bytes(whole.slice(1, 3))
     assert buf.tobytes() == "é".encode() and bounds.tolist() == [0, 0, 2, 2]
+
+
+# --- working memory of the Python workers
+
+
+def test_grams_need_little_beside_their_batch():
+    """The working memory of a batch's grams goes with a slice, not with the batch; it took 47 bytes for each byte of it."""
+
+    class Caught(Exception):
+        pass
+
+    class Rows:
+        def mapInArrow(self, f, schema):
+            raise Caught(f)
+
+    try:
+        suffix_dedup.repeated_spans(Rows(), 8)
+    except Caught as e:
+        find = e.args[0]
+    texts = [data.prose(k, 300) for k in range(1000)]
+    size = sum(map(len, texts))
+    batch = pa.record_batch({"id": pa.array(range(1000), pa.int64()), "th": pa.array([0] * 1000, pa.int64()), "sole": [True] * 1000, "_text": texts})
+    tracemalloc.start()
+    try:
+        got = list(find(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert size > 1 << 20 and got[0].num_rows > 10_000 and peak < 20 * size, (size, peak / size)
+
+
+def test_pre_tokens_are_encoded_some_at_a_time(monkeypatch):
+    texts = [data.prose(k, 60) + f" word{k} \U0001f600 naïve" for k in range(40)]
+    want = [x.tolist() for x in bpe.Encoder(bpe.vocabulary_path()).encode(texts)]
+    coder, most = bpe.Encoder(bpe.vocabulary_path()), []
+    plain = coder.vocab.encode_words
+    monkeypatch.setattr(bpe, "AT_ONCE", 7)
+    monkeypatch.setattr(coder.vocab, "encode_words", lambda words: most.append(len(words)) or plain(words))
+    assert [x.tolist() for x in coder.encode(texts)] == want
+    assert len(most) > 2 and max(most) <= 7
