@@ -119,8 +119,9 @@ class Products:
     dims: int
 
     def left(self, v: np.ndarray, coeffs: np.ndarray) -> np.ndarray:
-        """U'(X v) for the left vectors U = X coeffs."""
-        return _sums(self.blocks, lambda z: (z @ coeffs).T @ (z @ v), coeffs.shape[1])
+        """U'(X v) for the left vectors U = X coeffs; ``v`` may be several, as columns."""
+        shape = (coeffs.shape[1], *v.shape[1:])
+        return _sums(self.blocks, lambda z: ((z @ coeffs).T @ (z @ v)).ravel(), int(np.prod(shape))).reshape(shape)
 
     def right(self, c: np.ndarray, coeffs: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
         """For u = X c: X'u, its squared norm, and U'u."""
@@ -185,7 +186,14 @@ def bidiagonalise(x, total: float, k: int) -> tuple[np.ndarray, np.ndarray]:
         v = _orthogonal(w / beta, basis)
         v /= np.linalg.norm(v)
     keep = min(k, int((s > max(d, 16) * TINY * s[0]).sum()))
-    return basis @ qt[:keep].T, s[:keep]
+    right, s = basis @ qt[:keep].T, s[:keep]
+    # where coefficients are long, X c is rounded by more than its last bits: the inner products of what the right vectors
+    # make tell how far that has gone, and set vectors and values right within their span
+    far = right / s
+    turn = np.linalg.cholesky(x.left(far, far)).T * s
+    _, s, qt = np.linalg.svd(turn)
+    qt[np.diag(qt) < 0] *= -1  # a vector keeps its sign
+    return right @ qt.T, s
 
 
 @dataclass
