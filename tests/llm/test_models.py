@@ -202,6 +202,100 @@ def test_fill_does_not_count():
     assert np.isclose(got[0][0], got[1][0]) and all(np.allclose(got[0][1][k], got[1][1][k]) for k in attention_lm.NAMES)
 
 
+@pytest.mark.parametrize("by", (1, 40))
+def test_lm_step_equals_its_formula(by):
+    """Loss and slopes of a batch with fill, also where exponentials would overflow, against one goal after the other."""
+    rng = np.random.default_rng(5)
+    vocab = attention_lm.vocabulary(rng.zipf(1.5, 3000).clip(max=10_000).astype(float))
+    p = {k: x.astype(np.float64) * (by if k in ("Wq", "W", "M") else 1) for k, x in attention_lm.start(vocab).items()}
+    ids, goals, late = rng.integers(0, 3000, (4, attention_lm.KEYS + 1)), np.array([16, 3, 16, 1]), attention_lm.KEYS - attention_lm.QUERIES
+    args = vocab.row[ids[:, :-1]], vocab.group[ids[:, late + 1:]], vocab.place[ids[:, late + 1:]], goals
+
+    def log_share(z, at):
+        return z[at] - z.max() - math.log(np.exp(z - z.max()).sum())
+
+    def loss(p):
+        out = []
+        for rows, group, place, n in zip(*args):
+            x = p["E"][rows] + p["P"]
+            for k in range(n):
+                s = x[:late + k + 1] @ p["Wk"] @ (x[late + k] @ p["Wq"]) / math.sqrt(attention_lm.WIDTH)
+                a = np.exp(s - s.max())
+                h = x[late + k] + (a / a.sum()) @ x[:late + k + 1] @ p["Wv"] @ p["Wo"]
+                g = h + np.maximum(h @ p["W1"] + p["b1"], 0) @ p["W2"]
+                out.append(-log_share(g @ p["W"] + p["b"], group[k]))
+                if group[k] < attention_lm.GROUPS:
+                    out[-1] -= log_share(g @ p["M"][group[k]] + p["c"][group[k]], place[k])
+        return out
+
+    got, d = attention_lm.gradients(p, *args)
+    if max(loss(p)) < 30:  # shares below 1e-30 count as 1e-30
+        assert abs(got - np.mean(loss(p))) < 1e-6
+    for k in attention_lm.NAMES:
+        at = np.unravel_index(np.abs(d[k]).argmax(), d[k].shape)
+        up, down = ({a: x.copy() for a, x in p.items()} for _ in range(2))
+        up[k][at] += 1e-6
+        down[k][at] -= 1e-6
+        slope = (np.mean(loss(up)) - np.mean(loss(down))) / 2e-6
+        assert abs(slope - d[k][at]) < 1e-3 * max(1e-3, abs(slope)), k
+
+
+def test_lm_step_is_not_split_by_group(monkeypatch):
+    """A step takes three softmaxes over its goals, not one more for each group of ids."""
+    calls = []
+
+    class Numpy:
+        def __getattr__(self, name):
+            if name == "exp":
+                calls.append(name)
+            return getattr(np, name)
+
+    rng = np.random.default_rng(6)
+    vocab = attention_lm.vocabulary(rng.integers(0, 50, 3000).astype(float))
+    ids = rng.integers(0, 3000, (attention_lm.BATCH, attention_lm.KEYS + 1))
+    goal = ids[:, attention_lm.KEYS - attention_lm.QUERIES + 1:]
+    monkeypatch.setattr(attention_lm, "np", Numpy())
+    attention_lm.gradients(attention_lm.start(vocab), vocab.row[ids[:, :-1]], vocab.group[goal], vocab.place[goal])
+    assert len(calls) <= 3
+
+
+def test_lm_train_equals_adam(monkeypatch):
+    rng = np.random.default_rng(7)
+    p = {k: rng.standard_normal(n).astype(np.float32) for k, n in (("P", 5), ("E", 4), ("M", 3), ("W", 2), ("b", 1))}
+    given = [{k: (rng.standard_normal(x.shape) * 10.0 ** rng.integers(-6, 1)).astype(np.float32) for k, x in p.items()} for _ in range(8)]
+    left = iter(given)
+    monkeypatch.setattr(attention_lm, "gradients", lambda *_: (0.0, next(left)))
+    ids = np.zeros((4 * attention_lm.BATCH, attention_lm.KEYS + 1), np.uint16)
+    vocab = attention_lm.Vocabulary(*[np.zeros(1, int)] * 6)
+    got = attention_lm.train(p, vocab, ids, 0.01, 0)
+    for k, x in p.items():
+        x, m, v = x.astype(float), 0.0, 0.0
+        for t, d in enumerate(given, 1):
+            m, v = 0.9 * m + 0.1 * d[k], 0.99 * v + 0.01 * d[k].astype(float) ** 2
+            x = (x - 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)) * (1 - 0.01 * attention_lm.DECAY if k in ("E", "M", "W") else 1)
+        assert np.allclose(got[k], x, atol=1e-5)
+
+
+def test_words_are_tokenized_many_at_once(monkeypatch):
+    """The ids of each word are those of the word alone, in far fewer calls."""
+    import random
+
+    rng = random.Random(8)
+    words = ["".join(rng.choice("ab1'st\u00e9\u03bb\u65e5<|>.,-_\x00\u0301\U0001f600") for _ in range(rng.randint(1, 9))) for _ in range(5000)]
+    words[1000:1003] = ["a\u00a0b", "\u3000", "x" * 1000]  # white space inside, and cut words
+    coder = lm_scoring.Tokenizer(lm_scoring.vocabulary_path())
+    encode, calls = coder.encode, []
+
+    def alone(w):
+        return [i for k in range(0, len(w), lm_scoring.LONG_WORD) for i in encode((" " if k == 0 else "") + w[k:k + lm_scoring.LONG_WORD])]
+
+    monkeypatch.setattr(coder, "encode", lambda s: calls.append(s) or encode(s))
+    ids, starts = coder.words([w.encode() for w in words])
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [alone(w) for w in words]
+    assert len(calls) < 1000
+    assert [x.tolist() for x in coder.words([])] == [[], [0]]
+
+
 def test_lm_of_odd_rows(spark):
     check_base(lm_scoring.score(data.messy(spark)).collect(), [(i, t) for i, t, *_ in data.messy_rows()])
     assert lm_scoring.score(data.messy(spark, empty=True)).collect() == []
